@@ -51,6 +51,25 @@ def match_keys(log: DataFrame, keys: DataFrame, on: str, ts: str | None = None,
     return joined.groupBy(*out_keys, tag).agg(F.sum("_n").cast("bigint").alias("n"))
 
 
+def match_keys_wide(log: DataFrame, keys: DataFrame, on: str, tags: Sequence[str],
+                    names: Sequence[str] | None = None, ts: str | None = None,
+                    grain: str = "day", key: str = "key", tag: str = "tag",
+                    where: Column | None = None, weight: str | None = None,
+                    group: Sequence[str] | None = None) -> DataFrame:
+    """:func:`match_keys` with one count column per tag (0 when none match).
+
+    The tag columns are conditional sums over the joined rows, so the wide
+    form costs the same single shuffle as the long one (no pivot step).
+    """
+    names = list(names or tags)
+    long = match_keys(log, keys.where(F.col(tag).isin(list(tags))), on, ts, grain, key, tag,
+                      where, weight, group)
+    out_keys = ([BUCKET] if ts is not None else []) + list(group or [])
+    aggs = [F.sum(F.when(F.col(tag) == t, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias(n)
+            for t, n in zip(tags, names)]
+    return long.groupBy(*out_keys).agg(*aggs) if out_keys else long.agg(*aggs)
+
+
 def pivot_tags(long: DataFrame, tags: Sequence[str], names: Sequence[str] | None = None,
                key: str = BUCKET, tag: str = "tag", value: str = "n") -> DataFrame:
     """Long ``(key, tag, value)`` to one column per tag. The tag list is given,
@@ -95,17 +114,18 @@ def enrich_counts(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, v
                       F.coalesce(F.col("_lv"), F.lit(default)).alias(name))
 
 
-def retention_summary(totals: DataFrame, retained: DataFrame,
+def retention_summary(totals: DataFrame, retained: DataFrame | None = None,
                       corrections: DataFrame | None = None, source: str = "source",
                       as_text: bool = False) -> DataFrame:
     """Per source: ``total`` (minus a known correction), ``undeleted`` and the
     fraction lost ``(total - undeleted) / total`` (NULL when total is 0).
 
     ``totals(source, total)``, ``retained(source, undeleted)``,
-    ``corrections(source, correction)``. ``as_text`` adds the reference's
-    two-decimal text form.
+    ``corrections(source, correction)``. With ``retained=None`` the
+    ``undeleted`` column is already in ``totals`` (one pass computed both).
+    ``as_text`` adds the reference's two-decimal text form.
     """
-    out = totals.join(retained, source, "left")
+    out = totals if retained is None else totals.join(retained, source, "left")
     if corrections is not None:
         out = out.join(corrections, source, "left")
         total = F.col("total") - F.coalesce(F.col("correction"), F.lit(0))

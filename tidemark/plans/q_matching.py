@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_title, normalise_user
-from ..operators.buckets import BUCKET, densify, spine_between, spine_bounds
+from ..operators.buckets import BUCKET, densify, in_range, spine_between, spine_bounds
 from ..operators.matching import (
     category_members,
     enrich_counts,
     match_keys,
-    pivot_tags,
+    match_keys_wide,
     retention_summary,
     source_reconciliation,
 )
@@ -59,11 +59,12 @@ def normalise_user_query(spark, sf_dir):
     return customer.select("c_custkey", normalise_user(padded).alias("user_key"))
 
 
-def _title_log(spark, sf_dir):
+def _title_log(spark, sf_dir, start=None, end=None):
     """Line items with the (canonical) title of their part. The line items
     are reduced to (part, month) counts before the join, so the join moves
-    at most parts x months rows."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    at most parts x months rows. ``start``/``end`` (months) filter the raw
+    ship date, which reaches the Parquet scan."""
+    lineitem = in_range(table(spark, sf_dir, "lineitem"), "l_shipdate", start, end, "month")
     part = table(spark, sf_dir, "part")
     per_part = (lineitem.groupBy("l_partkey", F.trunc(F.to_date("l_shipdate"), "MM").alias(BUCKET))
                 .agg(F.count(F.lit(1)).alias("lines")))
@@ -120,10 +121,9 @@ FROM spine s LEFT JOIN agg a ON s.bucket = a.bucket
 def match_keys_dense(spark, sf_dir):
     """The deleted-uploads shape: 12-month calendar, one column per key list."""
     start, end = spine_bounds(SHIP_AS_OF, 12, "month")
-    log = _title_log(spark, sf_dir).where(
-        (F.col(BUCKET) >= F.lit(start)) & (F.col(BUCKET) <= F.lit(end)))
-    long = match_keys(log, _tag_keys(spark, sf_dir), "title", weight="lines", group=[BUCKET])
-    wide = pivot_tags(long, PART_TAGS, [t.lower() for t in PART_TAGS])
+    log = _title_log(spark, sf_dir, start, end)
+    wide = match_keys_wide(log, _tag_keys(spark, sf_dir), "title", PART_TAGS,
+                           [t.lower() for t in PART_TAGS], weight="lines", group=[BUCKET])
     return densify(spine_between(spark, start, end, "month"), wide, fill=0)
 
 
@@ -173,12 +173,15 @@ def retention_summary_query(spark, sf_dir):
     """Orders per status (less a known correction), how many still have
     line items, and the fraction without."""
     orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
-    totals = orders.groupBy(F.col("o_orderstatus").alias("source")).agg(F.count(F.lit(1)).alias("total"))
-    kept = (orders.join(lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
-            .groupBy(F.col("o_orderstatus").alias("source")).agg(F.count(F.lit(1)).alias("undeleted")))
+    # One pass over orders: a left join to the distinct line-item keys
+    # (reduced map-side before the shuffle) marks the orders that are kept.
+    kept_keys = (table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+                 .distinct().withColumn("_kept", F.lit(1)))
+    per_status = (orders.select("o_orderkey", "o_orderstatus").join(kept_keys, "o_orderkey", "left")
+                  .groupBy(F.col("o_orderstatus").alias("source"))
+                  .agg(F.count(F.lit(1)).alias("total"), F.count("_kept").alias("undeleted")))
     corrections = spark.createDataFrame(list(CORRECTIONS.items()), "source string, correction bigint")
-    out = retention_summary(totals, kept, F.broadcast(corrections))
+    out = retention_summary(per_status, None, F.broadcast(corrections))
     return out.withColumn("deleted_fraction", F.round("deleted_fraction", 6))
 
 
