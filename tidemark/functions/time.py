@@ -14,6 +14,8 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 
 TS14 = "yyyyMMddHHmmss"
 GRAINS = ("day", "month")
+# Column metadata key: the 14-digit text column a parsed time came from.
+TEXT_SOURCE = "tidemark.text_ts"
 
 
 def _check_grain(grain: str) -> None:
@@ -22,16 +24,62 @@ def _check_grain(grain: str) -> None:
 
 
 def parse_ts(col: Column | str, ntz: bool = True) -> Column:
-    """14-digit ``yyyyMMddHHmmss`` text to a timestamp; malformed text -> NULL.
+    """14-digit ``yyyyMMddHHmmss`` text to a timestamp; anything else -> NULL.
 
-    The text is a wall-clock value, so the result is ``TIMESTAMP_NTZ``
-    unless ``ntz=False``. The cast is exact in any session time zone because
+    Only text of exactly 14 digits parses, so for every parsed row the text
+    order is the time order (see :func:`time_range`). The text is a
+    wall-clock value, so the result is ``TIMESTAMP_NTZ`` unless
+    ``ntz=False``; the cast is exact in any session time zone because
     parsing and the LTZ->NTZ cast use the same zone.
     """
-    parsed = F.try_to_timestamp(_c(col), F.lit(TS14))
+    text = _c(col)
+    parsed = F.when(text.rlike("^[0-9]{14}$"), F.try_to_timestamp(text, F.lit(TS14)))
     return parsed.cast("timestamp_ntz") if ntz else parsed
 
 
+def with_parsed_ts(df, text_col: str, name: str = "ts"):
+    """Add ``name`` parsed from the 14-digit text column ``text_col`` and
+    remember the source, so time ranges also filter the text column --
+    a plain string comparison that Parquet can prune row groups with."""
+    from pyspark.sql.types import StringType
+    if isinstance(df.schema[text_col].dataType, StringType):
+        return df.withColumn(name, parse_ts(text_col).alias(name, metadata={TEXT_SOURCE: text_col}))
+    return df.withColumn(name, parse_ts(F.col(text_col).cast("string")))
+
+
+def _text14(value) -> str:
+    if isinstance(value, _dt.datetime):
+        return value.strftime("%Y%m%d%H%M%S")
+    return to_date_value(value).strftime("%Y%m%d") + "000000"
+
+
+def time_range(df, ts: str, lo=None, hi=None, hi_inclusive: bool = False) -> Column:
+    """``lo <= ts < hi`` (or ``<= hi``) as literals of the column type.
+
+    When ``ts`` was parsed from 14-digit text (:func:`with_parsed_ts`) the
+    same bounds are also applied to the text column: exact, because only
+    14-digit text parses, and pushable to the Parquet scan.
+    """
+    dtype = time_type(df, ts)
+    t = F.col(ts)
+    conds = []
+    if lo is not None:
+        conds.append(t >= ts_literal(lo, dtype))
+    if hi is not None:
+        conds.append(t <= ts_literal(hi, dtype) if hi_inclusive else t < ts_literal(hi, dtype))
+    text = df.schema[ts].metadata.get(TEXT_SOURCE)
+    if text and text in df.columns:
+        x = F.col(text)
+        if lo is not None:
+            conds.append(x >= F.lit(_text14(lo)))
+        if hi is not None:
+            conds.append(x <= F.lit(_text14(hi)) if hi_inclusive else x < F.lit(_text14(hi)))
+    out = None
+    for c in conds:
+        out = c if out is None else out & c
+    return F.lit(True) if out is None else out
+
+
 def format_ts14(col: Column | str) -> Column:
     """Timestamp or date to 14-digit text (the sink/edge format)."""
     return F.date_format(_c(col), TS14)

@@ -20,9 +20,8 @@ from ..functions.arith import count_rows, count_when
 from ..functions.time import (
     _check_grain,
     bucket_of,
-    time_type,
+    time_range,
     to_date_value,
-    ts_literal,
 )
 
 BUCKET = "bucket"
@@ -105,13 +104,11 @@ def in_range(df: DataFrame, ts: str, start=None, end=None, grain: str = "day") -
     Expressed on the raw column as ``ts >= start AND ts < next(end)`` so the
     bounds are literals of the column type and reach the Parquet scan.
     """
-    dtype = time_type(df, ts)
-    if start is not None:
-        df = df.where(F.col(ts) >= ts_literal(_bucket_value(start, grain), dtype))
-    if end is not None:
-        stop = _shift(_bucket_value(end, grain), grain, 1)
-        df = df.where(F.col(ts) < ts_literal(stop, dtype))
-    return df
+    if start is None and end is None:
+        return df
+    lo = _bucket_value(start, grain) if start is not None else None
+    hi = _shift(_bucket_value(end, grain), grain, 1) if end is not None else None
+    return df.where(time_range(df, ts, lo, hi))
 
 
 # ------------------------------------------------------------ aggregates ---

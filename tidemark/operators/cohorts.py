@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arith import count_when, safe_ratio
-from ..functions.time import bucket_of, time_type, ts_literal
+from ..functions.time import bucket_of, time_range, time_type
 from .buckets import BUCKET, _bucket_value, _shift, densify, spine_between
 
 DAY = "_day"
@@ -54,12 +54,10 @@ def _fan_out(day_counts: DataFrame, before: int, after: int, starts, ends) -> Da
 
 def _window_filter(df: DataFrame, ts: str, starts, ends, before: int, after: int) -> DataFrame:
     """Rows that can fall in any window of the range (pushed to the scan)."""
-    dtype = time_type(df, ts)
     s, e = _bucket_value(starts, "day"), _bucket_value(ends, "day")
     first_to, last_to = _shift(s, "day", 1), _shift(e, "day", 1)
-    lo = ts_literal(_shift(first_to, "day", -before), dtype)
-    hi = ts_literal(_shift(last_to, "day", after), dtype)
-    return df.where((F.col(ts) >= lo) & (F.col(ts) <= hi))
+    lo, hi = _shift(first_to, "day", -before), _shift(last_to, "day", after)
+    return df.where(time_range(df, ts, lo, hi, hi_inclusive=True))
 
 
 # ---------------------------------------------------------------- ratio ---
@@ -74,10 +72,8 @@ def rolling_ratio(df: DataFrame, ts: str, measure: str, num_pred: Column, n: int
     """
     if where is not None:
         df = df.where(where)
-    dtype = time_type(df, ts)
     s, e = _bucket_value(starts, "day"), _bucket_value(ends, "day")
-    df = df.where((F.col(ts) >= ts_literal(_shift(s, "day", -n), dtype))
-                  & (F.col(ts) < ts_literal(e, dtype)))
+    df = df.where(time_range(df, ts, _shift(s, "day", -n), e))
     daily = df.groupBy(F.to_date(ts).alias(DAY)).agg(
         F.sum(F.when(num_pred, F.col(measure))).alias("_num"),
         F.sum(F.col(measure)).alias("_den"))

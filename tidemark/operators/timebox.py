@@ -21,12 +21,15 @@ from ..functions.time import (
     bucket_of,
     is_bucket_start,
     next_bucket,
+    time_range,
     time_type,
-    ts_literal,
 )
 from .buckets import BUCKET, _bucket_value, _shift, densify, spine_between
 
 EMPTY_POLICIES = ("zero", "null", "omit")
+# Largest bucket list broadcast to restrict a refresh; beyond it the
+# restriction is a shuffled semi-join (10M days is ~27,000 years).
+MAX_BROADCAST_BUCKETS = 10_000_000
 
 
 def bucket_count_between(start, end, grain: str) -> int:
@@ -52,11 +55,9 @@ def assign_buckets(df: DataFrame, ts: str, starts, ends, grain: str = "day",
     dtype = time_type(df, ts)
     start, end = _bucket_value(starts, grain), _bucket_value(ends, grain)
     stop = _shift(end, grain, 1)
-    t = F.col(ts)
-    lo = t >= ts_literal(start, dtype)
     if closed == "left":
-        return df.where(lo & (t < ts_literal(stop, dtype))).withColumn(BUCKET, bucket_of(ts, grain))
-    rows = df.where(lo & (t <= ts_literal(stop, dtype)))
+        return df.where(time_range(df, ts, start, stop)).withColumn(BUCKET, bucket_of(ts, grain))
+    rows = df.where(time_range(df, ts, start, stop, hi_inclusive=True))
     own = bucket_of(ts, grain)
     both = F.when(is_bucket_start(ts, grain, dtype), F.array(next_bucket(own, grain, -1), own))
     rows = rows.withColumn(BUCKET, F.explode(both.otherwise(F.array(own))))
@@ -75,9 +76,10 @@ def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
     ``aggs``: output name -> any aggregate expression. ``empty`` is the
     policy for a bucket with no input rows: ``'zero'`` (COALESCE),
     ``'null'`` (an ungrouped SUM) or ``'omit'`` (a plain GROUP BY).
-    ``only_buckets`` (a DataFrame with a ``bucket`` column, at most one row
-    per bucket of the range) restricts the work to those buckets; it is
-    broadcast because its size is bounded by the range length.
+    ``only_buckets`` (a DataFrame with a ``bucket`` column) restricts the
+    work to those buckets. It is clipped to the range and made distinct, so
+    it has at most as many rows as the range has buckets; that bound is
+    checked before it is broadcast.
     """
     if empty not in EMPTY_POLICIES:
         raise ValueError(f"empty must be one of {EMPTY_POLICIES}")
@@ -85,7 +87,11 @@ def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
         df = df.where(where)
     rows = assign_buckets(df, ts, starts, ends, grain, closed)
     if only_buckets is not None:
-        rows = rows.join(F.broadcast(only_buckets.select(BUCKET)), BUCKET, "left_semi")
+        s, e = _bucket_value(starts, grain), _bucket_value(ends, grain)
+        only_buckets = (only_buckets.select(BUCKET)
+                        .where((F.col(BUCKET) >= F.lit(s)) & (F.col(BUCKET) <= F.lit(e))).distinct())
+        small = bucket_count_between(s, e, grain) <= MAX_BROADCAST_BUCKETS
+        rows = rows.join(F.broadcast(only_buckets) if small else only_buckets, BUCKET, "left_semi")
     exprs = [count_when(p).alias(k) for k, p in (metrics or {}).items()]
     exprs += [e.alias(k) for k, e in (aggs or {}).items()]
     if not exprs:
@@ -95,7 +101,7 @@ def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
         return out
     spine = spine_between(df.sparkSession, starts, ends, grain)
     if only_buckets is not None:
-        spine = spine.join(only_buckets.select(BUCKET), BUCKET, "left_semi")
+        spine = spine.join(only_buckets, BUCKET, "left_semi")
     return densify(spine, out, fill=0 if empty == "zero" else None)
 
 

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import parse_ts
+from ..functions.time import with_parsed_ts
 from .versions import unify_versions
 
 # Raw table names per logical table, in version order.
@@ -90,9 +90,9 @@ def logical_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         else:
             df = unify_versions(present, columns=cols, fill=FILLS.get(name),
                                 dedup=DISTINCT.get(name, False))
-        out[name] = _snake(df).withColumn("ts", parse_ts(F.col("timestamp").cast("string")))
+        out[name] = with_parsed_ts(_snake(df), "timestamp")
     for name, tcol in WIKI_TIMES.items():
         if name in raw:
             df = raw[name]
-            out[name] = df if tcol is None else df.withColumn("ts", parse_ts(F.col(tcol).cast("string")))
+            out[name] = df if tcol is None else with_parsed_ts(df, tcol)
     return out
