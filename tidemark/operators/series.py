@@ -109,3 +109,29 @@ def period_delta(series: DataFrame, metric: str, steps: Mapping[str, int],
                  safe_ratio(F.col("value") - F.col(f"value_{suffix}"), F.col(f"value_{suffix}"))
                  .alias(f"change_{suffix}")]
     return out.select(*cols)
+
+
+# ---------------------------------------------------------------- history ---
+
+HISTORY_SCHEMA = "report string, last_run timestamp"
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """Latest run per report from an append-only history folder.
+
+    A missing or unreadable folder is an empty history (every report due),
+    as the reference treats a missing or broken history file.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        rows = spark.read.schema(HISTORY_SCHEMA).parquet(root)
+        rows.schema  # resolve now: a missing folder raises here
+    except AnalysisException:
+        rows = spark.createDataFrame([], HISTORY_SCHEMA)
+    return rows.groupBy("report").agg(F.max("last_run").alias("last_run"))
+
+
+def append_history(runs: DataFrame, root: str) -> None:
+    """Append ``runs(report, last_run)``. Appends never rewrite what a
+    concurrent reader is reading; readers take the latest row per report."""
+    runs.select("report", F.col("last_run").cast("timestamp")).write.mode("append").parquet(root)

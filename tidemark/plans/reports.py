@@ -341,7 +341,8 @@ def app_edits_success(t: Tables, p: Params) -> DataFrame:
 
 
 @report("app-user-blocks-en", "Number of blocked 'app users' on enwiki (per day)",
-        labels={BUCKET: "Day", "numblocks": "NumBlocks"}, timeboxed=True, starts="2014-06-25")
+        labels={BUCKET: "Day", "numblocks": "NumBlocks"}, timeboxed=True, starts="2014-06-25",
+        source="enwiki")
 def app_user_blocks_en(t: Tables, p: Params) -> DataFrame:
     # Blocks are bucketed by their own day (half-open): the closed window of
     # the original would put a midnight block in two buckets, of which only
@@ -371,7 +372,7 @@ def share_attempts(t: Tables, p: Params) -> DataFrame:
 # ------------------------------------------------- cross-source reports ---
 
 @report("uploaders-experience", "Mobile Uploads vs Commons Edit count",
-        labels={"source": "source", "uploads": "uploads", "edits": "edits"})
+        labels={"source": "source", "uploads": "uploads", "edits": "edits"}, source="commons")
 def uploaders_experience(t: Tables, p: Params) -> DataFrame:
     ups = t["upload_attempts"].where(app_uploads_ok())
     src = F.when(ios(), F.lit("iOS")).when(android(), F.lit("Android"))
@@ -423,7 +424,7 @@ def _upload_titles(t: Tables) -> DataFrame:
 
 
 @report("deleted-uploads", "Uploads deleted (per month)",
-        labels={BUCKET: "date", "android": "Android", "ios": "iOS", "web": "Web"})
+        labels={BUCKET: "date", "android": "Android", "ios": "iOS", "web": "Web"}, source="commons")
 def deleted_uploads(t: Tables, p: Params) -> DataFrame:
     s, e = _range(p, "month", MONTHS)
     deletes = in_range(t["logging"].where((F.col("log_namespace") == 6) & (F.col("log_action") == "delete")),
@@ -577,18 +578,23 @@ def params_for(rep: Report, as_of, starts=None, ends=None, n: int = RUNNING_AVER
 
 def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
                stored: DataFrame | None = None, cutoff=None, force: bool = False,
-               labelled: bool = False, n: int = RUNNING_AVERAGE) -> DataFrame:
+               labelled: bool = False, n: int = RUNNING_AVERAGE, explain: bool = False) -> DataFrame:
     """Build one report.
 
     For a time-boxed report with a ``stored`` series, buckets stored and
     closed before ``cutoff`` (default: the first of ``as_of``'s month) are
     kept and the rest recomputed; if the stored series has another shape it
     is rebuilt whole unless ``force``. ``labelled`` renames columns to the
-    original headers.
+    original headers. ``tables`` may be a plain mapping or a
+    :class:`~tidemark.sources.logical.LogicalCatalog`, in which case the
+    report's own source supplies the wiki tables. ``explain`` prints the
+    formatted physical plan.
     """
     if name not in REPORTS:
         raise ValueError(f"Can not find report {name!r}")
     rep = REPORTS[name]
+    if hasattr(tables, "for_source"):
+        tables = tables.for_source(rep.source)
     p = params_for(rep, as_of, starts, ends, n)
     fresh = rep.build(tables, p)
     out = fresh
@@ -598,6 +604,8 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
             out = incremental_refresh(stored, fresh, cut, p.starts, p.ends, rep.grain)
     if labelled:
         out = out.select(*[F.col(c).alias(rep.labels.get(c, c)) for c in out.columns])
+    if explain:
+        out.explain("formatted")
     return out
 
 

@@ -96,3 +96,73 @@ def logical_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
             df = raw[name]
             out[name] = df if tcol is None else with_parsed_ts(df, tcol)
     return out
+
+
+def _raw_name(logical: str) -> list[str]:
+    return VERSIONS.get(logical, [logical])
+
+
+class LogicalCatalog(Mapping):
+    """Logical tables loaded on first use from named sources.
+
+    ``conf['sources']`` names the sources (see :func:`load_source`); event
+    versions come from ``event_source`` (default ``el``) and wiki tables from
+    ``wiki_source``. A raw version that cannot be read is skipped, so a
+    catalogue works with whichever versions a deployment has. With
+    ``materialize=True`` each distinct union over versions is written once
+    to the shared folder and read back, so reports sharing it do not repeat
+    its shuffle (and the lineage is cut at a durable table).
+    """
+
+    def __init__(self, spark, conf: Mapping, event_source: str = "el", wiki_source: str = "commons",
+                 materialize: bool = False):
+        self.spark, self.conf = spark, conf
+        self.event_source, self.wiki_source = event_source, wiki_source
+        self.materialize = materialize
+        self._cache: dict[str, DataFrame] = {}
+
+    def for_source(self, wiki_source: str) -> "LogicalCatalog":
+        if wiki_source in ("el", self.wiki_source):
+            return self
+        other = LogicalCatalog(self.spark, self.conf, self.event_source, wiki_source, self.materialize)
+        other._cache = {k: v for k, v in self._cache.items() if k in VERSIONS}
+        return other
+
+    def _read(self, source: str, table: str) -> DataFrame | None:
+        from pyspark.errors import AnalysisException
+        from .tables import load_source
+        try:
+            return load_source(self.spark, self.conf, source, table)
+        except AnalysisException:
+            return None
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._cache:
+            return self._cache[name]
+        if name in VERSIONS:
+            raw = {v: df for v in VERSIONS[name] if (df := self._read(self.event_source, v)) is not None}
+        elif name in WIKI_TIMES:
+            df = self._read(self.wiki_source, name)
+            raw = {name: df} if df is not None else {}
+        else:
+            raise KeyError(name)
+        if not raw:
+            raise KeyError(f"no version of {name!r} is readable")
+        if self.materialize and name in VERSIONS and DISTINCT.get(name) and len(raw) > 1:
+            raw = {VERSIONS[name][0]: self._durable(name, unify_versions(
+                list(raw.values()), columns=PROJECTIONS.get(name), fill=FILLS.get(name)))}
+        self._cache[name] = logical_tables(raw)[name]
+        return self._cache[name]
+
+    def _durable(self, name: str, df: DataFrame) -> DataFrame:
+        import uuid
+        from ..session import shared_dir
+        path = shared_dir(self.spark, "tables", f"{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def __iter__(self):
+        return iter(list(VERSIONS) + list(WIKI_TIMES))
+
+    def __len__(self):
+        return len(VERSIONS) + len(WIKI_TIMES)
