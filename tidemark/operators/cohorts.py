@@ -107,23 +107,22 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
     ``accounts`` also ``flag``.
     """
     before_acc = n + 1 if account_before is None else account_before
-    one = F.count(F.lit(1))
 
-    s_rows = _window_filter(signups, ts, starts, ends, n, 0)
-    u = (_fan_out(_day_counts(s_rows, ts, [user], {"_c": one}), n, 0, starts, ends)
-         .select(user, BUCKET).distinct())
-
-    parts = []
+    # Signups and edits share the window [to - n d, to], so one union reduced
+    # once to (user, day, on-midnight) gives, per (user, bucket), both "signed
+    # up in the window" and "edits in the window": two shuffles in all.
+    parts = [_window_filter(signups, ts, starts, ends, n, 0)
+             .select(F.col(user), F.col(ts), F.lit(1).alias("_s"), F.lit(0).alias("_c"))]
     for t in edits:
-        rows = _window_filter(t, ts, starts, ends, n, 0)
-        parts.append(_day_counts(rows, ts, [user], {"_c": one}))
-    per_day = parts[0]
+        parts.append(_window_filter(t, ts, starts, ends, n, 0)
+                     .select(F.col(user), F.col(ts), F.lit(0).alias("_s"), F.lit(1).alias("_c")))
+    rows = parts[0]
     for p in parts[1:]:
-        per_day = per_day.unionByName(p)
+        rows = rows.unionByName(p)
+    per_day = _day_counts(rows, ts, [user], {"_s": F.sum("_s"), "_c": F.sum("_c")})
     active = (_fan_out(per_day, n, 0, starts, ends)
-              .groupBy(user, BUCKET).agg(F.sum("_c").alias("_edits"))
-              .join(u, [user, BUCKET], "left_semi")
-              .where(F.col("_edits") >= min_edits)
+              .groupBy(user, BUCKET).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_edits"))
+              .where((F.col("_s") > 0) & (F.col("_edits") >= min_edits))
               .select(user, BUCKET))
 
     acc = accounts if account_where is None else accounts.where(account_where)

@@ -149,15 +149,13 @@ def source_reconciliation(claimed: DataFrame, log: DataFrame, sources: Sequence[
     per source) and the difference. One column per source.
     """
     names = list(names or sources)
-    claimed_n = claimed.groupBy(source).agg(F.count(F.lit(1)).alias("v"))
-    found = match_keys(log, claimed, on, key=key, tag=source).select(source, F.col("n").alias("v"))
-    lab_claimed, lab_found, lab_diff = labels
-    both = (claimed_n.withColumn("label", F.lit(lab_claimed))
-            .unionByName(found.withColumn("label", F.lit(lab_found))))
-    diff = (both.groupBy(source)
-            .agg(F.sum(F.when(F.col("label") == lab_claimed, F.col("v")).otherwise(-F.col("v"))).alias("v"))
-            .withColumn("label", F.lit(lab_diff)))
-    rows = both.unionByName(diff)
-    wide = rows.groupBy("label").pivot(source, list(sources)).agg(F.first("v"))
-    return wide.select("label", *[F.coalesce(F.col(f"`{s}`"), F.lit(0)).cast("bigint").alias(n)
-                                  for s, n in zip(sources, names)])
+    claimed_n = claimed.groupBy(source).agg(F.count(F.lit(1)).alias("_claimed"))
+    found = match_keys(log, claimed, on, key=key, tag=source).select(source, F.col("n").alias("_found"))
+    per = claimed_n.join(found, source, "full").select(
+        source, F.coalesce("_claimed", F.lit(0)).alias("_c"), F.coalesce("_found", F.lit(0)).alias("_f"))
+    values = [F.col("_c"), F.col("_f"), F.col("_c") - F.col("_f")]
+    triples = F.array(*[F.struct(F.lit(lab).alias("label"), v.alias("v")) for lab, v in zip(labels, values)])
+    rows = per.select(source, F.inline(triples))
+    return rows.groupBy("label").agg(*[
+        F.coalesce(F.sum(F.when(F.col(source) == s, F.col("v"))), F.lit(0)).cast("bigint").alias(n)
+        for s, n in zip(sources, names)])
