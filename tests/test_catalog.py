@@ -46,3 +46,18 @@ def test_history_round_trip_and_due(spark, tmp_path):
     due = {r["report"]: r["due"] for r in due_reports(reg, hist, now).collect()}
     assert due["ui-daily"] is False and due["month-uploads"] is True
     assert len(due) == 33
+
+
+def test_refresh_report_versions_and_drift(spark, tables, tmp_path):
+    from tidemark.plans.runner import latest_series, refresh_report
+    from tidemark.operators.series import read_history
+    root, hist = str(tmp_path / "series"), str(tmp_path / "hist")
+    p1 = refresh_report(spark, tables, "app-edits-starts", root, AS_OF, now=dt.datetime(2014, 7, 15), history=hist)
+    p2 = refresh_report(spark, tables, "app-edits-starts", root, AS_OF, cutoff="2014-07-01", history=hist)
+    assert p1.endswith("v=1") and p2.endswith("v=2")
+    fresh = run_report(tables, "app-edits-starts", AS_OF)
+    stored, v = latest_series(spark, root + "/app-edits-starts", fresh.schema)
+    assert v == 2 and sorted(stored.collect()) == sorted(fresh.collect())
+    assert read_history(spark, hist).count() == 1
+    p3 = refresh_report(spark, tables, "ui-daily", root, AS_OF)
+    assert p3.endswith("ui-daily/v=1")
