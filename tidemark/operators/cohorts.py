@@ -92,7 +92,8 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
                           user: str = "user", ts: str = "ts", flag: str = "flag",
                           account_where: Column | None = None,
                           labels: tuple[str, str] = ("mobile", "desktop"),
-                          account_before: int | None = None, account_after: int = 1) -> DataFrame:
+                          account_before: int | None = None, account_after: int = 1,
+                          durable: bool = True) -> DataFrame:
     """Newly registered users who became active, by day bucket.
 
     For each day bucket ``b`` (window end ``to = b + 1 day``):
@@ -105,6 +106,11 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
     A bucket with no rows is NULL (an ungrouped SUM). ``signups``,
     ``edits`` and ``accounts`` carry columns ``user`` and ``ts``;
     ``accounts`` also ``flag``.
+
+    The active (user, bucket) set feeds two steps (it pre-filters the
+    accounts and is joined with them). With ``durable=True`` it is
+    checkpointed once to the shared folder (``spark.checkpoint.dir``), so
+    the edit tables are scanned once and the lineage is cut there.
     """
     before_acc = n + 1 if account_before is None else account_before
 
@@ -124,6 +130,10 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
               .groupBy(user, BUCKET).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_edits"))
               .where((F.col("_s") > 0) & (F.col("_edits") >= min_edits))
               .select(user, BUCKET))
+    if durable:
+        from ..session import shared_dir
+        shared_dir(active.sparkSession)  # the session's folder; a scratch one only if unset
+        active = active.checkpoint(eager=True)
 
     acc = accounts if account_where is None else accounts.where(account_where)
     acc = _window_filter(acc, ts, starts, ends, before_acc, account_after)

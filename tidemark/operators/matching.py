@@ -149,10 +149,13 @@ def source_reconciliation(claimed: DataFrame, log: DataFrame, sources: Sequence[
     per source) and the difference. One column per source.
     """
     names = list(names or sources)
-    claimed_n = claimed.groupBy(source).agg(F.count(F.lit(1)).alias("_claimed"))
-    found = match_keys(log, claimed, on, key=key, tag=source).select(source, F.col("n").alias("_found"))
-    per = claimed_n.join(found, source, "full").select(
-        source, F.coalesce("_claimed", F.lit(0)).alias("_c"), F.coalesce("_found", F.lit(0)).alias("_f"))
+    # One pass per side: claims reduced to (source, key, claims), the log to
+    # (key, rows); a left join lines them up (a NULL key never matches).
+    claims = claimed.groupBy(source, F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    rows_per_key = (log.where(F.col(on).isNotNull())
+                    .groupBy(F.col(on).alias("_k")).agg(F.count(F.lit(1)).alias("_m")))
+    per = (claims.join(rows_per_key, "_k", "left")
+           .groupBy(source).agg(F.sum("_n").alias("_c"), F.coalesce(F.sum("_m"), F.lit(0)).alias("_f")))
     values = [F.col("_c"), F.col("_f"), F.col("_c") - F.col("_f")]
     triples = F.array(*[F.struct(F.lit(lab).alias("label"), v.alias("v")) for lab, v in zip(labels, values)])
     rows = per.select(source, F.inline(triples))

@@ -94,21 +94,26 @@ def period_delta(series: DataFrame, metric: str, steps: Mapping[str, int],
     relative change ``(now - then) / then`` (NULL without a base).
 
     ``steps`` maps a suffix to a number of buckets, e.g. ``{'1m': 1,
-    '1y': 12}``. Each lag is an equi-join on a shifted key -- no window over
-    the whole series, so nothing funnels into a single task.
+    '1y': 12}``. One pass: every row is sent to its own bucket and to the
+    buckets ``k`` later (an ``explode`` of 1 + len(steps) entries), then one
+    ``groupBy`` lines the values up -- no self-join, so the series is
+    computed once, and no window over the whole series in a single task.
     """
-    base = series.select(F.col(key), F.col(metric).alias("value"))
-    out = base
-    for suffix, k in steps.items():
-        shifted_key = F.date_add(F.col(key), k) if grain == "day" else F.add_months(F.col(key), k)
-        then = series.select(shifted_key.alias(key), F.col(metric).alias(f"value_{suffix}"))
-        out = out.join(then, key, "left")
-    cols = [key, "value"]
-    for suffix in steps:
-        cols += [f"value_{suffix}",
-                 safe_ratio(F.col("value") - F.col(f"value_{suffix}"), F.col(f"value_{suffix}"))
-                 .alias(f"change_{suffix}")]
-    return out.select(*cols)
+    def shift(k):
+        return F.date_add(F.col(key), k) if grain == "day" else F.add_months(F.col(key), k)
+    targets = [F.struct(F.col(key).alias("_b"), F.lit("").alias("_kind"))]
+    targets += [F.struct(shift(k).alias("_b"), F.lit(suffix).alias("_kind")) for suffix, k in steps.items()]
+    sent = series.select(F.col(metric).alias("_v"), F.inline(F.array(*targets)))
+    aggs = [F.max(F.when(F.col("_kind") == "", F.lit(True))).alias("_present"),
+            F.sum(F.when(F.col("_kind") == "", F.col("_v"))).alias("value")]
+    aggs += [F.sum(F.when(F.col("_kind") == sfx, F.col("_v"))).alias(f"value_{sfx}") for sfx in steps]
+    lined = sent.groupBy(F.col("_b").alias(key)).agg(*aggs).where(F.col("_present"))
+    cols = [key, F.col("value").cast(series.schema[metric].dataType).alias("value")]
+    for sfx in steps:
+        then = F.col(f"value_{sfx}").cast(series.schema[metric].dataType)
+        cols += [then.alias(f"value_{sfx}"),
+                 safe_ratio(F.col("value") - F.col(f"value_{sfx}"), F.col(f"value_{sfx}")).alias(f"change_{sfx}")]
+    return lined.select(*cols)
 
 
 # ---------------------------------------------------------------- history ---
