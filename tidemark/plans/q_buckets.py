@@ -11,6 +11,7 @@ from ..operators.buckets import (
     bucket_distinct,
     bucket_pivot,
     data_spine,
+    dense_distinct,
     dense_pivot,
     latest_buckets,
 )
@@ -204,3 +205,27 @@ FROM orders GROUP BY 1 ORDER BY bucket DESC LIMIT 12
 def latest_buckets_query(spark, sf_dir):
     series = bucket_counts(table(spark, sf_dir, "orders"), "o_orderdate", "month")
     return latest_buckets(series, 12)
+
+
+@register("dense_distinct_daily", covers="dense_distinct bucket_distinct densify R-02 R-09", oracle=f"""
+WITH spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '2024-01-01', DATE '{EVENTS_AS_OF}', INTERVAL 1 DAY) t(d)),
+agg AS (
+  SELECT CAST(ts AS DATE) AS bucket,
+    COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS buyers,
+    COUNT(DISTINCT CASE WHEN event_type = 'error' THEN user_id END) AS failing
+  FROM events WHERE value > 90
+    AND ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
+  GROUP BY 1)
+SELECT s.bucket, CAST(COALESCE(a.buyers, 0) AS BIGINT) AS buyers,
+  CAST(COALESCE(a.failing, 0) AS BIGINT) AS failing
+FROM spine s LEFT JOIN agg a ON s.bucket = a.bucket
+""")
+def dense_distinct_daily(spark, sf_dir):
+    """30-day calendar of distinct users per class (the unique-uploaders-day
+    shape), zeros on days without any."""
+    t = F.col("event_type")
+    return dense_distinct(table(spark, sf_dir, "events"), "ts", "day", EVENTS_AS_OF, 30, "user_id",
+                          {"buyers": t == "purchase", "failing": t == "error"},
+                          where=F.col("value") > 90)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalise_title, normalise_user
 from ..operators.buckets import BUCKET, densify, in_range, spine_between, spine_bounds
 from ..operators.matching import (
+    category_counts,
     category_members,
     enrich_counts,
     match_keys,
@@ -208,3 +209,13 @@ def source_reconciliation_query(spark, sf_dir):
     claimed = orders.select(F.col("o_orderstatus").alias("source"), F.col("o_orderkey").alias("key"))
     return source_reconciliation(claimed, table(spark, sf_dir, "lineitem"), STATUSES, "l_orderkey",
                                  names=[s.lower() for s in STATUSES])
+
+
+@register("category_counts", covers="category_counts R-23 (members per source in one scan)", oracle="""
+SELECT CASE l_returnflag WHEN 'R' THEN 'returned' WHEN 'A' THEN 'accepted' END AS source, COUNT(*) AS n
+FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1
+""")
+def category_counts_query(spark, sf_dir):
+    """Line items per category for two named sources in one filtered scan."""
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("cl_to"))
+    return category_counts(links, {"returned": "R", "accepted": "A"})

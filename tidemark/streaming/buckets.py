@@ -26,9 +26,14 @@ def bucket_count_stream(events: DataFrame, ts: str, metrics: Mapping[str, Column
     """Streaming aggregate: counts per ``width`` window of event time.
 
     ``TIMESTAMP_NTZ`` time columns are cast to ``TIMESTAMP`` (watermarks need
-    it); with the session in UTC the wall clock is unchanged. Rows later than
-    the watermark are dropped by Spark, bounding the state.
+    it). Day windows are aligned to UTC midnight, so the session must run in
+    UTC (as :func:`tidemark.session.get_session` sets) for them to be
+    wall-clock days; another zone is refused. Rows later than the watermark
+    are dropped by Spark, bounding the state.
     """
+    tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    if tz not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"day windows need a UTC session time zone, not {tz!r}")
     t = F.col(ts).cast("timestamp")
     rows = events.withColumn("_et", t).withWatermark("_et", watermark)
     aggs = []
