@@ -263,3 +263,17 @@ def test_time_boxed_refresh_keeps_closed_buckets(tables):
 def test_unknown_report_raises(tables):
     with pytest.raises(ValueError):
         run_report(tables, "no-such-report", AS_OF)
+
+
+def test_sql_report_matches_dataframe_report(spark, tables):
+    from tidemark.plans.reports import run_sql_report
+    sql = """
+        SELECT to_date(ts) AS bucket, COUNT(*) AS total,
+               SUM(IF(event_platform LIKE 'Android%', 1, 0)) AS android,
+               SUM(IF(event_platform LIKE 'iOS%', 1, 0)) AS ios
+        FROM upload_attempts
+        WHERE event_result = :result AND wiki = 'commonswiki'
+        GROUP BY to_date(ts)"""
+    got = run_sql_report(spark, tables, sql, {"result": "cancelled"})
+    want = run_report(tables, "cancelled-uploads", AS_OF)
+    assert sorted(got.collect()) == sorted(want.collect())

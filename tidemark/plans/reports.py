@@ -613,3 +613,20 @@ def run_all(tables: Tables, as_of, registered_only: bool = True, **kw) -> dict[s
     """Every report (lazily): ``{name: DataFrame}``."""
     return {name: run_report(tables, name, as_of, **kw) for name, rep in REPORTS.items()
             if rep.registered or not registered_only}
+
+
+def run_sql_report(spark, tables: Tables, sql: str, args: Mapping | None = None,
+                   views: list[str] | None = None) -> DataFrame:
+    """Run a report written in Spark SQL against the logical tables.
+
+    Each logical table (``views``, default: every table the SQL mentions) is
+    a temporary view under its own name; settings are named parameters
+    (``:as_of``, ``:n`` ...) bound by ``spark.sql(sql, args=...)`` -- values
+    are never pasted into the text.
+    """
+    import re
+    names = views if views is not None else [
+        n for n in tables if re.search(rf"\b{re.escape(n)}\b", sql)]
+    for n in names:
+        tables[n].createOrReplaceTempView(n)
+    return spark.sql(sql, args=dict(args or {}))
