@@ -66,11 +66,12 @@ def test_classify_prefix_and_arith(spark):
     df = spark.createDataFrame([("Android 4", 1, None), ("iOS 7", None, None), ("web", 2, 3)],
                                "p string, a int, b int")
     cls = classify_prefix("p", {"Android": "Android", "iOS": "iOS"}, default="other")
-    rows = df.select(cls, row_total(["a", "b"]), safe_ratio("a", "b"), two_decimal(F.lit(0.125))).collect()
+    rows = df.select(cls, row_total(["a", "b"]), safe_ratio("a", "b"), two_decimal(F.lit(0.125)),
+                     two_decimal(F.lit(0.615)), two_decimal(F.lit(None).cast("double"))).collect()
     assert [r[0] for r in rows] == ["Android", "iOS", "other"]
     assert [r[1] for r in rows] == [1, 0, 5]
     assert rows[2][2] == pytest.approx(2 / 3) and rows[0][2] is None
-    assert rows[0][3] == "0.13"
+    assert (rows[0][3], rows[0][4], rows[0][5]) == ("%.2f" % 0.125, "%.2f" % 0.615, None) == ("0.12", "0.61", None)
 
 
 def test_count_when_null_predicate_counts_zero(spark):

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arith import safe_ratio
+from ..functions.arith import safe_ratio, two_decimal
 from ..functions.time import bucket_of
 from .buckets import BUCKET
 
@@ -136,7 +136,7 @@ def retention_summary(totals: DataFrame, retained: DataFrame | None = None,
     frac = safe_ratio(F.col("total") - F.col("undeleted"), F.col("total"))
     out = out.withColumn("deleted_fraction", frac)
     if as_text:
-        out = out.withColumn("deletion_percentage", F.format_string("%.2f", F.col("deleted_fraction")))
+        out = out.withColumn("deletion_percentage", two_decimal("deleted_fraction"))
     return out
 
 

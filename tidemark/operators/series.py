@@ -129,7 +129,7 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     """
     from pyspark.errors import AnalysisException
     try:
-        rows = spark.read.schema(HISTORY_SCHEMA).parquet(root)
+        rows = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
         rows.schema  # resolve now: a missing folder raises here
     except AnalysisException:
         rows = spark.createDataFrame([], HISTORY_SCHEMA)
