@@ -137,10 +137,13 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
 
     acc = accounts if account_where is None else accounts.where(account_where)
     acc = _window_filter(acc, ts, starts, ends, before_acc, account_after)
-    acc = acc.join(active.select(user).distinct(), user, "left_semi")
     mobile, desktop = labels
+    # Reduce accounts to (user, day, on-midnight) counts map-side first, so
+    # a user holding a large share of account rows is a few rows per task
+    # before the shuffle on user; then keep only active users.
     acc_days = _day_counts(acc, ts, [user], {
         mobile: count_when(F.col(flag) == 1), desktop: count_when(F.col(flag) != 1)})
+    acc_days = acc_days.join(active.select(user).distinct(), user, "left_semi")
     spread = _fan_out(acc_days, before_acc, account_after, starts, ends)
     joined = spread.join(active, [user, BUCKET])
     sums = joined.groupBy(BUCKET).agg(F.sum(mobile).cast("bigint").alias(mobile),
