@@ -60,11 +60,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
     On a cluster this setting names the shared folder and is always read from
-    the session. Only when it is unset (local runs, tests) a fresh scratch
-    folder is created and registered, so ``checkpoint()`` works as well.
+    the session; if it is unset there, this raises rather than fall back to
+    a machine-local folder. Only in local mode (local runs, tests) is a
+    fresh scratch folder created and registered when it is unset, so
+    ``checkpoint()`` works as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
