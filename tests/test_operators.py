@@ -277,3 +277,9 @@ def test_write_read_describe(spark):
         write_series(back, path + "/x")  # never overwrite what is being read
     desc = describe_series(s, "r", {"bucket": "Day"})
     assert desc[0] == ("r", 0, "bucket", "date", "Day") and desc[1][3] == "int"
+
+
+def test_empty_range_gives_empty_series(spark):
+    df = ev(spark, [(T(2014, 1, 1, 3), 1, "a")])
+    out = time_boxed(df, "ts", "2014-02-01", "2014-01-01", aggs={"n": F.count(F.lit(1))}, empty="zero")
+    assert out.count() == 0

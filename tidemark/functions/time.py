@@ -73,7 +73,10 @@ def time_range(df, ts: str, lo=None, hi=None, hi_inclusive: bool = False) -> Col
         if lo is not None:
             conds.append(x >= F.lit(_text14(lo)))
         if hi is not None:
-            conds.append(x <= F.lit(_text14(hi)) if hi_inclusive else x < F.lit(_text14(hi)))
+            # Text has whole seconds: a fractional exclusive bound becomes
+            # inclusive on the text (the exact bound is the one on ``ts``).
+            frac = isinstance(hi, _dt.datetime) and hi.microsecond
+            conds.append(x <= F.lit(_text14(hi)) if hi_inclusive or frac else x < F.lit(_text14(hi)))
     out = None
     for c in conds:
         out = c if out is None else out & c

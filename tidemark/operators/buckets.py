@@ -69,6 +69,8 @@ def spine_between(spark: SparkSession, start, end, grain: str = "day",
                   order: str | None = None, name: str = BUCKET) -> DataFrame:
     """Every bucket from ``start`` to ``end`` inclusive (literal bounds)."""
     s, e = _bucket_value(start, grain), _bucket_value(end, grain)
+    if s > e:  # an empty range is an empty calendar, not an error
+        return spark.createDataFrame([], f"{name} date")
     out = spark.range(1).select(
         F.explode(F.sequence(F.lit(s), F.lit(e), _step(grain))).alias(name))
     return _order(out, order, name)
