@@ -20,19 +20,10 @@ from ..functions.time import bucket_of
 from .buckets import BUCKET
 
 
-def match_keys(log: DataFrame, keys: DataFrame, on: str, ts: str | None = None,
-               grain: str = "day", key: str = "key", tag: str = "tag",
-               where: Column | None = None, weight: str | None = None,
-               group: Sequence[str] | None = None) -> DataFrame:
-    """Log rows whose ``on`` value is in each tagged key list, counted.
-
-    ``keys(tag, key)`` may repeat; it is made distinct per (tag, key) so each
-    log row counts at most once per tag (``IN`` semantics). Output is long:
-    ``(bucket, tag, n)`` when ``ts`` is given, ``(*group, tag, n)`` when
-    ``group`` names existing columns, else ``(tag, n)``; only non-zero
-    counts appear. NULL keys never match. ``weight`` names a column holding
-    pre-aggregated row counts, summed instead of counting rows.
-    """
+def _matched(log: DataFrame, keys: DataFrame, on: str, ts: str | None, grain: str, key: str, tag: str,
+             where: Column | None, weight: str | None, group: Sequence[str] | None):
+    """(log reduced to (key, *out_keys) counts) joined with the distinct
+    (tag, key) lists; returns the joined frame and the output key names."""
     if where is not None:
         log = log.where(where)
     group_cols = [F.col(on).alias("_k")]
@@ -47,7 +38,23 @@ def match_keys(log: DataFrame, keys: DataFrame, on: str, ts: str | None = None,
     pre = log.where(F.col(on).isNotNull()).groupBy(*group_cols).agg(n.alias("_n"))
     lists = (keys.where(F.col(key).isNotNull())
              .select(F.col(tag).alias(tag), F.col(key).alias("_k")).distinct())
-    joined = pre.join(lists, "_k")
+    return pre.join(lists, "_k"), out_keys
+
+
+def match_keys(log: DataFrame, keys: DataFrame, on: str, ts: str | None = None,
+               grain: str = "day", key: str = "key", tag: str = "tag",
+               where: Column | None = None, weight: str | None = None,
+               group: Sequence[str] | None = None) -> DataFrame:
+    """Log rows whose ``on`` value is in each tagged key list, counted.
+
+    ``keys(tag, key)`` may repeat; it is made distinct per (tag, key) so each
+    log row counts at most once per tag (``IN`` semantics). Output is long:
+    ``(bucket, tag, n)`` when ``ts`` is given, ``(*group, tag, n)`` when
+    ``group`` names existing columns, else ``(tag, n)``; only non-zero
+    counts appear. NULL keys never match. ``weight`` names a column holding
+    pre-aggregated row counts, summed instead of counting rows.
+    """
+    joined, out_keys = _matched(log, keys, on, ts, grain, key, tag, where, weight, group)
     return joined.groupBy(*out_keys, tag).agg(F.sum("_n").cast("bigint").alias("n"))
 
 
@@ -58,16 +65,15 @@ def match_keys_wide(log: DataFrame, keys: DataFrame, on: str, tags: Sequence[str
                     group: Sequence[str] | None = None) -> DataFrame:
     """:func:`match_keys` with one count column per tag (0 when none match).
 
-    The tag columns are conditional sums over the joined rows, so the wide
-    form costs the same single shuffle as the long one (no pivot step).
+    The tag columns are conditional sums taken directly over the joined
+    rows, so the wide form costs one aggregation, like the long one.
     """
     names = list(names or tags)
-    long = match_keys(log, keys.where(F.col(tag).isin(list(tags))), on, ts, grain, key, tag,
-                      where, weight, group)
-    out_keys = ([BUCKET] if ts is not None else []) + list(group or [])
-    aggs = [F.sum(F.when(F.col(tag) == t, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias(n)
+    joined, out_keys = _matched(log, keys.where(F.col(tag).isin(list(tags))), on, ts, grain, key, tag,
+                                where, weight, group)
+    aggs = [F.sum(F.when(F.col(tag) == t, F.col("_n")).otherwise(F.lit(0))).cast("bigint").alias(n)
             for t, n in zip(tags, names)]
-    return long.groupBy(*out_keys).agg(*aggs) if out_keys else long.agg(*aggs)
+    return joined.groupBy(*out_keys).agg(*aggs) if out_keys else joined.agg(*aggs)
 
 
 def pivot_tags(long: DataFrame, tags: Sequence[str], names: Sequence[str] | None = None,
