@@ -61,3 +61,26 @@ def test_refresh_report_versions_and_drift(spark, tables, tmp_path):
     assert read_history(spark, hist).count() == 1
     p3 = refresh_report(spark, tables, "ui-daily", root, AS_OF)
     assert p3.endswith("ui-daily/v=1")
+
+
+def test_day_partitions_are_pruned(spark, tables, tmp_path):
+    import contextlib
+    import io
+    from pyspark.sql import functions as F
+    from tidemark.sources.logical import logical_tables
+    raw = raw_tables(spark)
+    names = ["MobileWebClickTracking_5929948", "MobileWebEditing_5644223", "MobileWebEditing_6077315",
+             "MobileWebEditing_6637866", "MobileWebEditing_7675117", "MobileWebEditing_8599025"]
+    parted = {}
+    for n in names:
+        day = F.date_format(F.try_to_timestamp("timestamp", F.lit("yyyyMMddHHmmss")), "yyyy-MM-dd")
+        raw[n].withColumn("dt", day).write.partitionBy("dt").parquet(str(tmp_path / n))
+        parted[n] = spark.read.parquet(str(tmp_path / n))
+    t = logical_tables(parted, day_partition="dt")
+    for name, kw in (("ui-daily", {"starts": "2014-05-01"}), ("successful-edits-main", {})):
+        got = run_report(t, name, AS_OF, **kw)
+        assert sorted(got.collect()) == sorted(run_report(tables, name, AS_OF, **kw).collect()), name
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            got.explain("formatted")
+        assert "PartitionFilters: [isnotnull(dt#" in buf.getvalue() and "(dt#" in buf.getvalue()

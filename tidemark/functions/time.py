@@ -14,8 +14,10 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 
 TS14 = "yyyyMMddHHmmss"
 GRAINS = ("day", "month")
-# Column metadata key: the 14-digit text column a parsed time came from.
+# Column metadata keys: the 14-digit text column a parsed time came from, and
+# a day-partition column (DATE or 'yyyy-MM-dd' text) of the same rows.
 TEXT_SOURCE = "tidemark.text_ts"
+DAY_PARTITION = "tidemark.day_partition"
 
 
 def _check_grain(grain: str) -> None:
@@ -37,14 +39,29 @@ def parse_ts(col: Column | str, ntz: bool = True) -> Column:
     return parsed.cast("timestamp_ntz") if ntz else parsed
 
 
-def with_parsed_ts(df, text_col: str, name: str = "ts"):
+def with_parsed_ts(df, text_col: str, name: str = "ts", day_partition: str | None = None):
     """Add ``name`` parsed from the 14-digit text column ``text_col`` and
     remember the source, so time ranges also filter the text column --
-    a plain string comparison that Parquet can prune row groups with."""
+    a plain string comparison that Parquet can prune row groups with.
+
+    ``day_partition`` names a partition column holding each row's day
+    (DATE or ``yyyy-MM-dd`` text); ranges then bound it too, so whole
+    partitions are skipped (``PartitionFilters``)."""
     from pyspark.sql.types import StringType
+    meta = {}
+    if day_partition and day_partition in df.columns:
+        meta[DAY_PARTITION] = day_partition
     if isinstance(df.schema[text_col].dataType, StringType):
-        return df.withColumn(name, parse_ts(text_col).alias(name, metadata={TEXT_SOURCE: text_col}))
-    return df.withColumn(name, parse_ts(F.col(text_col).cast("string")))
+        meta[TEXT_SOURCE] = text_col
+        return df.withColumn(name, parse_ts(text_col).alias(name, metadata=meta))
+    return df.withColumn(name, parse_ts(F.col(text_col).cast("string")).alias(name, metadata=meta))
+
+
+def with_day_partition(df, ts: str, day_partition: str):
+    """Mark an existing time column ``ts`` as partitioned by ``day_partition``."""
+    meta = dict(df.schema[ts].metadata)
+    meta[DAY_PARTITION] = day_partition
+    return df.withColumn(ts, F.col(ts).alias(ts, metadata=meta))
 
 
 def _text14(value) -> str:
@@ -67,6 +84,18 @@ def time_range(df, ts: str, lo=None, hi=None, hi_inclusive: bool = False) -> Col
         conds.append(t >= ts_literal(lo, dtype))
     if hi is not None:
         conds.append(t <= ts_literal(hi, dtype) if hi_inclusive else t < ts_literal(hi, dtype))
+    part = df.schema[ts].metadata.get(DAY_PARTITION)
+    if part and part in df.columns:
+        # Whole days: a bound inside a day still needs that day's partition.
+        p = F.col(part)
+        is_text = not isinstance(df.schema[part].dataType, DateType)
+        def day_lit(v):
+            d = to_date_value(v)
+            return F.lit(d.isoformat()) if is_text else F.lit(d)
+        if lo is not None:
+            conds.append(p >= day_lit(lo))
+        if hi is not None:
+            conds.append(p <= day_lit(hi))
     text = df.schema[ts].metadata.get(TEXT_SOURCE)
     if text and text in df.columns:
         x = F.col(text)

@@ -71,13 +71,17 @@ def _snake(df: DataFrame) -> DataFrame:
     return df
 
 
-def logical_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def logical_tables(raw: Mapping[str, DataFrame], day_partition: str | None = None) -> dict[str, DataFrame]:
     """Build every logical table whose raw versions are present in ``raw``.
 
     ``raw`` maps raw table names (event versions, wiki tables) to
     DataFrames. Event tables get ``ts`` from ``timestamp``; wiki tables get
     ``ts`` from their ``*_timestamp`` column. Text that does not parse
-    becomes NULL.
+    becomes NULL. ``day_partition`` names the day-partition column of
+    tables stored partitioned by day; time ranges then prune partitions.
+    The partition must be the day of the row's own timestamp (not, say, an
+    ingestion day): only then is the partition bound exact, and only then
+    do equal rows of a ``UNION`` still collapse.
     """
     out: dict[str, DataFrame] = {}
     for name, versions in VERSIONS.items():
@@ -85,16 +89,18 @@ def logical_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         if not present:
             continue
         cols = PROJECTIONS.get(name)
+        if cols is not None and day_partition and all(day_partition in p.columns for p in present):
+            cols = cols + [day_partition]  # a function of the row's own time: dedup unchanged
         if cols is None and len(present) == 1:
             df = present[0]
         else:
             df = unify_versions(present, columns=cols, fill=FILLS.get(name),
                                 dedup=DISTINCT.get(name, False))
-        out[name] = with_parsed_ts(_snake(df), "timestamp")
+        out[name] = with_parsed_ts(_snake(df), "timestamp", day_partition=day_partition)
     for name, tcol in WIKI_TIMES.items():
         if name in raw:
             df = raw[name]
-            out[name] = df if tcol is None else with_parsed_ts(df, tcol)
+            out[name] = df if tcol is None else with_parsed_ts(df, tcol, day_partition=day_partition)
     return out
 
 
@@ -117,6 +123,8 @@ class LogicalCatalog(Mapping):
     def __init__(self, spark, conf: Mapping, event_source: str = "el", wiki_source: str = "commons",
                  materialize: bool = False):
         self.spark, self.conf = spark, conf
+        # ``conf['day_partition']``: day-partition column of partitioned tables.
+        self.day_partition = conf.get("day_partition")
         self.event_source, self.wiki_source = event_source, wiki_source
         self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
@@ -151,7 +159,7 @@ class LogicalCatalog(Mapping):
         if self.materialize and name in VERSIONS and DISTINCT.get(name) and len(raw) > 1:
             raw = {VERSIONS[name][0]: self._durable(name, unify_versions(
                 list(raw.values()), columns=PROJECTIONS.get(name), fill=FILLS.get(name)))}
-        self._cache[name] = logical_tables(raw)[name]
+        self._cache[name] = logical_tables(raw, day_partition=self.day_partition)[name]
         return self._cache[name]
 
     def _durable(self, name: str, df: DataFrame) -> DataFrame:
