@@ -27,10 +27,11 @@ def write_series(df: DataFrame, path: str, fmt: str = "csv", key: str = BUCKET,
                  labels: Mapping[str, str] | None = None, partitioned: bool = False) -> None:
     """Write a series, fully replacing what is at ``path``.
 
-    ``csv`` is the reference's sink: one header line, rows sorted by the
-    bucket key, one file (a series has one row per bucket, i.e. at most a few
-    thousand rows, so a single writer task is fine). ``labels`` renames
-    columns for display. ``parquet`` with ``partitioned=True`` writes one
+    ``csv`` is the reference's sink: a header line and rows sorted by the
+    bucket key. The sort is a range partitioning, so part files are in key
+    order and no single task has to take the whole series; AQE coalesces a
+    small series (one row per bucket) into a single file by itself.
+    ``labels`` renames columns for display. ``parquet`` with ``partitioned=True`` writes one
     partition per bucket with dynamic partition overwrite, so a refresh
     replaces only the buckets it carries. Writing to a path the plan reads
     from is refused: write to a new path and switch instead.
@@ -43,7 +44,7 @@ def write_series(df: DataFrame, path: str, fmt: str = "csv", key: str = BUCKET,
     if labels:
         out = out.select(*[F.col(c).alias(labels.get(c, c)) for c in out.columns])
     if fmt == "csv":
-        (out.coalesce(1).sortWithinPartitions(labels.get(key, key) if labels else key)
+        (out.orderBy(labels.get(key, key) if labels else key)
          .write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
          .csv(path))
         return
