@@ -283,3 +283,12 @@ def test_empty_range_gives_empty_series(spark):
     df = ev(spark, [(T(2014, 1, 1, 3), 1, "a")])
     out = time_boxed(df, "ts", "2014-02-01", "2014-01-01", aggs={"n": F.count(F.lit(1))}, empty="zero")
     assert out.count() == 0
+
+
+def test_approx_distinct_close_to_exact(spark):
+    rows = [(T(2014, 1, 1 + (i % 3), 1), i % 500, "a") for i in range(3000)]
+    df = ev(spark, rows)
+    exact = {r[0]: r[1] for r in bucket_distinct(df, "ts", "day", "user", {"u": F.lit(True)}).collect()}
+    approx = {r[0]: r[1] for r in bucket_distinct(df, "ts", "day", "user", {"u": F.lit(True)}, approx=True).collect()}
+    assert set(exact) == set(approx)
+    assert all(abs(approx[d] - exact[d]) <= 0.05 * exact[d] for d in exact)

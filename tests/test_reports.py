@@ -277,3 +277,10 @@ def test_sql_report_matches_dataframe_report(spark, tables):
     got = run_sql_report(spark, tables, sql, {"result": "cancelled"})
     want = run_report(tables, "cancelled-uploads", AS_OF)
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_run_all_builds_every_scheduled_report(tables):
+    from tidemark.plans.reports import run_all
+    out = run_all(tables, AS_OF, starts=None)
+    assert len(out) == 33 and "error-correction" not in out and "edits-monthly-active-2014" not in out
+    assert out["ui-daily"].columns[0] == "bucket"
