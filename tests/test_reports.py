@@ -201,6 +201,13 @@ def test_error_correction_rows(tables):
     assert set(got) == {"Total on EL", "Uploaded on Commons", "Difference"}
     for c in ("android", "ios"):
         assert got["Difference"][c] == got["Total on EL"][c] - got["Uploaded on Commons"][c]
+    apps = [r for r in uploads() if r["event_result"] == "success" and r["wiki"] == "commonswiki"]
+    uploaded = [r["log_title"] for r in _dicts("logging") if r["log_namespace"] == 6 and r["log_action"] == "upload"]
+    for c, prefix in (("android", "Android"), ("ios", "iOS")):
+        titles = [norm_title(r["event_filename"]) for r in apps if startswith(r["event_platform"], prefix)]
+        titles = [x for x in titles if x is not None]
+        assert got["Total on EL"][c] == len(titles)                        # duplicates kept
+        assert got["Uploaded on Commons"][c] == sum(1 for x in uploaded if x in set(titles))
 
 
 def test_alltime_numbers(tables):

@@ -151,13 +151,15 @@ def source_reconciliation(claimed: DataFrame, log: DataFrame, sources: Sequence[
                           labels: Sequence[str] = ("claimed", "found", "difference"),
                           names: Sequence[str] | None = None) -> DataFrame:
     """Three rows per the reference's check: how many keys each source
-    claims (duplicates kept), how many log rows match them (each log row once
-    per source) and the difference. One column per source.
+    claims (duplicates kept; NULL keys -- empty titles -- are not keys and
+    are left out), how many log rows match them (each log row once per
+    source) and the difference. One column per source.
     """
     names = list(names or sources)
     # One pass per side: claims reduced to (source, key, claims), the log to
     # (key, rows); a left join lines them up (a NULL key never matches).
-    claims = claimed.groupBy(source, F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    claims = (claimed.where(F.col(key).isNotNull())
+              .groupBy(source, F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
     rows_per_key = (log.where(F.col(on).isNotNull())
                     .groupBy(F.col(on).alias("_k")).agg(F.count(F.lit(1)).alias("_m")))
     per = (claims.join(rows_per_key, "_k", "left")
