@@ -113,16 +113,18 @@ class LogicalCatalog(Mapping):
 
     ``conf['sources']`` names the sources (see :func:`load_source`); event
     versions come from ``event_source`` (default ``el``) and wiki tables from
-    ``wiki_source``. A raw version that cannot be read is skipped, so a
-    catalogue works with whichever versions a deployment has. With
+    ``wiki_source``. A raw version that cannot be read is skipped with a
+    warning, so a catalogue works with whichever versions a deployment has;
+    ``strict=True`` raises instead. With
     ``materialize=True`` each distinct union over versions is written once
     to the shared folder and read back, so reports sharing it do not repeat
     its shuffle (and the lineage is cut at a durable table).
     """
 
     def __init__(self, spark, conf: Mapping, event_source: str = "el", wiki_source: str = "commons",
-                 materialize: bool = False):
+                 materialize: bool = False, strict: bool = False):
         self.spark, self.conf = spark, conf
+        self.strict = strict
         # ``conf['day_partition']``: day-partition column of partitioned tables.
         self.day_partition = conf.get("day_partition")
         self.event_source, self.wiki_source = event_source, wiki_source
@@ -141,7 +143,12 @@ class LogicalCatalog(Mapping):
         from .tables import load_source
         try:
             return load_source(self.spark, self.conf, source, table)
-        except AnalysisException:
+        except AnalysisException as exc:
+            if self.strict:
+                raise
+            import warnings
+            warnings.warn(f"skipping unreadable table {table!r} of source {source!r}: {str(exc)[:200]}",
+                          stacklevel=3)
             return None
 
     def __getitem__(self, name: str) -> DataFrame:
