@@ -216,3 +216,185 @@ FROM ends e LEFT JOIN agg a ON e.bucket = a.bucket
 """)
 def report_edits_new_active(spark, sf_dir):
     return run_report(derived_wiki(spark, sf_dir), "edits-monthly-new-active", AS_OF, starts=STARTS)
+
+
+# -- uploads, app edits, deletions ------------------------------------------
+
+def _item(v):
+    return F.floor(v).cast("bigint").cast("string")
+
+
+def derived_uploads(spark, sf_dir) -> dict:
+    """Upload logs in two overlapping versions (the older lacks
+    ``event_multiple``), web uploads in two versions, app edits, and the
+    upload/delete log with its tags -- all from events."""
+    ev = table(spark, sf_dir, "events")
+    text = format_ts14("ts").alias("timestamp")
+    t, v = F.col("event_type"), F.col("value")
+    old = F.col("ts") < F.lit(f"{OLD_BEFORE} 00:00:00").cast("timestamp_ntz")
+    new = F.col("ts") >= F.lit(f"{NEW_FROM} 00:00:00").cast("timestamp_ntz")
+    wiki = F.when(v >= 450, "testwiki").otherwise("commonswiki").alias("wiki")
+    up = ev.select(
+        "ts", F.col("event_id").alias("id"), F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("uuid"),
+        F.lit("ip").alias("clientIp"), F.lit(0).alias("isTruncated"), F.lit(1).alias("clientValidated"),
+        text, F.lit("h").alias("webHost"), wiki, F.lit("1").alias("event_appversion"),
+        F.lit("d").alias("event_device"),
+        F.concat(F.when(v < 200, F.lit("Item ")).otherwise(F.lit("File:Item ")), _item(v)).alias("event_filename"),
+        F.when(v > 100, 1).otherwise(0).alias("event_multiple"),
+        _case("event_type", {"click": "Android 4.4", "view": "iOS 7", "purchase": "Android 2.3"}, "web")
+        .alias("event_platform"),
+        F.when(t == "error", "error").when(v < 20, "cancelled").otherwise("success").alias("event_result"),
+        F.lit("s").alias("event_source"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("event_username"))
+    web = ev.select(
+        "ts", text, wiki,
+        F.when(t == "signup", "success").when(t == "error", "error").otherwise("start").alias("event_action"),
+        F.lit("f").alias("event_funnel"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("event_username"))
+    app = ev.select(
+        text, F.when(v >= 450, "testwiki").otherwise("enwiki").alias("wiki"),
+        F.when(v < 15, "Darwin/13").when(v < 30, "iPhone OS 7").when(v < 45, None)
+        .otherwise("Mozilla Android").alias("userAgent"),
+        _case("event_type", {"view": "start", "click": "preview", "purchase": "saveAttempt",
+                             "signup": "saved"}, "other").alias("event_action"))
+    log_up = ev.where(t == "signup").select(
+        F.col("event_id").alias("log_id"), F.lit("upload").alias("log_type"), F.lit("upload").alias("log_action"),
+        F.lit(6).alias("log_namespace"), F.concat(F.lit("Item_"), _item(v)).alias("log_title"),
+        F.col("user_id").alias("log_user"), format_ts14("ts").alias("log_timestamp"))
+    log_del = ev.where(t == "error").select(
+        F.col("event_id").alias("log_id"), F.lit("delete").alias("log_type"), F.lit("delete").alias("log_action"),
+        F.lit(6).alias("log_namespace"), F.concat(F.lit("Item_"), _item(v)).alias("log_title"),
+        F.col("user_id").alias("log_user"), format_ts14("ts").alias("log_timestamp"))
+    tags = ev.where(t == "signup").select(
+        F.col("event_id").alias("ts_log_id"),
+        F.when(v < 100, "mobile edit").otherwise("other").alias("ts_tags"))
+    raw = {
+        "MobileAppUploadAttempts_5257716": up.where(old).drop("ts", "event_multiple"),
+        "MobileAppUploadAttempts_5334329": up.where(new).drop("ts"),
+        "MobileWebUploads_5281063": web.where(old).drop("ts"),
+        "MobileWebUploads_5383883": web.where(new).drop("ts"),
+        "MobileWikiAppEdit_9003125": app,
+        "logging": log_up.unionByName(log_del),
+        "tag_summary": tags,
+    }
+    return logical_tables(raw)
+
+
+_UPLOADS_CTE = f"""
+up AS (
+  SELECT ts, event_id AS id, 'u' || CAST(event_id AS VARCHAR) AS uuid, {_TEXT} AS timestamp,
+    CASE WHEN value >= 450 THEN 'testwiki' ELSE 'commonswiki' END AS wiki,
+    CASE WHEN value < 200 THEN 'Item ' ELSE 'File:Item ' END || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS event_filename,
+    CASE WHEN value > 100 THEN 1 ELSE 0 END AS event_multiple,
+    CASE event_type WHEN 'click' THEN 'Android 4.4' WHEN 'view' THEN 'iOS 7'
+                    WHEN 'purchase' THEN 'Android 2.3' ELSE 'web' END AS event_platform,
+    CASE WHEN event_type = 'error' THEN 'error' WHEN value < 20 THEN 'cancelled' ELSE 'success' END AS event_result,
+    'user' || CAST(user_id AS VARCHAR) AS event_username
+  FROM events),
+upload_attempts AS (
+  SELECT id, uuid, timestamp, wiki, event_filename, 0 AS event_multiple, event_platform, event_result, event_username
+  FROM up WHERE ts < TIMESTAMP '{OLD_BEFORE} 00:00:00'
+  UNION
+  SELECT id, uuid, timestamp, wiki, event_filename, event_multiple, event_platform, event_result, event_username
+  FROM up WHERE ts >= TIMESTAMP '{NEW_FROM} 00:00:00'),
+w AS (
+  SELECT ts, {_TEXT} AS timestamp, CASE WHEN value >= 450 THEN 'testwiki' ELSE 'commonswiki' END AS wiki,
+    CASE WHEN event_type = 'signup' THEN 'success' WHEN event_type = 'error' THEN 'error' ELSE 'start' END AS event_action,
+    'user' || CAST(user_id AS VARCHAR) AS event_username
+  FROM events),
+upload_web AS (
+  SELECT timestamp, wiki, event_action, event_username FROM w WHERE ts < TIMESTAMP '{OLD_BEFORE} 00:00:00'
+  UNION
+  SELECT timestamp, wiki, event_action, event_username FROM w WHERE ts >= TIMESTAMP '{NEW_FROM} 00:00:00')"""
+
+
+@register("report_successful_uploads", covers="R-20 via run_report: two logical tables, version fill + dedup, dense total",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d)),
+apps AS (
+  SELECT CAST(strptime(timestamp, '%Y%m%d%H%M%S') AS DATE) AS bucket,
+    SUM(CASE WHEN event_platform LIKE 'Android%' THEN 1 ELSE 0 END) AS android,
+    SUM(CASE WHEN event_platform LIKE 'iOS%' THEN 1 ELSE 0 END) AS ios
+  FROM upload_attempts WHERE event_result = 'success' AND wiki = 'commonswiki' GROUP BY 1),
+web AS (
+  SELECT CAST(strptime(timestamp, '%Y%m%d%H%M%S') AS DATE) AS bucket, COUNT(*) AS web
+  FROM upload_web WHERE event_action = 'success' AND wiki <> 'testwiki' GROUP BY 1)
+SELECT s.bucket,
+  CAST(COALESCE(a.android, 0) + COALESCE(a.ios, 0) + COALESCE(w.web, 0) AS BIGINT) AS total,
+  CAST(COALESCE(a.android, 0) AS BIGINT) AS android, CAST(COALESCE(a.ios, 0) AS BIGINT) AS ios,
+  CAST(COALESCE(w.web, 0) AS BIGINT) AS web
+FROM spine s LEFT JOIN apps a ON s.bucket = a.bucket LEFT JOIN web w ON s.bucket = w.bucket
+""")
+def report_successful_uploads(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "successful-uploads", AS_OF)
+
+
+@register("report_app_edit_funnel_ios", covers="R-13 via run_report: user-agent rule, time-boxed funnel, zeros",
+          oracle=f"""
+WITH a AS (
+  SELECT CAST({_PARSED} AS DATE) AS day,
+    CASE WHEN value >= 450 THEN 'testwiki' ELSE 'enwiki' END AS wiki,
+    CASE WHEN value < 15 THEN 'Darwin/13' WHEN value < 30 THEN 'iPhone OS 7' WHEN value < 45 THEN NULL
+         ELSE 'Mozilla Android' END AS useragent,
+    CASE event_type WHEN 'view' THEN 'start' WHEN 'click' THEN 'preview' WHEN 'purchase' THEN 'saveAttempt'
+                    WHEN 'signup' THEN 'saved' ELSE 'other' END AS event_action
+  FROM events),
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d)),
+agg AS (
+  SELECT day AS bucket,
+    SUM(CASE WHEN event_action = 'start' THEN 1 ELSE 0 END) AS start,
+    SUM(CASE WHEN event_action = 'preview' THEN 1 ELSE 0 END) AS preview,
+    SUM(CASE WHEN event_action = 'saveAttempt' THEN 1 ELSE 0 END) AS saveattempt,
+    SUM(CASE WHEN event_action = 'saved' THEN 1 ELSE 0 END) AS saved
+  FROM a WHERE (useragent LIKE '%Darwin%' OR useragent LIKE '%iPhone OS%') AND wiki <> 'testwiki'
+  GROUP BY 1)
+SELECT s.bucket, CAST(COALESCE(g.start, 0) AS BIGINT) AS start, CAST(COALESCE(g.preview, 0) AS BIGINT) AS preview,
+  CAST(COALESCE(g.saveattempt, 0) AS BIGINT) AS saveattempt, CAST(COALESCE(g.saved, 0) AS BIGINT) AS saved
+FROM spine s LEFT JOIN agg g ON s.bucket = g.bucket
+""")
+def report_app_edit_funnel_ios(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edit-funnel-ios", AS_OF, starts=STARTS)
+
+
+_NORM = ("CASE WHEN length({x}) > 0 THEN replace(replace(upper(substr({x}, 1, 1)) || substr({x}, 2), "
+         "'File:', ''), ' ', '_') END")
+
+
+@register("report_deleted_uploads", covers="R-25 via run_report: titles normalised across sources, semi-joined deletes",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+logging AS (
+  SELECT event_id AS log_id, CASE WHEN event_type = 'signup' THEN 'upload' ELSE 'delete' END AS log_action,
+    6 AS log_namespace, 'Item_' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS log_title,
+    CAST({_PARSED} AS DATE) AS day, value
+  FROM events WHERE event_type IN ('signup', 'error')),
+titles AS (
+  SELECT DISTINCT CASE WHEN event_platform LIKE 'Android%' THEN 'Android' ELSE 'iOS' END AS tag,
+    {_NORM.format(x='event_filename')} AS key
+  FROM upload_attempts
+  WHERE event_result = 'success' AND wiki = 'commonswiki'
+    AND (event_platform LIKE 'Android%' OR event_platform LIKE 'iOS%')
+  UNION
+  SELECT 'Web' AS tag, {_NORM.format(x='log_title')} AS key
+  FROM logging WHERE log_action = 'upload' AND value < 100),
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '2023-02-01', DATE '2024-01-01', INTERVAL 1 MONTH) t(d)),
+agg AS (
+  SELECT CAST(date_trunc('month', l.day) AS DATE) AS bucket,
+    SUM(CASE WHEN t.tag = 'Android' THEN 1 ELSE 0 END) AS android,
+    SUM(CASE WHEN t.tag = 'iOS' THEN 1 ELSE 0 END) AS ios,
+    SUM(CASE WHEN t.tag = 'Web' THEN 1 ELSE 0 END) AS web
+  FROM logging l JOIN titles t ON l.log_title = t.key
+  WHERE l.log_namespace = 6 AND l.log_action = 'delete' GROUP BY 1)
+SELECT s.bucket, CAST(COALESCE(a.android, 0) AS BIGINT) AS android, CAST(COALESCE(a.ios, 0) AS BIGINT) AS ios,
+  CAST(COALESCE(a.web, 0) AS BIGINT) AS web
+FROM spine s LEFT JOIN agg a ON s.bucket = a.bucket
+""")
+def report_deleted_uploads(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "deleted-uploads", AS_OF)
