@@ -398,3 +398,115 @@ FROM spine s LEFT JOIN agg a ON s.bucket = a.bucket
 """)
 def report_deleted_uploads(spark, sf_dir):
     return run_report(derived_uploads(spark, sf_dir), "deleted-uploads", AS_OF)
+
+
+# -- summaries, thresholds, blocks -------------------------------------------
+
+def derived_summaries(spark, sf_dir) -> dict:
+    """``derived_uploads`` plus category links (click/view/signup events as
+    members of the three upload categories), new-editor edits, blocks (error
+    events) and account creations (signup events, two wikis)."""
+    tables = derived_uploads(spark, sf_dir)
+    ev = table(spark, sf_dir, "events")
+    t, v = F.col("event_type"), F.col("value")
+    cats = {"click": "Uploaded_with_Mobile/Android", "view": "Uploaded_with_Mobile/iOS",
+            "signup": "Uploaded_with_Mobile/Web"}
+    raw = {
+        "categorylinks": ev.where(v < 300).select(F.col("event_id").alias("cl_from"),
+                                                  _case("event_type", cats, "Other").alias("cl_to")),
+        "NewEditorEdit_6792669": ev.select(
+            format_ts14("ts").alias("timestamp"), F.col("user_id").alias("event_userID"),
+            F.when(t.isin("click", "view"), 1).otherwise(0).alias("event_isMobile"),
+            (v * 10000).cast("bigint").alias("event_userAge")),
+        "ipblocks": ev.where(t == "error").select(F.col("user_id").alias("ipb_user"),
+                                                  format_ts14("ts").alias("ipb_timestamp")),
+        "ServerSideAccountCreation_5487345": ev.where(t == "signup").select(
+            format_ts14("ts").alias("timestamp"), F.when(v < 250, "enwiki").otherwise("dewiki").alias("wiki"),
+            F.col("props").alias("useragent"), F.col("user_id").alias("event_userId"),
+            F.lit(0).alias("event_displaymobile")),
+    }
+    tables.update(logical_tables(raw))
+    return tables
+
+
+@register("report_alltime_numbers", covers="R-23 via run_report: totals less fixed corrections, category members, '%.2f'",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+totals AS (
+  SELECT CASE WHEN event_platform LIKE 'Android%' THEN 'Android' ELSE 'iOS' END AS source, COUNT(*) AS n
+  FROM upload_attempts WHERE event_result = 'success' AND wiki = 'commonswiki'
+    AND (event_platform LIKE 'Android%' OR event_platform LIKE 'iOS%') GROUP BY 1
+  UNION ALL
+  SELECT 'Web', COUNT(*) FROM upload_web WHERE event_action = 'success' AND wiki <> 'testwiki'),
+cats AS (
+  SELECT CASE event_type WHEN 'click' THEN 'Android' WHEN 'view' THEN 'iOS' WHEN 'signup' THEN 'Web' END AS source,
+    COUNT(*) AS undeleted
+  FROM events WHERE value < 300 AND event_type IN ('click', 'view', 'signup') GROUP BY 1),
+corr AS (SELECT * FROM (VALUES ('Android', 105), ('iOS', 47), ('Web', 0)) c(source, correction)),
+r AS (
+  SELECT t.source, t.n - COALESCE(c.correction, 0) AS total, COALESCE(k.undeleted, 0) AS undeleted
+  FROM totals t LEFT JOIN corr c ON t.source = c.source LEFT JOIN cats k ON t.source = k.source)
+SELECT source, CAST(total AS BIGINT) AS total, CAST(undeleted AS BIGINT) AS undeleted,
+  printf('%.2f', CAST(total - undeleted AS DOUBLE) / NULLIF(total, 0)) AS deletion_percentage
+FROM r
+""")
+def report_alltime_numbers(spark, sf_dir):
+    return run_report(derived_summaries(spark, sf_dir), "alltime-numbers", AS_OF)
+
+
+@register("report_error_correction", covers="R-35 via run_report: titles claimed vs uploads found, three rows",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+claimed AS (
+  SELECT CASE WHEN event_platform LIKE 'Android%' THEN 'Android' ELSE 'iOS' END AS source,
+    {_NORM.format(x='event_filename')} AS key
+  FROM upload_attempts WHERE event_result = 'success' AND wiki = 'commonswiki'
+    AND (event_platform LIKE 'Android%' OR event_platform LIKE 'iOS%')),
+uploads AS (
+  SELECT 'Item_' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS log_title FROM events WHERE event_type = 'signup'),
+c AS (SELECT source, COUNT(*) AS v FROM claimed WHERE key IS NOT NULL GROUP BY 1),
+f AS (
+  SELECT k.source, COUNT(*) AS v FROM uploads u
+  JOIN (SELECT DISTINCT source, key FROM claimed WHERE key IS NOT NULL) k ON u.log_title = k.key GROUP BY 1),
+rows AS (
+  SELECT 'Total on EL' AS label, source, v FROM c
+  UNION ALL SELECT 'Uploaded on Commons', source, v FROM f
+  UNION ALL SELECT 'Difference', c.source, c.v - COALESCE(f.v, 0) FROM c LEFT JOIN f ON c.source = f.source)
+SELECT label,
+  CAST(COALESCE(SUM(CASE WHEN source = 'Android' THEN v END), 0) AS BIGINT) AS android,
+  CAST(COALESCE(SUM(CASE WHEN source = 'iOS' THEN v END), 0) AS BIGINT) AS ios
+FROM rows GROUP BY label
+""")
+def report_error_correction(spark, sf_dir):
+    return run_report(derived_summaries(spark, sf_dir), "error-correction", AS_OF)
+
+
+@register("report_active_2014", covers="R-34 via run_report: (user, flag) groups with more than 5 edits, per month",
+          oracle=f"""
+WITH n AS (
+  SELECT CAST(date_trunc('month', {_PARSED}) AS DATE) AS bucket, user_id,
+    CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS mobile, COUNT(*) AS c
+  FROM events WHERE CAST(value * 10000 AS BIGINT) <= 2592000
+  GROUP BY 1, 2, 3),
+spine AS (SELECT DATE '2024-01-01' AS bucket)
+SELECT s.bucket,
+  CAST(SUM(CASE WHEN n.mobile = 1 THEN 1 ELSE 0 END) AS BIGINT) AS mobileedits,
+  CAST(SUM(CASE WHEN n.mobile = 0 THEN 1 ELSE 0 END) AS BIGINT) AS desktopedits
+FROM spine s LEFT JOIN n ON n.bucket = s.bucket AND n.c > 5
+GROUP BY s.bucket
+""")
+def report_active_2014(spark, sf_dir):
+    return run_report(derived_summaries(spark, sf_dir), "edits-monthly-active-2014", AS_OF, starts=STARTS)
+
+
+@register("report_app_user_blocks", covers="R-18 via run_report: blocks x enwiki account rows, fan-out kept",
+          oracle=f"""
+WITH b AS (SELECT user_id, CAST({_PARSED} AS DATE) AS day FROM events WHERE event_type = 'error'),
+a AS (SELECT user_id FROM events WHERE event_type = 'signup' AND value < 250)
+SELECT b.day AS bucket, COUNT(*) AS numblocks
+FROM b JOIN a ON b.user_id = a.user_id
+WHERE b.day BETWEEN DATE '{STARTS}' AND DATE '{AS_OF}'
+GROUP BY 1
+""")
+def report_app_user_blocks(spark, sf_dir):
+    return run_report(derived_summaries(spark, sf_dir), "app-user-blocks-en", AS_OF, starts=STARTS)
