@@ -292,3 +292,15 @@ def test_approx_distinct_close_to_exact(spark):
     approx = {r[0]: r[1] for r in bucket_distinct(df, "ts", "day", "user", {"u": F.lit(True)}, approx=True).collect()}
     assert set(exact) == set(approx)
     assert all(abs(approx[d] - exact[d]) <= 0.05 * exact[d] for d in exact)
+
+
+def test_pivot_tags_long_to_wide(spark):
+    from tidemark.operators.matching import match_keys_wide, pivot_tags
+    log = spark.createDataFrame([("A", T(2014, 1, 1, 1)), ("A", T(2014, 1, 2, 1)), ("B", T(2014, 1, 2, 2))],
+                                "t string, ts timestamp_ntz")
+    keys = spark.createDataFrame([("x", "A"), ("y", "B"), ("y", "A")], "tag string, key string")
+    long = match_keys(log, keys, "t", ts="ts")
+    wide = {r[0]: (r[1], r[2]) for r in pivot_tags(long, ["x", "y"]).collect()}
+    assert wide == {D(2014, 1, 1): (1, 1), D(2014, 1, 2): (1, 2)}
+    direct = {r[0]: (r[1], r[2]) for r in match_keys_wide(log, keys, "t", ["x", "y"], ts="ts").collect()}
+    assert direct == wide
