@@ -510,3 +510,114 @@ GROUP BY 1
 """)
 def report_app_user_blocks(spark, sf_dir):
     return run_report(derived_summaries(spark, sf_dir), "app-user-blocks-en", AS_OF, starts=STARTS)
+
+
+# -- thanks, app-edit counts, error uploads, uploader experience -------------
+
+def derived_more(spark, sf_dir) -> dict:
+    """``derived_uploads`` plus thanks notifications and a user table (users
+    with signups of value < 5, edit count = those signups; the others are
+    missing from it, as unknown users are)."""
+    tables = derived_uploads(spark, sf_dir)
+    ev = table(spark, sf_dir, "events")
+    t, v = F.col("event_type"), F.col("value")
+    raw = {
+        "Echo_7731316": ev.select(
+            format_ts14("ts").alias("timestamp"),
+            F.when(t.isin("click", "view", "purchase"), "edit-thank").otherwise("mention")
+            .alias("event_notificationType"),
+            F.when(v < 30, "history").when(v < 60, "diff").when(v < 90, "mobilediff").otherwise("other")
+            .alias("event_eventSource")),
+        "user": ev.where((t == "signup") & (v < 5))
+        .groupBy(F.concat(F.lit("User"), F.col("user_id").cast("string")).alias("user_name"))
+        .agg(F.count(F.lit(1)).alias("user_editcount")),
+    }
+    tables.update(logical_tables(raw))
+    return tables
+
+
+_THANKS = {"desktophistory": "history", "desktopdiffthanks": "diff", "mobilediffthanks": "mobilediff"}
+
+
+@register("report_thanks_daily", covers="R-29 via run_report: closed windows, COALESCE to zero", oracle=f"""
+WITH th AS (
+  SELECT {_PARSED} AS t,
+    CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'edit-thank' ELSE 'mention' END AS kind,
+    CASE WHEN value < 30 THEN 'history' WHEN value < 60 THEN 'diff' WHEN value < 90 THEN 'mobilediff'
+         ELSE 'other' END AS src
+  FROM events),
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d))
+SELECT s.bucket,
+  {', '.join(f"CAST(COALESCE(SUM(CASE WHEN th.t IS NULL THEN NULL WHEN th.src = '{v}' THEN 1 ELSE 0 END), 0) AS BIGINT) AS {k}" for k, v in _THANKS.items())}
+FROM spine s LEFT JOIN th ON th.kind = 'edit-thank'
+  AND th.t >= s.bucket AND th.t <= s.bucket + INTERVAL 1 DAY
+GROUP BY s.bucket
+""")
+def report_thanks_daily(spark, sf_dir):
+    return run_report(derived_more(spark, sf_dir), "thanks-daily", AS_OF, starts=STARTS)
+
+
+@register("report_app_edits_starts", covers="R-14 via run_report: time-boxed, empty days omitted", oracle=f"""
+WITH a AS (
+  SELECT CAST({_PARSED} AS DATE) AS day,
+    CASE WHEN value >= 450 THEN 'testwiki' ELSE 'enwiki' END AS wiki,
+    CASE WHEN value < 15 THEN 'Darwin/13' WHEN value < 30 THEN 'iPhone OS 7' WHEN value < 45 THEN NULL
+         ELSE 'Mozilla Android' END AS useragent,
+    CASE event_type WHEN 'view' THEN 'start' WHEN 'click' THEN 'preview' WHEN 'purchase' THEN 'saveAttempt'
+                    WHEN 'signup' THEN 'saved' ELSE 'other' END AS event_action
+  FROM events)
+SELECT day AS bucket, COUNT(*) AS total,
+  CAST(SUM(CASE WHEN useragent LIKE '%Android%' THEN 1 ELSE 0 END) AS BIGINT) AS android,
+  CAST(SUM(CASE WHEN useragent LIKE '%Darwin%' OR useragent LIKE '%iPhone OS%' THEN 1 ELSE 0 END) AS BIGINT) AS ios
+FROM a WHERE event_action = 'start' AND wiki <> 'testwiki'
+  AND day BETWEEN DATE '{STARTS}' AND DATE '{AS_OF}'
+GROUP BY 1
+""")
+def report_app_edits_starts(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edits-starts", AS_OF, starts=STARTS)
+
+
+@register("report_error_uploads", covers="R-05 via run_report: result <> cancelled and <> success, two tables",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d)),
+apps AS (
+  SELECT CAST(strptime(timestamp, '%Y%m%d%H%M%S') AS DATE) AS bucket,
+    SUM(CASE WHEN event_platform LIKE 'Android%' THEN 1 ELSE 0 END) AS android,
+    SUM(CASE WHEN event_platform LIKE 'iOS%' THEN 1 ELSE 0 END) AS ios
+  FROM upload_attempts
+  WHERE event_result <> 'cancelled' AND event_result <> 'success' AND wiki = 'commonswiki' GROUP BY 1),
+web AS (
+  SELECT CAST(strptime(timestamp, '%Y%m%d%H%M%S') AS DATE) AS bucket, COUNT(*) AS web
+  FROM upload_web WHERE event_action = 'error' AND wiki <> 'testwiki' GROUP BY 1)
+SELECT s.bucket,
+  CAST(COALESCE(a.android, 0) + COALESCE(a.ios, 0) + COALESCE(w.web, 0) AS BIGINT) AS total,
+  CAST(COALESCE(a.android, 0) AS BIGINT) AS android, CAST(COALESCE(a.ios, 0) AS BIGINT) AS ios,
+  CAST(COALESCE(w.web, 0) AS BIGINT) AS web
+FROM spine s LEFT JOIN apps a ON s.bucket = a.bucket LEFT JOIN web w ON s.bucket = w.bucket
+""")
+def report_error_uploads(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "error-uploads", AS_OF)
+
+
+@register("report_uploaders_experience", covers="R-22 via run_report: uploads per normalised user, edit count or 0",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+per_user AS (
+  SELECT CASE WHEN event_platform LIKE 'iOS%' THEN 'iOS' ELSE 'Android' END AS source,
+    upper(substr(trim(event_username), 1, 1)) || substr(trim(event_username), 2) AS user_key, COUNT(*) AS uploads
+  FROM upload_attempts WHERE event_result = 'success' AND wiki = 'commonswiki'
+    AND (event_platform LIKE 'iOS%' OR event_platform LIKE 'Android%')
+  GROUP BY 1, 2),
+users AS (
+  SELECT 'User' || CAST(user_id AS VARCHAR) AS user_key, COUNT(*) AS edits
+  FROM events WHERE event_type = 'signup' AND value < 5 GROUP BY 1)
+SELECT p.source, p.uploads, CAST(COALESCE(u.edits, 0) AS BIGINT) AS edits
+FROM per_user p LEFT JOIN users u ON p.user_key = u.user_key
+""")
+def report_uploaders_experience(spark, sf_dir):
+    return run_report(derived_more(spark, sf_dir), "uploaders-experience", AS_OF)
