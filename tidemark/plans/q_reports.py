@@ -621,3 +621,82 @@ FROM per_user p LEFT JOIN users u ON p.user_key = u.user_key
 """)
 def report_uploaders_experience(spark, sf_dir):
     return run_report(derived_more(spark, sf_dir), "uploaders-experience", AS_OF)
+
+
+_APPS_OK = "event_result = 'success' AND wiki = 'commonswiki'"
+_WEB_OK = "event_action = 'success' AND wiki <> 'testwiki'"
+_DAY = "CAST(strptime(timestamp, '%Y%m%d%H%M%S') AS DATE)"
+_MONTH = "CAST(date_trunc('month', strptime(timestamp, '%Y%m%d%H%M%S')) AS DATE)"
+
+
+@register("report_unique_uploaders_day", covers="R-02 via run_report: distinct uploaders per platform, total = sum",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d)),
+apps AS (
+  SELECT {_DAY} AS bucket,
+    COUNT(DISTINCT CASE WHEN event_platform LIKE 'Android%' THEN event_username END) AS android,
+    COUNT(DISTINCT CASE WHEN event_platform LIKE 'iOS%' THEN event_username END) AS ios
+  FROM upload_attempts WHERE {_APPS_OK} GROUP BY 1),
+web AS (SELECT {_DAY} AS bucket, COUNT(DISTINCT event_username) AS web FROM upload_web WHERE {_WEB_OK} GROUP BY 1)
+SELECT s.bucket,
+  CAST(COALESCE(a.android, 0) + COALESCE(a.ios, 0) + COALESCE(w.web, 0) AS BIGINT) AS total,
+  CAST(COALESCE(a.android, 0) AS BIGINT) AS android, CAST(COALESCE(a.ios, 0) AS BIGINT) AS ios,
+  CAST(COALESCE(w.web, 0) AS BIGINT) AS web
+FROM spine s LEFT JOIN apps a ON s.bucket = a.bucket LEFT JOIN web w ON s.bucket = w.bucket
+""")
+def report_unique_uploaders_day(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "unique-uploaders-day", AS_OF)
+
+
+@register("report_month_uploads", covers="R-03 via run_report: 12-month calendar of uploads per platform",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '2023-02-01', DATE '2024-01-01', INTERVAL 1 MONTH) t(d)),
+apps AS (
+  SELECT {_MONTH} AS bucket,
+    SUM(CASE WHEN event_platform LIKE 'Android%' THEN 1 ELSE 0 END) AS android,
+    SUM(CASE WHEN event_platform LIKE 'iOS%' THEN 1 ELSE 0 END) AS ios
+  FROM upload_attempts WHERE {_APPS_OK} GROUP BY 1),
+web AS (SELECT {_MONTH} AS bucket, COUNT(*) AS web FROM upload_web WHERE {_WEB_OK} GROUP BY 1)
+SELECT s.bucket, CAST(COALESCE(a.android, 0) AS BIGINT) AS android, CAST(COALESCE(a.ios, 0) AS BIGINT) AS ios,
+  CAST(COALESCE(w.web, 0) AS BIGINT) AS web
+FROM spine s LEFT JOIN apps a ON s.bucket = a.bucket LEFT JOIN web w ON s.bucket = w.bucket
+""")
+def report_month_uploads(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "month-uploads", AS_OF)
+
+
+@register("report_cancelled_uploads", covers="R-04 via run_report: sparse daily counts, total over all platforms",
+          oracle=f"""
+WITH {_UPLOADS_CTE}
+SELECT {_DAY} AS bucket, COUNT(*) AS total,
+  CAST(SUM(CASE WHEN event_platform LIKE 'Android%' THEN 1 ELSE 0 END) AS BIGINT) AS android,
+  CAST(SUM(CASE WHEN event_platform LIKE 'iOS%' THEN 1 ELSE 0 END) AS BIGINT) AS ios
+FROM upload_attempts WHERE event_result = 'cancelled' AND wiki = 'commonswiki'
+GROUP BY 1
+""")
+def report_cancelled_uploads(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "cancelled-uploads", AS_OF)
+
+
+@register("report_monthly_unique_editors", covers="R-26 via run_report: distinct editors per month, main vs other",
+          oracle=f"""
+WITH {_EDITS_CTE},
+months AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '2023-02-01', DATE '2024-01-01', INTERVAL 1 MONTH) t(d)),
+agg AS (
+  SELECT CAST(date_trunc('month', day) AS DATE) AS bucket,
+    COUNT(DISTINCT CASE WHEN event_namespace = 0 THEN event_username END) AS main,
+    COUNT(DISTINCT CASE WHEN event_namespace <> 0 THEN event_username END) AS other
+  FROM parsed WHERE event_action = 'success' AND wiki <> 'testwiki' GROUP BY 1)
+SELECT m.bucket, CAST(COALESCE(a.main, 0) AS BIGINT) AS main, CAST(COALESCE(a.other, 0) AS BIGINT) AS other
+FROM months m LEFT JOIN agg a ON m.bucket = a.bucket
+""")
+def report_monthly_unique_editors(spark, sf_dir):
+    return run_report(derived_tables(spark, sf_dir), "edits-monthly-unique-editors", AS_OF)
