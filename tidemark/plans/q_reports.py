@@ -700,3 +700,53 @@ FROM months m LEFT JOIN agg a ON m.bucket = a.bucket
 """)
 def report_monthly_unique_editors(spark, sf_dir):
     return run_report(derived_tables(spark, sf_dir), "edits-monthly-unique-editors", AS_OF)
+
+
+# -- the remaining web-edit reports (R-06, R-08, R-10, R-27) -----------------
+
+def _web_daily_sql(where: str) -> str:
+    return f"""
+WITH {_EDITS_CTE}
+SELECT s.bucket, CAST(COUNT(p.day) AS BIGINT) AS web
+FROM spine s LEFT JOIN parsed p ON p.day = s.bucket AND {where}
+GROUP BY s.bucket
+"""
+
+
+_OK_WEB = "p.event_action = 'success' AND p.wiki <> 'testwiki'"
+
+
+@register("report_successful_edits_newbie", covers="R-06 via run_report: first-time editors (edit count 0)",
+          oracle=_web_daily_sql(f"{_OK_WEB} AND p.event_userEditCount = 0"))
+def report_successful_edits_newbie(spark, sf_dir):
+    return run_report(derived_tables(spark, sf_dir), "successful-edits-newbie", AS_OF)
+
+
+@register("report_successful_edits_other", covers="R-08 via run_report: namespace <> 0 (NULL excluded)",
+          oracle=_web_daily_sql(f"{_OK_WEB} AND p.event_namespace <> 0"))
+def report_successful_edits_other(spark, sf_dir):
+    return run_report(derived_tables(spark, sf_dir), "successful-edits-other", AS_OF)
+
+
+@register("report_error_edits", covers="R-10 via run_report: failed edits per day",
+          oracle=_web_daily_sql("p.event_action = 'error' AND p.wiki <> 'testwiki'"))
+def report_error_edits(spark, sf_dir):
+    return run_report(derived_tables(spark, sf_dir), "error-edits", AS_OF)
+
+
+@register("report_monthly_successful_edits", covers="R-27 via run_report: monthly counts, main vs other",
+          oracle=f"""
+WITH {_EDITS_CTE},
+months AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '2023-02-01', DATE '2024-01-01', INTERVAL 1 MONTH) t(d)),
+agg AS (
+  SELECT CAST(date_trunc('month', day) AS DATE) AS bucket,
+    SUM(CASE WHEN event_namespace = 0 THEN 1 ELSE 0 END) AS main,
+    SUM(CASE WHEN event_namespace <> 0 THEN 1 ELSE 0 END) AS other
+  FROM parsed WHERE event_action = 'success' AND wiki <> 'testwiki' GROUP BY 1)
+SELECT m.bucket, CAST(COALESCE(a.main, 0) AS BIGINT) AS main, CAST(COALESCE(a.other, 0) AS BIGINT) AS other
+FROM months m LEFT JOIN agg a ON m.bucket = a.bucket
+""")
+def report_monthly_successful_edits(spark, sf_dir):
+    return run_report(derived_tables(spark, sf_dir), "edits-monthly-successful", AS_OF)
