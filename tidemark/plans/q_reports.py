@@ -750,3 +750,73 @@ FROM months m LEFT JOIN agg a ON m.bucket = a.bucket
 """)
 def report_monthly_successful_edits(spark, sf_dir):
     return run_report(derived_tables(spark, sf_dir), "edits-monthly-successful", AS_OF)
+
+
+# -- the remaining app-edit reports (R-11, R-12, R-15, R-16, R-17) -----------
+
+_APP_CTE = f"""
+a AS (
+  SELECT CAST({_PARSED} AS DATE) AS day,
+    CASE WHEN value >= 450 THEN 'testwiki' ELSE 'enwiki' END AS wiki,
+    CASE WHEN value < 15 THEN 'Darwin/13' WHEN value < 30 THEN 'iPhone OS 7' WHEN value < 45 THEN NULL
+         ELSE 'Mozilla Android' END AS useragent,
+    CASE event_type WHEN 'view' THEN 'start' WHEN 'click' THEN 'preview' WHEN 'purchase' THEN 'saveAttempt'
+                    WHEN 'signup' THEN 'saved' ELSE 'other' END AS event_action
+  FROM events)"""
+
+
+def _funnel_sql(rule: str) -> str:
+    return f"""
+WITH {_APP_CTE},
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d)),
+agg AS (
+  SELECT day AS bucket,
+    SUM(CASE WHEN event_action = 'start' THEN 1 ELSE 0 END) AS start,
+    SUM(CASE WHEN event_action = 'preview' THEN 1 ELSE 0 END) AS preview,
+    SUM(CASE WHEN event_action = 'saveAttempt' THEN 1 ELSE 0 END) AS saveattempt,
+    SUM(CASE WHEN event_action = 'saved' THEN 1 ELSE 0 END) AS saved
+  FROM a WHERE {rule} wiki <> 'testwiki' GROUP BY 1)
+SELECT s.bucket, CAST(COALESCE(g.start, 0) AS BIGINT) AS start, CAST(COALESCE(g.preview, 0) AS BIGINT) AS preview,
+  CAST(COALESCE(g.saveattempt, 0) AS BIGINT) AS saveattempt, CAST(COALESCE(g.saved, 0) AS BIGINT) AS saved
+FROM spine s LEFT JOIN agg g ON s.bucket = g.bucket
+"""
+
+
+def _app_action_sql(action: str) -> str:
+    return f"""
+WITH {_APP_CTE}
+SELECT day AS bucket, COUNT(*) AS total,
+  CAST(SUM(CASE WHEN useragent LIKE '%Android%' THEN 1 ELSE 0 END) AS BIGINT) AS android,
+  CAST(SUM(CASE WHEN useragent LIKE '%Darwin%' OR useragent LIKE '%iPhone OS%' THEN 1 ELSE 0 END) AS BIGINT) AS ios
+FROM a WHERE event_action = '{action}' AND wiki <> 'testwiki'
+  AND day BETWEEN DATE '{STARTS}' AND DATE '{AS_OF}'
+GROUP BY 1
+"""
+
+
+@register("report_app_edit_funnel_total", covers="R-11 via run_report: all-apps funnel", oracle=_funnel_sql(""))
+def report_app_edit_funnel_total(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edit-funnel-total", AS_OF, starts=STARTS)
+
+
+@register("report_app_edit_funnel_android", covers="R-12 via run_report: Android funnel",
+          oracle=_funnel_sql("useragent LIKE '%Android%' AND"))
+def report_app_edit_funnel_android(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edit-funnel-android", AS_OF, starts=STARTS)
+
+
+@register("report_app_edits_preview", covers="R-15 via run_report", oracle=_app_action_sql("preview"))
+def report_app_edits_preview(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edits-preview", AS_OF, starts=STARTS)
+
+
+@register("report_app_edits_save_attempt", covers="R-16 via run_report", oracle=_app_action_sql("saveAttempt"))
+def report_app_edits_save_attempt(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edits-save-attempt", AS_OF, starts=STARTS)
+
+
+@register("report_app_edits_success", covers="R-17 via run_report", oracle=_app_action_sql("saved"))
+def report_app_edits_success(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "app-edits-success", AS_OF, starts=STARTS)
