@@ -820,3 +820,146 @@ def report_app_edits_save_attempt(spark, sf_dir):
 @register("report_app_edits_success", covers="R-17 via run_report", oracle=_app_action_sql("saved"))
 def report_app_edits_success(spark, sf_dir):
     return run_report(derived_uploads(spark, sf_dir), "app-edits-success", AS_OF, starts=STARTS)
+
+
+# -- the remaining click, option, login and share reports --------------------
+# (R-31, R-33, R-32, R-19, R-21)
+
+from .reports import DIFF_EVENTS, OPTIONS, WATCHLIST_EVENTS  # noqa: E402
+
+_CLICK2_SQL = """CASE
+    WHEN event_type = 'purchase' AND value < 20 THEN 'watchlist-a-z-more'
+    WHEN event_type = 'purchase' AND value < 40 THEN 'watchlist-feed-view'
+    WHEN event_type = 'purchase' AND value < 60 THEN 'watchlist-a-z-unwatch'
+    WHEN event_type = 'error' AND value < 30 THEN 'diff-thank'
+    WHEN event_type = 'error' AND value < 60 THEN 'diff-view'
+    WHEN event_type = 'error' THEN 'diff-user'
+    WHEN event_type = 'click' THEN 'watchlist-feed-filter'
+    ELSE 'unknown-event' END"""
+_PLATFORM_SQL = ("CASE event_type WHEN 'click' THEN 'Android 4.4' WHEN 'view' THEN 'iOS 7' "
+                 "WHEN 'purchase' THEN 'Android 2.3' ELSE 'web' END")
+
+
+def derived_tracking(spark, sf_dir) -> dict:
+    ev = table(spark, sf_dir, "events")
+    text = format_ts14("ts").alias("timestamp")
+    t, v = F.col("event_type"), F.col("value")
+    name = (F.when((t == "purchase") & (v < 20), "watchlist-a-z-more")
+            .when((t == "purchase") & (v < 40), "watchlist-feed-view")
+            .when((t == "purchase") & (v < 60), "watchlist-a-z-unwatch")
+            .when((t == "error") & (v < 30), "diff-thank")
+            .when((t == "error") & (v < 60), "diff-view")
+            .when(t == "error", "diff-user")
+            .when(t == "click", "watchlist-feed-filter")
+            .otherwise("unknown-event"))
+    platform = _case("event_type", {"click": "Android 4.4", "view": "iOS 7", "purchase": "Android 2.3"}, "web")
+    raw = {
+        "MobileWebClickTracking_5929948": ev.select(text, name.alias("event_name")),
+        "MobileOptionsTracking_8101982": ev.select(
+            text, F.when(v < 30, "on").when(v < 60, "off").alias("event_beta"),
+            _case("event_type", {"click": "on", "view": "off"}, "x").alias("event_alpha"),
+            F.when(v < 50, "on").otherwise("off").alias("event_images")),
+        "MobileAppLoginAttempts_5257721": ev.select(
+            text, F.when(v >= 450, "testwiki").otherwise("commonswiki").alias("wiki"),
+            platform.alias("event_platform"),
+            F.when(t == "error", "failure").otherwise("success").alias("event_result")),
+        "MobileAppShareAttempts_5346170": ev.select(
+            text, F.when(v >= 400, "enwiki").otherwise("commonswiki").alias("wiki"), platform.alias("event_platform")),
+    }
+    return logical_tables(raw)
+
+
+def _closed_sql(src: str, metrics: list[tuple[str, str]]) -> str:
+    """Closed day windows over a derived table ``src`` (columns t, ...);
+    ``metrics`` are (output name, SQL predicate)."""
+    return f"""
+WITH x AS ({src}),
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '{STARTS}', DATE '{AS_OF}', INTERVAL 1 DAY) t(d))
+SELECT s.bucket,
+  {', '.join(f"CAST(SUM(CASE WHEN x.t IS NULL THEN NULL WHEN {pred} THEN 1 ELSE 0 END) AS BIGINT) AS {k}" for k, pred in metrics)}
+FROM spine s LEFT JOIN x ON x.t >= s.bucket AND x.t <= s.bucket + INTERVAL 1 DAY
+GROUP BY s.bucket
+"""
+
+
+_CLICKS2 = f"SELECT {_PARSED} AS t, {_CLICK2_SQL} AS event_name FROM events"
+
+
+@register("report_watchlist_activity", covers="R-31 via run_report: closed windows, NULL on empty days",
+          oracle=_closed_sql(_CLICKS2, [(_key(label), f"x.event_name = '{n}'") for label, n in WATCHLIST_EVENTS]))
+def report_watchlist_activity(spark, sf_dir):
+    return run_report(derived_tracking(spark, sf_dir), "watchlist-activity", AS_OF, starts=STARTS)
+
+
+@register("report_diff_activity", covers="R-33 via run_report: closed windows, NULL on empty days",
+          oracle=_closed_sql(_CLICKS2, [(_key(label), f"x.event_name = '{n}'") for label, n in DIFF_EVENTS]))
+def report_diff_activity(spark, sf_dir):
+    return run_report(derived_tracking(spark, sf_dir), "diff-activity", AS_OF, starts=STARTS)
+
+
+_OPTIONS_SRC = f"""SELECT {_PARSED} AS t,
+    CASE WHEN value < 30 THEN 'on' WHEN value < 60 THEN 'off' END AS event_beta,
+    CASE event_type WHEN 'click' THEN 'on' WHEN 'view' THEN 'off' ELSE 'x' END AS event_alpha,
+    CASE WHEN value < 50 THEN 'on' ELSE 'off' END AS event_images
+  FROM events"""
+
+
+@register("report_mobile_options", covers="R-32 via run_report: on/off counts of three columns, closed windows",
+          oracle=_closed_sql(_OPTIONS_SRC, [(_key(label), f"x.{col} = '{val}'") for label, col, val in OPTIONS]))
+def report_mobile_options(spark, sf_dir):
+    return run_report(derived_tracking(spark, sf_dir), "mobile-options", AS_OF, starts=STARTS)
+
+
+def _sparse_platform_sql(src: str, where: str) -> str:
+    return f"""
+WITH x AS ({src})
+SELECT day AS bucket, COUNT(*) AS total,
+  CAST(SUM(CASE WHEN event_platform LIKE 'Android%' THEN 1 ELSE 0 END) AS BIGINT) AS android,
+  CAST(SUM(CASE WHEN event_platform LIKE 'iOS%' THEN 1 ELSE 0 END) AS BIGINT) AS ios
+FROM x WHERE {where} GROUP BY 1
+"""
+
+
+@register("report_successful_logins", covers="R-19 via run_report: sparse daily logins per platform",
+          oracle=_sparse_platform_sql(
+              f"""SELECT CAST({_PARSED} AS DATE) AS day,
+                    CASE WHEN value >= 450 THEN 'testwiki' ELSE 'commonswiki' END AS wiki,
+                    {_PLATFORM_SQL} AS event_platform,
+                    CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS event_result
+                  FROM events""",
+              "event_result = 'success' AND wiki = 'commonswiki'"))
+def report_successful_logins(spark, sf_dir):
+    return run_report(derived_tracking(spark, sf_dir), "successful-logins", AS_OF)
+
+
+@register("report_share_attempts", covers="R-21 via run_report: sparse daily shares on one wiki",
+          oracle=_sparse_platform_sql(
+              f"""SELECT CAST({_PARSED} AS DATE) AS day,
+                    CASE WHEN value >= 400 THEN 'enwiki' ELSE 'commonswiki' END AS wiki,
+                    {_PLATFORM_SQL} AS event_platform
+                  FROM events""",
+              "wiki = 'commonswiki'"))
+def report_share_attempts(spark, sf_dir):
+    return run_report(derived_tracking(spark, sf_dir), "share-attempts", AS_OF)
+
+
+@register("report_unique_uploaders", covers="R-01 via run_report: monthly distinct uploaders per platform",
+          oracle=f"""
+WITH {_UPLOADS_CTE},
+spine AS (
+  SELECT CAST(d AS DATE) AS bucket
+  FROM generate_series(DATE '2023-02-01', DATE '2024-01-01', INTERVAL 1 MONTH) t(d)),
+apps AS (
+  SELECT {_MONTH} AS bucket,
+    COUNT(DISTINCT CASE WHEN event_platform LIKE 'Android%' THEN event_username END) AS android,
+    COUNT(DISTINCT CASE WHEN event_platform LIKE 'iOS%' THEN event_username END) AS ios
+  FROM upload_attempts WHERE {_APPS_OK} GROUP BY 1),
+web AS (SELECT {_MONTH} AS bucket, COUNT(DISTINCT event_username) AS web FROM upload_web WHERE {_WEB_OK} GROUP BY 1)
+SELECT s.bucket, CAST(COALESCE(a.android, 0) AS BIGINT) AS android, CAST(COALESCE(a.ios, 0) AS BIGINT) AS ios,
+  CAST(COALESCE(w.web, 0) AS BIGINT) AS web
+FROM spine s LEFT JOIN apps a ON s.bucket = a.bucket LEFT JOIN web w ON s.bucket = w.bucket
+""")
+def report_unique_uploaders(spark, sf_dir):
+    return run_report(derived_uploads(spark, sf_dir), "unique-uploaders", AS_OF)
