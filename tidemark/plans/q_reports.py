@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.time import format_ts14
 from ..sources.logical import logical_tables
 from .catalog import register, table
-from .reports import UI_EVENTS, _key, run_report
+from .reports import DIFF_EVENTS, OPTIONS, UI_EVENTS, WATCHLIST_EVENTS, _key, run_report
 
 AS_OF = "2024-01-30"
 STARTS = "2024-01-01"
@@ -825,8 +825,6 @@ def report_app_edits_success(spark, sf_dir):
 # -- the remaining click, option, login and share reports --------------------
 # (R-31, R-33, R-32, R-19, R-21)
 
-from .reports import DIFF_EVENTS, OPTIONS, WATCHLIST_EVENTS  # noqa: E402
-
 _CLICK2_SQL = """CASE
     WHEN event_type = 'purchase' AND value < 20 THEN 'watchlist-a-z-more'
     WHEN event_type = 'purchase' AND value < 40 THEN 'watchlist-feed-view'
