@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.time import with_parsed_ts
 from .versions import unify_versions
