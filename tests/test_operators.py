@@ -304,3 +304,12 @@ def test_pivot_tags_long_to_wide(spark):
     assert wide == {D(2014, 1, 1): (1, 1), D(2014, 1, 2): (1, 2)}
     direct = {r[0]: (r[1], r[2]) for r in match_keys_wide(log, keys, "t", ["x", "y"], ts="ts").collect()}
     assert direct == wide
+
+
+def test_parse_ts_edge_fields(spark):
+    df = spark.createDataFrame([("20140230120000",), ("20140101246000",), ("20140101235960",),
+                                ("20140309023000",), ("2014010112000",)], "s string")
+    out = [r[0] for r in df.select(parse_ts("s")).collect()]
+    # 30 Feb, hour 24, second 60 and 13 digits are invalid; 02:30 on a
+    # daylight-saving day exists as a wall-clock value.
+    assert out == [None, None, None, T(2014, 3, 9, 2, 30), None]

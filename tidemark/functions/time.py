@@ -30,13 +30,22 @@ def parse_ts(col: Column | str, ntz: bool = True) -> Column:
 
     Only text of exactly 14 digits parses, so for every parsed row the text
     order is the time order (see :func:`time_range`). The text is a
-    wall-clock value, so the result is ``TIMESTAMP_NTZ`` unless
-    ``ntz=False``; the cast is exact in any session time zone because
-    parsing and the LTZ->NTZ cast use the same zone.
+    wall-clock value, so the result is ``TIMESTAMP_NTZ`` (independent of the
+    session time zone) unless ``ntz=False``.
     """
     text = _c(col)
-    parsed = F.when(text.rlike("^[0-9]{14}$"), F.try_to_timestamp(text, F.lit(TS14)))
-    return parsed.cast("timestamp_ntz") if ntz else parsed
+    digits = text.rlike("^[0-9]{14}$")
+    if not ntz:
+        return F.when(digits, F.try_to_timestamp(text, F.lit(TS14)))
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(text, start, length).cast("int")
+    # Built from the digit groups: no time zone is involved, so a wall-clock
+    # time that a zone skips (a daylight-saving gap) still parses exactly.
+    # Invalid fields (month 13, 30 February, second 60) give NULL.
+    wall = F.try_make_timestamp_ntz(years=part(1, 4), months=part(5, 2), days=part(7, 2),
+                                    hours=part(9, 2), mins=part(11, 2), secs=part(13, 2))
+    return F.when(digits & (part(13, 2) < 60), wall)
 
 
 def with_parsed_ts(df, text_col: str, name: str = "ts", day_partition: str | None = None):
