@@ -129,7 +129,6 @@ FROM events GROUP BY 1
 def streaming_bucket_counts_query(spark, sf_dir):
     """Daily counts per type computed by a streaming query over the events
     file, upserted by bucket into a Parquet series, then read back."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # day windows are UTC days
     src = table(spark, sf_dir, "events")
     run = shared_dir(spark, "streams", f"events-daily-{uuid.uuid4().hex}")
     metrics = {t: F.col("event_type") == t for t in EVENT_TYPES}

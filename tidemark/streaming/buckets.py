@@ -25,24 +25,24 @@ def bucket_count_stream(events: DataFrame, ts: str, metrics: Mapping[str, Column
                         width: str = "1 day") -> DataFrame:
     """Streaming aggregate: counts per ``width`` window of event time.
 
-    ``TIMESTAMP_NTZ`` time columns are cast to ``TIMESTAMP`` (watermarks need
-    it). Day windows are aligned to UTC midnight, so the session must run in
-    UTC (as :func:`tidemark.session.get_session` sets) for them to be
-    wall-clock days; another zone is refused. Rows later than the watermark
+    Watermarks need a ``TIMESTAMP``; the event instant is built from the
+    wall-clock fields of the time column (as if it were UTC), so day windows
+    are wall-clock days and the bucket is read back with ``unix_seconds`` --
+    nothing depends on the session time zone. Rows later than the watermark
     are dropped by Spark, bounding the state.
     """
-    tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
-    if tz not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
-        raise ValueError(f"day windows need a UTC session time zone, not {tz!r}")
-    t = F.col(ts).cast("timestamp")
-    rows = events.withColumn("_et", t).withWatermark("_et", watermark)
+    t = F.col(ts)
+    wall_secs = (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600
+                 + F.minute(t) * 60 + F.second(t))
+    rows = events.withColumn("_et", F.timestamp_seconds(wall_secs)).withWatermark("_et", watermark)
     aggs = []
     if total:
         aggs.append(F.count(F.lit(1)).alias(total))
     aggs += [count_when(p).alias(k) for k, p in metrics.items()]
     grouped = rows.groupBy(F.window("_et", width).alias("_w")).agg(*aggs)
     names = ([total] if total else []) + list(metrics)
-    return grouped.select(F.to_date(F.col("_w.start")).alias(BUCKET), *names)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("_w.start")) / 86400).cast("int"))
+    return grouped.select(day.alias(BUCKET), *names)
 
 
 def upsert_buckets(path: str):
