@@ -23,6 +23,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once their data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
