@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import language, mixing, quality_rules, simhash
 from tidemark.llm.common import table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 
+def crc_mod(n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    ratio = quality_rules.weights(quality_rules.train(docs, trusted))
+    return quality_rules.apply_rules(docs, ratio).drop("text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     size = word_count(F.col("text"))
@@ -17,6 +29,22 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           (size * F.col("copies")).alias("taken"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(4) == 2
+    profiles = language.train(docs.where(~held_out))
+    return language.predict(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
+    "op8_language_id": op8_language_id,
+    "op9_simhash": op9_simhash,
 }
