@@ -15,8 +15,11 @@ from tidemark.llm.common import fresh, small
 BUCKETS = 1 << 14
 #: Words whose hash a task keeps.
 CACHE = 500_000
-#: Length-normalised log-likelihood ratio at or above which a document is kept.
-THRESHOLD = -0.5
+#: Length-normalised log-likelihood ratio at or above which a document is kept
+#: where no labels set the threshold.
+THRESHOLD = -0.1
+#: Step of the thresholds that are tried.
+STEP = 0.005
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
 
@@ -110,15 +113,14 @@ def measure(text: str | None, ratio: np.ndarray, cache: dict) -> tuple:
     return (len(words), len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)), dup, repeat, llr)
 
 
-def apply_rules(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def measure_rules(docs: DataFrame, ratio: np.ndarray, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
-    ``n_repeat_words``, ``llr``, ``base_failed`` and ``kept``.
+    ``n_repeat_words``, ``llr`` (mean log-likelihood ratio) and ``base_failed``:
+    under 50 words, or over half of the words in repeated 3-word windows.
 
-    ``base_failed``: under 50 words, or over half of the words in repeated
-    3-word windows. ``kept``: the base holds and the mean log-likelihood ratio
-    is at or above ``threshold``. Defined cases: null or empty text counts 0 and
-    fails; very long texts are measured whole; repeated rows agree; extra
-    columns are kept, those with the names above are replaced.
+    Defined cases: null or empty text counts 0 and fails; very long texts are
+    measured whole; repeated rows agree; extra columns are kept, those with the
+    names above are replaced.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr"]
     kind = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, llr double"
@@ -130,8 +132,32 @@ def apply_rules(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", thre
             yield pd.DataFrame([measure(t, ratio, cache) for t in texts], columns=names)
 
     found, = fresh(docs, "found")
-    kept = [F.col(c) for c in docs.columns if c.lower() not in (*names, "base_failed", "kept")]
+    kept = [F.col(c) for c in docs.columns if c.lower() not in (*names, "base_failed")]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (docs.withColumn(found, rate(F.col(text_col))).select(*kept, F.col(f"{found}.*"))
-            .withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)))
+            .withColumn("base_failed", failed))
+
+
+def threshold(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> float:
+    """The log-likelihood ratio that best parts all labelled documents that pass
+    the base counts: share of ``quality`` 1 at or above it plus share of 0 below
+    it, in the middle of the best steps. ``THRESHOLD`` if a label is missing."""
+    own = measured.where(~F.col("base_failed")).select(F.col(id_col).alias("m"), "llr")
+    marks = labels.select(F.col("doc_id").alias("l"), "quality").where("quality in (0, 1)")
+    step = F.greatest(F.lit(-4000), F.least(F.lit(4000), F.floor(F.col("llr") / STEP))).cast("int")
+    seen = own.join(marks, F.col("m") == F.col("l")).groupBy(step.alias("step"), "quality").count().collect()
+    n = np.zeros((2, 8003))  # the steps are a fixed range
+    for r in seen:
+        n[r["quality"], r["step"] + 4001] += r["count"]
+    if not n.sum(axis=1).all():
+        return THRESHOLD
+    n /= n.sum(axis=1, keepdims=True)
+    gain = np.cumsum(n[0]) - n[0] - (np.cumsum(n[1]) - n[1])
+    best = np.flatnonzero(gain >= gain.max() - 1e-12)
+    run = best[:np.flatnonzero(np.diff(np.append(best, best[-1] + 9)) > 1)[0] + 1]
+    return float((run[0] + run[-1]) / 2 - 4001) * STEP
+
+
+def apply_rules(measured: DataFrame, cut: float = THRESHOLD) -> DataFrame:
+    """``measured`` with ``kept``: the base counts hold and ``llr`` is at or above ``cut``."""
+    return measured.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= cut))

@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, quality_rules, simhash
-from tidemark.llm.common import table, word_count
+from tidemark.llm import language, mixing, packing, quality_rules, simhash
+from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 
+def word_bpe() -> str:
+    """Path of the tokenizer file, the same on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), word_bpe())
+    digest = packed.pieces.select("key", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return digest.join(packed.places, "key").drop("key")
+
+
 def crc_mod(n: int):
     """crc32 of the id as text, modulo ``n``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -17,9 +29,10 @@ def crc_mod(n: int):
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    ratio = quality_rules.weights(quality_rules.train(docs, trusted))
-    return quality_rules.apply_rules(docs, ratio).drop("text")
+    labels = table(spark, sf_dir, "labels")
+    ratio = quality_rules.weights(quality_rules.train(docs, labels.where("quality = 1").select("doc_id")))
+    measured = settle(quality_rules.measure_rules(docs, ratio).drop("text"))
+    return quality_rules.apply_rules(measured, quality_rules.threshold(measured, labels))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +56,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
     "op8_language_id": op8_language_id,

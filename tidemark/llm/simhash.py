@@ -92,7 +92,8 @@ def compare_blocks(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarra
         if len(left) > 4 * len(nodes):  # no more than a forest is ever kept
             left, right = forest(len(nodes), left, right)
     left, right = forest(len(nodes), left, right)
-    return nodes[left], nodes[right]
+    moved = nodes[left] != nodes[right]
+    return nodes[left[moved]], nodes[right[moved]]
 
 
 def links(prints: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
