@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, packing, quality_rules, simhash
+from tidemark.llm import extraction, language, mixing, packing, quality_rules, simhash
 from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
@@ -55,10 +55,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    text = extraction.main_text(pages, extraction.fit(pages))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
+    "op10_extraction": op10_extraction,
 }
