@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import extraction, language, mixing, packing, quality_rules, simhash
+from tidemark.llm import extraction, language, mixing, packing, quality_model, quality_rules, simhash, url_rules
 from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
@@ -35,6 +35,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(measured, quality_rules.threshold(measured, labels))
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(5) == 0
+    model = quality_model.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return quality_model.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     size = word_count(F.col("text"))
@@ -42,6 +49,26 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           (size * F.col("copies")).alias("taken"))
 
 
+#: Host and path rules of the url filter.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # the number in a url's path names the document that the page shows
+    number = F.try_to_number(F.regexp_extract(url_rules.path_of(F.col("url")), "/([0-9]{1,18})", 1), F.lit("9" * 18))
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id"), bad.alias("verdict"))
+    labelled = pages.withColumn("doc_id", number.cast("long")).join(labels, "doc_id")
+    return url_rules.judge(pages, URL_RULES, url_rules.mine(labelled)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_mod(4) == 2
@@ -64,7 +91,9 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_model": op5_quality_model,
     "op6_mixing": op6_mixing,
+    "op7_url_rules": op7_url_rules,
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_extraction": op10_extraction,
