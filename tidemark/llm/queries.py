@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import extraction, language, mixing, packing, quality_model, quality_rules, simhash, url_rules
+from tidemark.llm import embeddings, extraction, language, line_dedup, mixing, packing, quality_model, quality_rules, simhash, url_rules
 from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def word_bpe() -> str:
     """Path of the tokenizer file, the same on every machine."""
     import public_tokenizers
@@ -22,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.join(packed.places, "key").drop("key")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring_lines(docs)
+
+
 def crc_mod(n: int):
     """crc32 of the id as text, modulo ``n``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -89,7 +98,9 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_model": op5_quality_model,
     "op6_mixing": op6_mixing,
