@@ -10,6 +10,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,35 +45,33 @@ def chunk_encoder(path: str) -> Callable[[str], np.ndarray]:
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     signs = {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
-    pieces: dict[str, list[int]] = {}
-    cache: dict[str, list[int]] = {}
+    pieces: dict[str, tuple[int, ...]] = {}
 
-    def piece(p: str) -> list[int]:
+    def piece(p: str) -> tuple[int, ...]:
         ids = pieces.get(p)
         if ids is None:
-            ids = pieces[p] = [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(signs))]
+            ids = pieces[p] = tuple([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(signs))])
         return ids
 
-    def chunk(c: str) -> list[int]:
-        if "<|" not in c and (m := plain.fullmatch(c)):
-            word = c[:m.end(1)].lower()
-            return piece(word) + piece(m[2]) if m[2] else piece(word)
-        return whole.encode(c, add_special_tokens=False).ids
+    class Chunks(dict):
+        def __missing__(self, chunk: bytes) -> tuple[int, ...]:
+            c = chunk.decode()
+            if "<|" not in c and (m := plain.fullmatch(c)):
+                word = m[1].lower()
+                ids = piece(word) + piece(m[2]) if m[2] else piece(word)
+            else:
+                ids = tuple(whole.encode(c, add_special_tokens=False).ids)
+            self[chunk] = ids
+            return ids
+
+    cache = Chunks()
 
     def encode(text: str) -> np.ndarray:
         if len(cache) > CACHE or len(pieces) > CACHE:
             cache.clear()
             pieces.clear()
-        out: list[int] = []
-        for c in text.translate(ascii_space).split(" "):
-            if c:
-                ids = cache.get(c)
-                if ids is None:
-                    ids = cache[c] = chunk(c)
-                out += ids
-        return np.array(out, np.uint32)
-
-    ascii_space = {9: 32, 10: 32, 11: 32, 12: 32, 13: 32}
+        return np.fromiter(chain.from_iterable(map(cache.__getitem__, text.encode().split())), np.uint32)
+
     return encode
 
 
