@@ -22,7 +22,7 @@ from tidemark.llm.common import settle, stored
 CAPACITY = 4096
 END = 1
 #: Rows of one length that are ranked in one task.
-RANKED = 200_000
+RANKED = 1_000
 #: Encoded chunks that a task keeps.
 CACHE = 1_000_000
 #: Pieces that a task hands on at a time.
@@ -229,8 +229,9 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     table = spark.createDataFrame(slots or [], "length long, low long, high long, first long, each long, base long")
     by_length = table.groupBy("length").agg(F.array_sort(F.collect_list(
         F.struct("low", "high", "first", "each", "base"))).alias("slots"))
-    salts = max([1, *(-(-n // RANKED) for n in histogram.values())])
-    salted = pieces.select("key", "length", F.pmod(F.xxhash64("key"), F.lit(salts)).alias("salt"))
+    salts = spark.createDataFrame([(length, -(-n // RANKED)) for length, n in histogram.items()], "length long, salts long")
+    salted = pieces.select("key", "length").join(F.broadcast(salts), "length").select(
+        "key", "length", F.pmod(F.xxhash64("key"), F.col("salts")).alias("salt"))
     groups = settle(salted.groupBy("length", "salt").count())
     before = F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(
         Window.unboundedPreceding, -1))
