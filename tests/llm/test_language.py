@@ -1,0 +1,64 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+
+from tidemark.llm import language
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    out = Counter()
+    for w in words:
+        w = f"_{w}_"
+        for n in (1, 2, 3):
+            for i in range(len(w) - n + 1):
+                g = w[i:i + n]
+                if g != "_":
+                    out[g] += 1
+    return out
+
+
+def code(g):
+    return sum((1 if c == "_" else ord(c) + 1) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+
+
+def test_grams_match_brute_force():
+    alpha = language.letters()
+    for text in ("Hello, wörld 12 a b", "x", "  ", "", "1a", "a1", "日本 語", "a" * 50, "Don't\n\nstop"):
+        got = Counter(language.grams(text, alpha).tolist())
+        assert got == Counter({code(g): n for g, n in brute_grams(text).items()}), text
+
+
+def test_ranked_breaks_ties_by_code():
+    codes = np.array([5, 5, 3, 3, 9, 1, 2])
+    assert language.ranked(codes, 3).tolist() == [3, 5, 1] and language.ranked(codes, 10).tolist() == [3, 5, 1, 2, 9]
+
+
+def test_held_out_accuracy_and_cases(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    held = docs.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)
+    train = spark.createDataFrame(docs[~held][["text", "lang"]])
+    profiles = language.train(train)
+    top = profiles.where("rank < 5").orderBy("lang", "rank").collect()
+    for lang in ("en", "fr"):
+        total = Counter()
+        for t in docs[~held & (docs.lang == lang)].text:
+            total.update(brute_grams(t))
+        want = sorted(((-n, code(g)) for g, n in total.items()))[:5]
+        assert [r["code"] for r in top if r["lang"] == lang] == [c for _, c in want]
+    test = docs[held][["doc_id", "text", "lang"]]
+    got = language.predict(spark.createDataFrame(test), profiles).toPandas()
+    assert (got.lang == got.lang_pred).mean() > 0.99 and got.score.between(0, 1).all()
+    odd = spark.createDataFrame([(1, None, 5), (2, "", 5), (3, "12 !?", 5), (4, "the " * 60000, 5), (5, "漢字", 5)],
+                                "doc_id long, text string, score int")
+    by = {r["doc_id"]: r for r in language.predict(odd, profiles).collect()}
+    assert [by[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and by[4]["lang_pred"] == "en"
+    kept = language.known_language(odd, profiles)
+    assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {4}
+    none = language.predict(odd, profiles.limit(0))
+    assert {r["lang_pred"] for r in none.collect()} == {"und"}
+    assert language.train(odd.select("text", "doc_id").withColumnRenamed("doc_id", "lang").limit(0)).count() == 0

@@ -16,7 +16,7 @@ from tidemark.llm.simhash import forest
 #: Vectors of a shard, links of a node (twice that in the lowest layer), beam while building.
 SHARD, LINKS, BUILD_BEAM = 8192, 12, 48
 #: First beam of a query, vectors audited of each shard, and share of their links to be found.
-BEAM, AUDITED, RECALL = 32, 128, 0.999
+BEAM, AUDITED, RECALL = 32, 256, 1.0
 #: Slack of the single-precision search before the exact check.
 SLACK = 1e-4
 
