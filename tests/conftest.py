@@ -10,11 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from tidemark.session import get_session
-    s = get_session("local[4]", app="tidemark-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    scratch = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
+    s = get_session("local[4]", app="tidemark-tests", shuffle_partitions=4, extra={"spark.checkpoint.dir": scratch})
     yield s
     s.stop()
 

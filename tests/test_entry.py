@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -20,8 +21,12 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    bad = [n for n in E.queries() if "pipeline" in n or n.startswith("op")]
-    assert not bad
+
+
+def test_numbered_operators_and_pipeline_are_there_with_their_package():
+    numbered = [n for n in E.queries() if re.match(r"op\d+_", n)]
+    assert len(numbered) == (10 if E._LLM else 0)
+    assert ("pipeline" in E.queries()) == bool(E._PIPELINE)
 
 
 @pytest.fixture(scope="module")

@@ -37,17 +37,17 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def _two_decimal_text(values):
-    import pandas as pd
-    return values.map(lambda v: None if pd.isna(v) else "%.2f" % v)
-
-
 def two_decimal(col: Column | str) -> Column:
     """Two-decimal text exactly as Python's ``'%.2f'``: half-even on the
     binary value (0.125 -> '0.12', 0.615 -> '0.61'), which no built-in
     reproduces (``format_string`` rounds half-up on the shortest decimal
     form). A display-only column of summary rows, so one Arrow-batched
-    pandas UDF is the right tool; it runs inside the tasks.
+    pandas UDF is the right tool; it runs inside the tasks. The function is a
+    local one, so it is shipped by value and workers need no copy of the package.
     """
-    fmt = F.pandas_udf(_two_decimal_text, "string")
+    def text(values):
+        import pandas as pd
+        return values.map(lambda v: None if pd.isna(v) else "%.2f" % v)
+
+    fmt = F.pandas_udf(text, "string")
     return fmt(_c(col).cast("double"))

@@ -153,18 +153,25 @@ def bucket_distinct(df: DataFrame, ts: str, grain: str, key: str,
                     rsd: float = 0.01) -> DataFrame:
     """Distinct ``key`` per bucket for each predicate (``COUNT(DISTINCT ...)``).
 
-    NULL keys are ignored. Several exact distincts plan as one ``Expand``
-    whose shuffle is keyed on (bucket, key), so a hot bucket still spreads
-    over many tasks. ``approx=True`` switches to HyperLogLog++ sketches,
+    NULL keys are ignored. All metrics share the key, so rows are reduced once
+    to (bucket, key) with one flag per metric -- map-side first, a hot bucket
+    spreads over its keys, no row is copied per metric -- and the flags are
+    summed per bucket. ``approx=True`` switches to HyperLogLog++ sketches,
     which merge map-side and need no key shuffle at all.
     """
     df = _prepare(df, ts, grain, where, start, end)
-    aggs = []
-    for label, pred in metrics.items():
-        value = F.when(pred, F.col(key))
-        agg = F.approx_count_distinct(value, rsd) if approx else F.count_distinct(value)
-        aggs.append(agg.cast("bigint").alias(label))
-    return df.groupBy(bucket_of(ts, grain).alias(BUCKET)).agg(*aggs)
+    bucket = bucket_of(ts, grain).alias(BUCKET)
+    if approx:
+        return df.groupBy(bucket).agg(*[
+            F.approx_count_distinct(F.when(pred, F.col(key)), rsd).cast("bigint").alias(label)
+            for label, pred in metrics.items()])
+    # A bucket whose keys are all NULL still has a row, so NULL stays a key here.
+    known = F.col(key).isNotNull()
+    flags = [F.max(F.when(pred & known, F.lit(1)).otherwise(F.lit(0))).alias(f"_m{i}")
+             for i, pred in enumerate(metrics.values())]
+    per_key = df.groupBy(bucket, F.col(key).alias("_key")).agg(*flags)
+    return per_key.groupBy(BUCKET).agg(*[F.sum(f"_m{i}").cast("bigint").alias(label)
+                                         for i, label in enumerate(metrics)])
 
 
 # --------------------------------------------------------------- density ---

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arith import count_when, safe_ratio
@@ -41,15 +41,18 @@ def _fan_out(day_counts: DataFrame, before: int, after: int, starts, ends) -> Da
     For a row on day ``d``: ``to`` runs from ``ceil(ts) - after`` to
     ``d + before``; ``ceil(ts)`` is ``d`` for a midnight row, else ``d + 1``.
     """
+    lo, hi = _bucket_span(before, after, starts, ends)
+    rows = day_counts.where(lo <= hi)
+    return rows.withColumn(BUCKET, F.explode(F.sequence(lo, hi))).drop(DAY, MID)
+
+
+def _bucket_span(before: int, after: int, starts, ends) -> tuple[Column, Column]:
+    """First and last bucket of the range whose window holds a day's rows."""
     d = F.col(DAY)
     ceil_day = F.when(F.col(MID), d).otherwise(F.date_add(d, 1))
-    lo = F.date_sub(ceil_day, after + 1)
-    hi = F.date_add(d, before - 1)
     s, e = _bucket_value(starts, "day"), _bucket_value(ends, "day")
-    lo = F.greatest(lo, F.lit(s))
-    hi = F.least(hi, F.lit(e))
-    rows = day_counts.where(lo <= hi)
-    return rows.withColumn(BUCKET, F.explode(F.sequence(lo, hi))).drop(DAY, MID)
+    return (F.greatest(F.date_sub(ceil_day, after + 1), F.lit(s)),
+            F.least(F.date_add(d, before - 1), F.lit(e)))
 
 
 def _window_filter(df: DataFrame, ts: str, starts, ends, before: int, after: int) -> DataFrame:
@@ -92,8 +95,7 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
                           user: str = "user", ts: str = "ts", flag: str = "flag",
                           account_where: Column | None = None,
                           labels: tuple[str, str] = ("mobile", "desktop"),
-                          account_before: int | None = None, account_after: int = 1,
-                          durable: bool = True) -> DataFrame:
+                          account_before: int | None = None, account_after: int = 1) -> DataFrame:
     """Newly registered users who became active, by day bucket.
 
     For each day bucket ``b`` (window end ``to = b + 1 day``):
@@ -107,16 +109,16 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
     ``edits`` and ``accounts`` carry columns ``user`` and ``ts``;
     ``accounts`` also ``flag``.
 
-    The active (user, bucket) set feeds two steps (it pre-filters the
-    accounts and is joined with them). With ``durable=True`` it is
-    checkpointed once to the shared folder (``spark.checkpoint.dir``), so
-    the edit tables are scanned once and the lineage is cut there.
+    Rows are reduced to (user, day) counts map-side and exchanged once on the
+    user. Users without a signup in range go before anything is fanned out;
+    the sum per (user, bucket) and the join with the accounts (exchanged on
+    the user too) then move no row again.
     """
     before_acc = n + 1 if account_before is None else account_before
 
     # Signups and edits share the window [to - n d, to], so one union reduced
     # once to (user, day, on-midnight) gives, per (user, bucket), both "signed
-    # up in the window" and "edits in the window": two shuffles in all.
+    # up in the window" and "edits in the window".
     parts = [_window_filter(signups, ts, starts, ends, n, 0)
              .select(F.col(user), F.col(ts), F.lit(1).alias("_s"), F.lit(0).alias("_c"))]
     for t in edits:
@@ -126,26 +128,24 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
     for p in parts[1:]:
         rows = rows.unionByName(p)
     per_day = _day_counts(rows, ts, [user], {"_s": F.sum("_s"), "_c": F.sum("_c")})
-    active = (_fan_out(per_day, n, 0, starts, ends)
+    signed = F.max("_s").over(Window.partitionBy(user))
+    per_day = per_day.where(F.col(user).isNotNull()).repartition(user).withColumn("_signed", signed)
+    active = (_fan_out(per_day.where(F.col("_signed") > 0), n, 0, starts, ends)
               .groupBy(user, BUCKET).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_edits"))
               .where((F.col("_s") > 0) & (F.col("_edits") >= min_edits))
               .select(user, BUCKET))
-    if durable:
-        from ..session import shared_dir
-        shared_dir(active.sparkSession)  # the session's folder; a scratch one only if unset
-        active = active.checkpoint(eager=True)
 
     acc = accounts if account_where is None else accounts.where(account_where)
     acc = _window_filter(acc, ts, starts, ends, before_acc, account_after)
     mobile, desktop = labels
     # Reduce accounts to (user, day, on-midnight) counts map-side first, so
     # a user holding a large share of account rows is a few rows per task
-    # before the shuffle on user; then keep only active users.
+    # before the shuffle on user.
     acc_days = _day_counts(acc, ts, [user], {
         mobile: count_when(F.col(flag) == 1), desktop: count_when(F.col(flag) != 1)})
-    acc_days = acc_days.join(active.select(user).distinct(), user, "left_semi")
-    spread = _fan_out(acc_days, before_acc, account_after, starts, ends)
-    joined = spread.join(active, [user, BUCKET])
+    lo, hi = _bucket_span(before_acc, account_after, starts, ends)
+    acc_days = acc_days.where(F.col(user).isNotNull() & (lo <= hi)).repartition(user).withColumns({"_lo": lo, "_hi": hi})
+    joined = acc_days.join(active, user).where(F.col(BUCKET).between(F.col("_lo"), F.col("_hi")))
     sums = joined.groupBy(BUCKET).agg(F.sum(mobile).cast("bigint").alias(mobile),
                                       F.sum(desktop).cast("bigint").alias(desktop))
     spine = spine_between(signups.sparkSession, starts, ends, "day")

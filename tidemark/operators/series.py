@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,18 +15,35 @@ from .buckets import BUCKET
 SERIES_FORMATS = ("csv", "parquet")
 
 
+def _bare(path: str) -> str:
+    """A path without scheme and authority, to compare with another."""
+    return "/" + re.sub(r"^\w+:(//[^/]*)?", "", path).strip("/")
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    target = path.rstrip("/")
-    for f in df.inputFiles():
-        f = f.split("://", 1)[-1] if "://" in f else f
-        if f.startswith(target.split("://", 1)[-1] + "/") or f == target:
-            return True
+    """Whether a file source of the plan lies at, in or above ``path``: from
+    the root paths of its relations, without listing a file."""
+    target = _bare(path) + "/"
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("LogicalRelation") or leaf.nodeName().startswith("Relation"):
+            relation = leaf.relation()
+            if not hasattr(relation, "location") or "HadoopFsRelation" not in relation.getClass().getName():
+                continue
+            roots = relation.location().rootPaths()
+            for k in range(roots.size()):
+                root = _bare(roots.apply(k).toString()) + "/"
+                if root.startswith(target) or target.startswith(root):
+                    return True
     return False
 
 
 def write_series(df: DataFrame, path: str, fmt: str = "csv", key: str = BUCKET,
-                 labels: Mapping[str, str] | None = None, partitioned: bool = False) -> None:
-    """Write a series, fully replacing what is at ``path``.
+                 labels: Mapping[str, str] | None = None, partitioned: bool = False,
+                 replace: bool = True) -> None:
+    """Write a series, fully replacing what is at ``path`` (``replace=False``:
+    failing if something is there).
 
     ``csv`` is the reference's sink: a header line and rows sorted by the
     bucket key. The sort is a range partitioning, so part files are in key
@@ -45,13 +63,12 @@ def write_series(df: DataFrame, path: str, fmt: str = "csv", key: str = BUCKET,
         out = out.select(*[F.col(c).alias(labels.get(c, c)) for c in out.columns])
     if fmt == "csv":
         (out.orderBy(labels.get(key, key) if labels else key)
-         .write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+         .write.mode("overwrite" if replace else "error").option("header", True).option("dateFormat", "yyyy-MM-dd")
          .csv(path))
         return
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode("overwrite" if replace else "error")
     if partitioned:
-        out.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        writer = writer.partitionBy(key)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(key)
     writer.parquet(path)
 
 
@@ -125,14 +142,16 @@ HISTORY_SCHEMA = "report string, last_run timestamp"
 def read_history(spark: SparkSession, root: str) -> DataFrame:
     """Latest run per report from an append-only history folder.
 
-    A missing or unreadable folder is an empty history (every report due),
-    as the reference treats a missing or broken history file.
+    A missing folder is an empty history (every report due). An unreadable file
+    in it is an error: dropping it would hide a loss of history.
     """
     from pyspark.errors import AnalysisException
     try:
-        rows = spark.read.schema(HISTORY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(root)
+        rows = spark.read.schema(HISTORY_SCHEMA).parquet(root)
         rows.schema  # resolve now: a missing folder raises here
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         rows = spark.createDataFrame([], HISTORY_SCHEMA)
     return rows.groupBy("report").agg(F.max("last_run").alias("last_run"))
 

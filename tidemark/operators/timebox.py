@@ -27,17 +27,6 @@ from ..functions.time import (
 from .buckets import BUCKET, _bucket_value, _shift, densify, spine_between
 
 EMPTY_POLICIES = ("zero", "null", "omit")
-# Largest bucket list broadcast to restrict a refresh; beyond it the
-# restriction is a shuffled semi-join (10M days is ~27,000 years).
-MAX_BROADCAST_BUCKETS = 10_000_000
-
-
-def bucket_count_between(start, end, grain: str) -> int:
-    """Number of buckets from ``start`` to ``end`` inclusive (driver arithmetic)."""
-    s, e = _bucket_value(start, grain), _bucket_value(end, grain)
-    if grain == "day":
-        return (e - s).days + 1
-    return (e.year - s.year) * 12 + (e.month - s.month) + 1
 
 
 def assign_buckets(df: DataFrame, ts: str, starts, ends, grain: str = "day",
@@ -78,8 +67,7 @@ def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
     ``'null'`` (an ungrouped SUM) or ``'omit'`` (a plain GROUP BY).
     ``only_buckets`` (a DataFrame with a ``bucket`` column) restricts the
     work to those buckets. It is clipped to the range and made distinct, so
-    it has at most as many rows as the range has buckets; that bound is
-    checked before it is broadcast.
+    it has at most as many rows as the range has buckets, and AQE picks the join.
     """
     if empty not in EMPTY_POLICIES:
         raise ValueError(f"empty must be one of {EMPTY_POLICIES}")
@@ -90,8 +78,7 @@ def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
         s, e = _bucket_value(starts, grain), _bucket_value(ends, grain)
         only_buckets = (only_buckets.select(BUCKET)
                         .where((F.col(BUCKET) >= F.lit(s)) & (F.col(BUCKET) <= F.lit(e))).distinct())
-        small = bucket_count_between(s, e, grain) <= MAX_BROADCAST_BUCKETS
-        rows = rows.join(F.broadcast(only_buckets) if small else only_buckets, BUCKET, "left_semi")
+        rows = rows.join(only_buckets, BUCKET, "left_semi")
     exprs = [count_when(p).alias(k) for k, p in (metrics or {}).items()]
     exprs += [e.alias(k) for k, e in (aggs or {}).items()]
     if not exprs:
@@ -148,23 +135,30 @@ def incremental_refresh(stored: DataFrame, fresh: DataFrame, cutoff, starts=None
 
 def buckets_to_refresh(stored: DataFrame, starts, ends, cutoff, grain: str = "day",
                        key: str = BUCKET) -> DataFrame:
-    """Buckets of ``[starts, ends]`` that must be aggregated again.
-
-    At most ``bucket_count_between(starts, ends)`` rows: safe to broadcast.
-    """
+    """Buckets of ``[starts, ends]`` that must be aggregated again."""
     spark = stored.sparkSession
     spine = spine_between(spark, starts, ends, grain, name=key)
     return spine.join(kept_buckets(stored, cutoff, starts, ends, grain, key).select(key),
                       key, "left_anti")
 
 
+def first_open_bucket(stored: DataFrame, starts, ends, cutoff, grain: str = "day",
+                      key: str = BUCKET) -> _dt.date:
+    """The earliest bucket of the range that must be aggregated again; ``ends``'s
+    bucket if none is. Reads the stored series only, and one row of the result."""
+    first = buckets_to_refresh(stored, starts, ends, cutoff, grain, key).agg(F.min(key)).first()[0]
+    return first or _bucket_value(ends, grain)
+
+
 def refresh_series(stored: DataFrame, df: DataFrame, ts: str, starts, ends, cutoff,
                    grain: str = "day", metrics: Mapping[str, Column] | None = None,
                    aggs: Mapping[str, Column] | None = None, closed: str = "left",
                    empty: str = "omit", where: Column | None = None) -> DataFrame:
-    """Incremental refresh that aggregates only missing or open buckets."""
+    """Incremental refresh that aggregates only missing or open buckets, and
+    reads only from the first of them on (a literal bound of the scan)."""
     todo = buckets_to_refresh(stored, starts, ends, cutoff, grain)
-    fresh = time_boxed(df, ts, starts, ends, grain, metrics, aggs, closed, empty, where,
+    first = first_open_bucket(stored, starts, ends, cutoff, grain)
+    fresh = time_boxed(df, ts, first, ends, grain, metrics, aggs, closed, empty, where,
                        only_buckets=todo)
     return incremental_refresh(stored, fresh, cutoff, starts, ends, grain)
 

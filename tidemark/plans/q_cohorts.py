@@ -17,7 +17,7 @@ from .q_buckets import EVENT_TYPES, STATUSES
 RATIO_DAYS = 7
 COHORT_N = 3
 COHORT_MIN = 3
-COHORT_FIRST, COHORT_LAST = "2024-01-03", "2024-01-29"  # window ends 01-04 .. 01-30
+COHORT_FIRST, COHORT_LAST = "2024-01-01", "2024-01-30"  # window ends 01-02 .. 01-31
 
 
 @register("rolling_ratio", covers="rolling_ratio R-24 A-10 W-03 J-N12 F-11", oracle=f"""
@@ -48,7 +48,7 @@ def _account_flag():
           oracle=f"""
 WITH ends AS (
   SELECT CAST(d AS TIMESTAMP) AS t, CAST(d AS DATE) - 1 AS bucket
-  FROM generate_series(DATE '2024-01-04', DATE '2024-01-30', INTERVAL 1 DAY) g(d)),
+  FROM generate_series(DATE '2024-01-02', DATE '2024-01-31', INTERVAL 1 DAY) g(d)),
 u AS (
   SELECT DISTINCT e.bucket, s.user_id FROM ends e JOIN events s
     ON s.event_type = 'signup' AND s.ts BETWEEN e.t - INTERVAL {COHORT_N} DAY AND e.t),

@@ -47,6 +47,15 @@ def normalise_title_query(spark, sf_dir):
     return part.select("p_partkey", normalise_title(_raw_title()).alias("title"))
 
 
+@register("normalise_title_binary", covers="normalise_title X-15 (UTF-8 bytes as stored by a wiki database)", oracle=f"""
+SELECT p_partkey, {_norm_sql("'é ' || p_name")} AS title FROM part
+""")
+def normalise_title_binary_query(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    stored = F.encode(F.concat(F.lit("é "), F.col("p_name")), "UTF-8")
+    return part.select("p_partkey", normalise_title(stored, binary=True).alias("title"))
+
+
 @register("normalise_user", covers="normalise_user X-12 X-14", oracle="""
 SELECT c_custkey,
   CASE WHEN length(trim('  ' || lower(c_name) || ' ')) > 0 THEN
@@ -76,14 +85,13 @@ def _title_log(spark, sf_dir, start=None, end=None):
 
 def _tag_keys(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    return (part.where(F.col("p_type").isin(list(PART_TAGS)))
-            .select(F.col("p_type").alias("tag"), normalise_title(_raw_title()).alias("key")))
+    return part.select(F.col("p_type").alias("tag"), normalise_title(_raw_title()).alias("key"))
 
 
 _MATCH_CTE = f"""
 keys AS (
   SELECT DISTINCT p_type AS tag, {_norm_sql(_RAW_TITLE_SQL)} AS key
-  FROM part WHERE p_type IN ('ECONOMY', 'PROMO', 'STANDARD')),
+  FROM part),
 log AS (
   SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS bucket, {_norm_sql('p.p_name')} AS title
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""

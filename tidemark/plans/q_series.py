@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,7 +9,7 @@ from ..functions.text import classify_contains, classify_prefix
 from ..functions.time import format_ts14, parse_ts
 from ..operators.buckets import BUCKET, bucket_counts
 from ..operators.series import period_delta, read_series, write_series
-from ..session import shared_dir
+from ..session import scratch_dir
 from ..sources.versions import unify_versions
 from ..streaming.buckets import streaming_bucket_counts
 from .catalog import register, table
@@ -97,7 +96,7 @@ def write_series_query(spark, sf_dir):
     """The flagship series written as CSV to the shared folder and read back
     with its schema (a fresh path per run; the written files are the result)."""
     series = dense_daily_pivot(spark, sf_dir)
-    path = shared_dir(spark, "series", f"dense_daily_pivot-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, "dense-daily-pivot")
     write_series(series, path, fmt="csv")
     schema = "bucket date, total bigint, " + ", ".join(f"{t} bigint" for t in EVENT_TYPES)
     return read_series(spark, path, schema, fmt="csv")
@@ -130,9 +129,9 @@ def streaming_bucket_counts_query(spark, sf_dir):
     """Daily counts per type computed by a streaming query over the events
     file, upserted by bucket into a Parquet series, then read back."""
     src = table(spark, sf_dir, "events")
-    run = shared_dir(spark, "streams", f"events-daily-{uuid.uuid4().hex}")
+    run = scratch_dir(spark, "events-daily")
     metrics = {t: F.col("event_type") == t for t in EVENT_TYPES}
-    streaming_bucket_counts(spark, sf_dir, src.schema, "ts", metrics, glob="events.parquet",
+    streaming_bucket_counts(spark, f"{sf_dir.rstrip('/')}/events.parquet", src.schema, "ts", metrics,
                             sink=f"{run}/series", checkpoint=f"{run}/checkpoint")
     schema = "total bigint, " + ", ".join(f"{t} bigint" for t in EVENT_TYPES) + ", bucket date"
     out = spark.read.schema(schema).parquet(f"{run}/series")

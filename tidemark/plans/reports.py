@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ from ..operators.matching import (
     retention_summary,
     source_reconciliation,
 )
-from ..operators.timebox import has_drift, incremental_refresh, time_boxed
+from ..operators.timebox import first_open_bucket, has_drift, incremental_refresh, time_boxed
 
 Tables = Mapping[str, DataFrame]
 
@@ -376,10 +376,11 @@ def share_attempts(t: Tables, p: Params) -> DataFrame:
 def uploaders_experience(t: Tables, p: Params) -> DataFrame:
     ups = t["upload_attempts"].where(app_uploads_ok())
     src = F.when(ios(), F.lit("iOS")).when(android(), F.lit("Android"))
+    # Uploaders are normalised; stored names match as they are.
     per_user = (ups.select(src.alias("source"), normalise_user("event_username").alias("user_key"))
                 .where(F.col("source").isNotNull() & F.col("user_key").isNotNull())
                 .groupBy("source", "user_key").agg(F.count(F.lit(1)).alias("uploads")))
-    users = t["user"].select(normalise_user("user_name").alias("user_key"), "user_editcount")
+    users = t["user"].select(F.col("user_name").cast("string").alias("user_key"), "user_editcount")
     out = enrich_counts(per_user, "user_key", users, "user_key", "user_editcount", name="edits", default=0)
     return out.select("source", "uploads", F.col("edits").cast("bigint").alias("edits"))
 
@@ -395,7 +396,9 @@ def alltime_numbers(t: Tables, p: Params) -> DataFrame:
             .groupBy("source").agg(F.count(F.lit(1)).alias("total")))
     web = (t["upload_web"].where(web_uploads_ok())
            .agg(F.count(F.lit(1)).alias("total")).select(F.lit("Web").alias("source"), "total"))
-    totals = apps.unionByName(web)
+    # Every source has its row, also one without uploads.
+    named = spark.createDataFrame([(s,) for s in ALLTIME_MODIFIERS], "source string")
+    totals = named.join(apps.unionByName(web), "source", "left").select("source", F.coalesce("total", F.lit(0)).alias("total"))
     retained = category_counts(t["categorylinks"], ALLTIME_CATEGORIES).withColumnRenamed("n", "undeleted")
     corrections = spark.createDataFrame(list(ALLTIME_MODIFIERS.items()), "source string, correction bigint")
     out = retention_summary(totals, retained, F.broadcast(corrections), as_text=True)
@@ -453,13 +456,12 @@ def error_correction(t: Tables, p: Params) -> DataFrame:
         starts="2014-01-01", source="enwiki", closed="both")
 def edits_monthly_new_active(t: Tables, p: Params) -> DataFrame:
     lg = t["logging"]
-    signups = lg.where((F.col("log_type") == "newusers") & (F.col("log_action") == "create")).select(
-        F.col("log_user").alias("user"), "ts")
-    revs = t["revision"].select(F.col("rev_user").alias("user"), "ts")
-    arch = t["archive"].select(F.col("ar_user").alias("user"), "ts")
-    acc = t["account_creation"].select(
-        F.col("event_userId").alias("user"), "ts", F.col("event_displaymobile").alias("flag"),
-        "useragent", "wiki")
+    # The text time column stays: its bounds are the ones that reach the scan.
+    signups = lg.where((F.col("log_type") == "newusers") & (F.col("log_action") == "create")).withColumn(
+        "user", F.col("log_user"))
+    revs = t["revision"].withColumn("user", F.col("rev_user"))
+    arch = t["archive"].withColumn("user", F.col("ar_user"))
+    acc = t["account_creation"].withColumns({"user": F.col("event_userId"), "flag": F.col("event_displaymobile")})
     rule = lacks_or_null("useragent", "WikipediaApp") & (F.col("wiki") == "enwiki")
     return rolling_active_cohort(signups, [revs, arch], acc, p.starts, p.ends, n=RUNNING_AVERAGE,
                                  min_edits=NEW_ACTIVE_MIN_EDITS, account_where=rule)
@@ -583,8 +585,9 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
 
     For a time-boxed report with a ``stored`` series, buckets stored and
     closed before ``cutoff`` (default: the first of ``as_of``'s month) are
-    kept and the rest recomputed; if the stored series has another shape it
-    is rebuilt whole unless ``force``. ``labelled`` renames columns to the
+    kept and the rest recomputed, reading from the first of those on (rolling
+    reports widen that by their window); if the stored series has another
+    shape it is rebuilt whole unless ``force``. ``labelled`` renames columns to the
     original headers. ``tables`` may be a plain mapping or a
     :class:`~tidemark.sources.logical.LogicalCatalog`, in which case the
     report's own source supplies the wiki tables. ``explain`` prints the
@@ -596,12 +599,16 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
     if hasattr(tables, "for_source"):
         tables = tables.for_source(rep.source)
     p = params_for(rep, as_of, starts, ends, n)
-    fresh = rep.build(tables, p)
-    out = fresh
-    if rep.timeboxed and stored is not None:
+    if not rep.timeboxed or stored is None:
+        out = rep.build(tables, p)
+    else:
         cut = to_date_value(cutoff) if cutoff else p.as_of.replace(day=1)
+        first = first_open_bucket(stored, p.starts, p.ends, cut, rep.grain)
+        fresh = rep.build(tables, replace(p, starts=first))
         if not has_drift(stored, fresh) or force:
             out = incremental_refresh(stored, fresh, cut, p.starts, p.ends, rep.grain)
+        else:  # the shape changed: the whole range anew
+            out = rep.build(tables, p)
     if labelled:
         out = out.select(*[F.col(c).alias(rep.labels.get(c, c)) for c in out.columns])
     if explain:

@@ -1,37 +1,44 @@
 """Refreshing stored report series: read, check shape, refresh, write, record.
 
 Series live under ``<root>/<report>/v=<version>`` as CSV (the reference's
-sink). A refresh never writes over its input: it writes the next version and
-readers take the highest complete one. History is append-only
+sink), with the report's display headers. A refresh never writes over its
+input: it writes the next version, which must not exist yet, and readers take
+the highest complete one (with ``_SUCCESS``). History is append-only
 (:func:`~tidemark.operators.series.append_history`).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.series import append_history, read_history, read_series, write_series
 from ..operators.timebox import due_reports
-from .reports import REPORTS, run_report
+from .reports import REPORTS, params_for, run_report
 
+# Complete versions that stay beside the newest one.
+KEPT_VERSIONS = 1
 
-def _versions(spark: SparkSession, series_root: str) -> list[int]:
-    """Version numbers present under ``series_root``, from the file listing
-    only (``inputFiles`` reads no data)."""
-    import re
-    from pyspark.errors import AnalysisException
-    try:
-        files = spark.read.format("text").load(series_root).inputFiles()
-    except AnalysisException:
-        return []
-    found = {int(m.group(1)) for f in files if (m := re.search(r"/v=(\d+)/", f))}
-    return sorted(found)
+
+def _versions(spark: SparkSession, series_root: str, complete: bool = True) -> list[int]:
+    """Version numbers under ``series_root``: one folder entry per version."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    where = hadoop(f"{series_root.rstrip('/')}/v=*" + ("/_SUCCESS" if complete else ""))
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(where) or []
+    return sorted(int(m.group(1)) for f in found if (m := re.search(r"/v=(\d+)(?:/|$)", f.getPath().toString())))
+
+
+def _remove_version(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def latest_series(spark: SparkSession, series_root: str, schema) -> tuple[DataFrame | None, int]:
-    """The newest stored version (read with ``schema``) and its number."""
+    """The newest complete version (read with ``schema``) and its number."""
     versions = _versions(spark, series_root)
     if not versions:
         return None, 0
@@ -46,31 +53,38 @@ def stored_columns(spark: SparkSession, path: str) -> list[str]:
 
 def refresh_report(spark: SparkSession, tables, name: str, root: str, as_of,
                    cutoff=None, force: bool = False, now: _dt.datetime | None = None,
-                   history: str | None = None) -> str:
+                   history: str | None = None, starts=None, ends=None) -> str:
     """Refresh one report's stored series and return the path written.
 
     A time-boxed report keeps its closed stored buckets and recomputes the
-    rest; if the stored header differs from the report's columns the series
-    is rebuilt (unless ``force``). Other reports are recomputed whole. The
-    run is appended to ``history`` when given.
+    rest, reading its tables from the first of these on; if the stored header
+    is not the report's own the series is rebuilt (unless ``force``). Other
+    reports are recomputed whole. The run is appended to ``history`` when
+    given. A version that exists already, even an incomplete one, is never
+    written again; older complete versions than the last two are removed.
     """
     rep = REPORTS[name]
     series_root = f"{root.rstrip('/')}/{name}"
-    fresh = run_report(tables, name, as_of)
     versions = _versions(spark, series_root)
+    every = _versions(spark, series_root, complete=False)
     stored = None
     if rep.timeboxed and versions:
         path = f"{series_root}/v={versions[-1]}"
-        same_shape = stored_columns(spark, path) == fresh.columns
-        if same_shape or force:
-            stored = read_series(spark, path, fresh.schema)
-    out = run_report(tables, name, as_of, stored=stored, cutoff=cutoff, force=force) if stored is not None \
-        else fresh
-    target = f"{series_root}/v={(versions[-1] if versions else 0) + 1}"
-    write_series(out, target, fmt="csv")
+        # The schema of one bucket's plan; only a plan, nothing runs.
+        last = params_for(rep, as_of, starts, ends).ends
+        schema = run_report(tables, name, as_of, starts=last, ends=ends).schema
+        if force or stored_columns(spark, path) == [rep.labels.get(c, c) for c in schema.names]:
+            stored = read_series(spark, path, schema)
+    out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=stored, cutoff=cutoff, force=force)
+    target = f"{series_root}/v={(every[-1] if every else 0) + 1}"
+    write_series(out, target, fmt="csv", labels=rep.labels, replace=False)
+    for v in versions[:-KEPT_VERSIONS]:
+        _remove_version(spark, f"{series_root}/v={v}")
     if history:
-        when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        append_history(spark.createDataFrame([(name, when)], "report string, last_run timestamp"), history)
+        when = (now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S")
+        # The same literal as in the due test, so neither depends on the process's zone.
+        run = spark.createDataFrame([(name, when)], "report string, last_run string")
+        append_history(run.withColumn("last_run", F.col("last_run").cast("timestamp")), history)
     return target
 
 

@@ -8,7 +8,7 @@ cluster. Defaults are set only where the session leaves them unset.
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,19 +61,23 @@ def get_session(master: str | None = None, app: str = "tidemark",
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    On a cluster this setting names the shared folder and is always read from
-    the session; if it is unset there, this raises rather than fall back to
-    a machine-local folder. Only in local mode (local runs, tests) is a
-    fresh scratch folder created and registered when it is unset, so
-    ``checkpoint()`` works as well.
+    The setting names the shared folder and is always read from the session; a
+    folder that the caller gave to ``setCheckpointDir`` counts too. If neither is
+    set this raises: there is no fallback to a machine-local folder. Give it when
+    the session is built (``get_session(extra={"spark.checkpoint.dir": ...})``);
+    Spark does not let it be set later.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors when the session is built")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts]) if parts else base
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that goes when the application ends."""
+    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path

@@ -10,7 +10,7 @@ match the event schemas the reports were written for.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -103,27 +103,23 @@ def logical_tables(raw: Mapping[str, DataFrame], day_partition: str | None = Non
     return out
 
 
-def _raw_name(logical: str) -> list[str]:
-    return VERSIONS.get(logical, [logical])
-
-
 class LogicalCatalog(Mapping):
     """Logical tables loaded on first use from named sources.
 
     ``conf['sources']`` names the sources (see :func:`load_source`); event
     versions come from ``event_source`` (default ``el``) and wiki tables from
-    ``wiki_source``. A raw version that cannot be read is skipped with a
-    warning, so a catalogue works with whichever versions a deployment has;
-    ``strict=True`` raises instead. With
-    ``materialize=True`` each distinct union over versions is written once
-    to the shared folder and read back, so reports sharing it do not repeat
-    its shuffle (and the lineage is cut at a durable table).
+    ``wiki_source``. A table that cannot be read raises, unless its name is in
+    ``may_be_absent`` (versions that this deployment does not have), so no rows
+    go missing unnoticed. With ``materialize=True`` each distinct union over
+    versions is written once to the shared folder, partitioned by day where the
+    versions are, and read back, so reports sharing it do not repeat its shuffle
+    (and the lineage is cut at a durable table).
     """
 
     def __init__(self, spark, conf: Mapping, event_source: str = "el", wiki_source: str = "commons",
-                 materialize: bool = False, strict: bool = False):
+                 materialize: bool = False, may_be_absent: Collection[str] = ()):
         self.spark, self.conf = spark, conf
-        self.strict = strict
+        self.may_be_absent = frozenset(may_be_absent)
         # ``conf['day_partition']``: day-partition column of partitioned tables.
         self.day_partition = conf.get("day_partition")
         self.event_source, self.wiki_source = event_source, wiki_source
@@ -133,7 +129,7 @@ class LogicalCatalog(Mapping):
     def for_source(self, wiki_source: str) -> "LogicalCatalog":
         if wiki_source in ("el", self.wiki_source):
             return self
-        other = LogicalCatalog(self.spark, self.conf, self.event_source, wiki_source, self.materialize)
+        other = LogicalCatalog(self.spark, self.conf, self.event_source, wiki_source, self.materialize, self.may_be_absent)
         other._cache = {k: v for k, v in self._cache.items() if k in VERSIONS}
         return other
 
@@ -142,12 +138,9 @@ class LogicalCatalog(Mapping):
         from .tables import load_source
         try:
             return load_source(self.spark, self.conf, source, table)
-        except AnalysisException as exc:
-            if self.strict:
+        except AnalysisException:
+            if table not in self.may_be_absent:
                 raise
-            import warnings
-            warnings.warn(f"skipping unreadable table {table!r} of source {source!r}: {str(exc)[:200]}",
-                          stacklevel=3)
             return None
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -163,16 +156,20 @@ class LogicalCatalog(Mapping):
         if not raw:
             raise KeyError(f"no version of {name!r} is readable")
         if self.materialize and name in VERSIONS and DISTINCT.get(name) and len(raw) > 1:
+            cols = PROJECTIONS.get(name)
+            if cols is not None and all(self.day_partition in df.columns for df in raw.values()):
+                cols = [*cols, self.day_partition]
             raw = {VERSIONS[name][0]: self._durable(name, unify_versions(
-                list(raw.values()), columns=PROJECTIONS.get(name), fill=FILLS.get(name)))}
+                list(raw.values()), columns=cols, fill=FILLS.get(name)))}
         self._cache[name] = logical_tables(raw, day_partition=self.day_partition)[name]
         return self._cache[name]
 
     def _durable(self, name: str, df: DataFrame) -> DataFrame:
-        import uuid
-        from ..session import shared_dir
-        path = shared_dir(self.spark, "tables", f"{name}-{uuid.uuid4().hex}")
-        df.write.parquet(path)
+        from ..session import scratch_dir
+        path = scratch_dir(self.spark, f"table-{name}")
+        by_day = self.day_partition and self.day_partition in df.columns
+        writer = df.write.partitionBy(self.day_partition) if by_day else df.write
+        writer.parquet(path)
         return self.spark.read.parquet(path)
 
     def __iter__(self):

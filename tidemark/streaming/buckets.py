@@ -21,20 +21,23 @@ BUCKET = "bucket"
 
 
 def bucket_count_stream(events: DataFrame, ts: str, metrics: Mapping[str, Column],
-                        total: str | None = "total", watermark: str = "2 days",
+                        total: str | None = "total", watermark: str | None = None,
                         width: str = "1 day") -> DataFrame:
     """Streaming aggregate: counts per ``width`` window of event time.
 
-    Watermarks need a ``TIMESTAMP``; the event instant is built from the
+    Every row counts, however late: the state is one row per bucket, so nothing
+    has to be evicted. Only a ``watermark`` given by the caller drops rows later
+    than it. Windows need a ``TIMESTAMP``; the event instant is built from the
     wall-clock fields of the time column (as if it were UTC), so day windows
     are wall-clock days and the bucket is read back with ``unix_seconds`` --
-    nothing depends on the session time zone. Rows later than the watermark
-    are dropped by Spark, bounding the state.
+    nothing depends on the session time zone.
     """
     t = F.col(ts)
     wall_secs = (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600
                  + F.minute(t) * 60 + F.second(t))
-    rows = events.withColumn("_et", F.timestamp_seconds(wall_secs)).withWatermark("_et", watermark)
+    rows = events.withColumn("_et", F.timestamp_seconds(wall_secs))
+    if watermark:
+        rows = rows.withWatermark("_et", watermark)
     aggs = []
     if total:
         aggs.append(F.count(F.lit(1)).alias(total))
@@ -48,24 +51,28 @@ def bucket_count_stream(events: DataFrame, ts: str, metrics: Mapping[str, Column
 def upsert_buckets(path: str):
     """``foreachBatch`` writer replacing the partitions of the batch's buckets."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(path))
     return write
 
 
 def streaming_bucket_counts(spark: SparkSession, source: str, schema: StructType | str, ts: str,
                             metrics: Mapping[str, Column], sink: str, checkpoint: str,
                             total: str | None = "total", fmt: str = "parquet",
-                            watermark: str = "2 days", max_files_per_trigger: int | None = None,
+                            watermark: str | None = None, max_files_per_trigger: int | None = None,
                             glob: str | None = None):
     """Run the stream over everything available now and stop.
 
     Returns the finished ``StreamingQuery``; the series is at ``sink``
     (read it with ``spark.read.parquet(sink)``). On a cluster ``sink`` and
     ``checkpoint`` must be in the shared folder; rerunning resumes from the
-    checkpoint and processes only new files. ``source`` is a folder;
-    ``glob`` picks files in it (``pathGlobFilter``).
+    checkpoint and processes only new files. ``source`` is a table's path: a
+    folder of part files or one file; ``glob`` picks files in a folder
+    (``pathGlobFilter``).
     """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    if glob is None and where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isFile():
+        source, glob = where.getParent().toString(), where.getName()  # a stream reads folders only
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
