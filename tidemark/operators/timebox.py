@@ -53,6 +53,20 @@ def assign_buckets(df: DataFrame, ts: str, starts, ends, grain: str = "day",
     return rows.where((F.col(BUCKET) >= F.lit(start)) & (F.col(BUCKET) <= F.lit(end)))
 
 
+def _closed_counts(df: DataFrame, ts: str, starts, ends, grain: str,
+                   metrics: Mapping[str, Column]) -> DataFrame:
+    """Counts of closed windows: rows are reduced to (own bucket, on the
+    boundary) first, and only those few are emitted for both of their buckets."""
+    start, end = _bucket_value(starts, grain), _bucket_value(ends, grain)
+    rows = df.where(time_range(df, ts, start, _shift(end, grain, 1), hi_inclusive=True))
+    counted = (rows.groupBy(bucket_of(ts, grain).alias("__own"), is_bucket_start(ts, grain, time_type(df, ts)).alias("__edge"))
+               .agg(*[count_when(p).alias(k) for k, p in metrics.items()]))
+    own = F.col("__own")
+    both = F.when(F.col("__edge"), F.array(next_bucket(own, grain, -1), own)).otherwise(F.array(own))
+    return (counted.withColumn(BUCKET, F.explode(both)).drop("__own", "__edge")
+            .where((F.col(BUCKET) >= F.lit(start)) & (F.col(BUCKET) <= F.lit(end))))
+
+
 def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
                metrics: Mapping[str, Column] | None = None,
                aggs: Mapping[str, Column] | None = None,
@@ -73,13 +87,18 @@ def time_boxed(df: DataFrame, ts: str, starts, ends, grain: str = "day",
         raise ValueError(f"empty must be one of {EMPTY_POLICIES}")
     if where is not None:
         df = df.where(where)
-    rows = assign_buckets(df, ts, starts, ends, grain, closed)
+    reduced = closed == "both" and bool(metrics) and not aggs
+    if reduced:
+        rows = _closed_counts(df, ts, starts, ends, grain, metrics)
+    else:
+        rows = assign_buckets(df, ts, starts, ends, grain, closed)
     if only_buckets is not None:
         s, e = _bucket_value(starts, grain), _bucket_value(ends, grain)
         only_buckets = (only_buckets.select(BUCKET)
                         .where((F.col(BUCKET) >= F.lit(s)) & (F.col(BUCKET) <= F.lit(e))).distinct())
         rows = rows.join(only_buckets, BUCKET, "left_semi")
-    exprs = [count_when(p).alias(k) for k, p in (metrics or {}).items()]
+    exprs = [F.sum(k).cast("bigint").alias(k) if reduced else count_when(p).alias(k)
+             for k, p in (metrics or {}).items()]
     exprs += [e.alias(k) for k, e in (aggs or {}).items()]
     if not exprs:
         raise ValueError("time_boxed needs at least one metric")
