@@ -25,10 +25,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go; ``n_chars``, where there is one, is counted anew."""
-    out = line_dedup.drop_recurring_lines(docs).drop("n_lines", "n_dropped")
+    out = line_dedup.drop_recurring_lines(docs, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,7 @@ def test_targets_and_copies(spark):
         assert abs(taken[s] - t) <= max(0.05 * t, 20)
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix_copies(df.repartition(7)).collect()))
     mixed = mixing.mix(df)
+    assert {r["copies"] for r in mixed.collect()} == {1}  # the corpus's own column
     assert mixed.columns == df.columns and mixed.count() == sum(r["copies"] for r in got)
 
 

@@ -96,7 +96,7 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed corpus: the columns of ``docs``, each row as often as it is taken."""
-    again, = fresh(docs, "again")
-    taken = mix_copies(docs, **how).where("copies > 0")
-    taken = taken.withColumn(again, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return taken.select(*[F.col(c) for c in docs.columns])
+    row, again = fresh(docs, "row", "again")
+    read = [how.get(f"{k}_col", d) for k, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))]
+    taken = mix_copies(docs.select(F.struct(*docs.columns).alias(row), *read), **how).where("copies > 0")
+    return taken.withColumn(again, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(f"{row}.*")
