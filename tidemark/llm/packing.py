@@ -7,6 +7,7 @@ ranked and joined on the cluster.
 
 from __future__ import annotations
 
+import struct
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -29,8 +30,9 @@ CACHE = 1_000_000
 FLUSHED = 1_000
 
 
-def chunk_encoder(path: str) -> Callable[[str], np.ndarray]:
-    """Encoder of whole texts for a word-level BPE file of ``tokenizers``.
+def chunk_encoder(path: str) -> Callable[[str], bytes]:
+    """Encoder of whole texts for a word-level BPE file of ``tokenizers``, to
+    little-endian unsigned 32-bit ids.
 
     Such a tokenizer drops white space and never merges over it, so the ids of a
     text are those of its chunks between ASCII white space, each encoded once.
@@ -45,32 +47,36 @@ def chunk_encoder(path: str) -> Callable[[str], np.ndarray]:
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
     signs = {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
-    pieces: dict[str, tuple[int, ...]] = {}
+    pieces: dict[str, bytes] = {}
 
-    def piece(p: str) -> tuple[int, ...]:
+    def packed(ids) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def piece(p: str) -> bytes:
         ids = pieces.get(p)
         if ids is None:
-            ids = pieces[p] = tuple([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(signs))])
+            shown_p = p if p.isascii() else p.encode().decode("latin-1").translate(signs)
+            ids = pieces[p] = packed([t.id for t in model.tokenize(shown_p)])
         return ids
 
     class Chunks(dict):
-        def __missing__(self, chunk: bytes) -> tuple[int, ...]:
+        def __missing__(self, chunk: bytes) -> bytes:
             c = chunk.decode()
             if "<|" not in c and (m := plain.fullmatch(c)):
                 word = m[1].lower()
                 ids = piece(word) + piece(m[2]) if m[2] else piece(word)
             else:
-                ids = tuple(whole.encode(c, add_special_tokens=False).ids)
+                ids = packed(whole.encode(c, add_special_tokens=False).ids)
             self[chunk] = ids
             return ids
 
     cache = Chunks()
 
-    def encode(text: str) -> np.ndarray:
+    def encode(text: str) -> bytes:
         if len(cache) > CACHE or len(pieces) > CACHE:
             cache.clear()
             pieces.clear()
-        return np.fromiter(chain.from_iterable(map(cache.__getitem__, text.encode().split())), np.uint32)
+        return b"".join(map(cache.__getitem__, text.encode().split()))
 
     return encode
 
@@ -91,9 +97,10 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             docs_in, texts, rows = batch.column(0), batch.column(1), []
             for n, text in enumerate(texts):
                 text = text.as_py()
-                ids = np.append(encode(text) if text else np.empty(0, np.uint32), np.uint32(end))
-                rows += [(n, at // capacity, at, len(ids[at:at + capacity]), ids[at:at + capacity].tobytes())
-                         for at in range(0, len(ids), capacity)]
+                ids = (encode(text) if text else b"") + struct.pack("<I", end)
+                total = len(ids) // 4
+                rows += [(n, at // capacity, at, min(capacity, total - at), ids[4 * at:4 * (at + capacity)])
+                         for at in range(0, total, capacity)]
                 if len(rows) >= FLUSHED or n == len(texts) - 1:
                     at, *rest = zip(*rows)
                     rows = []
