@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, line_dedup, mixing, packing, simhash
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import settle, stored, table
 from tidemark.llm.queries import word_bpe
 
 #: SQL has no expression for the profiles, fingerprints and token ids of the stages.
@@ -20,7 +20,8 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in none of the languages of the corpus go (no letter, or too far from every profile)."""
-    return language.known_language(docs, language.train(docs))
+    profiles = settle(language.train(docs))
+    return language.known_language(docs, profiles, least=language.floors(docs, profiles))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,21 @@ def test_held_out_accuracy_and_cases(spark):
     none = language.predict(odd, profiles.limit(0))
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
     assert language.train(odd.select("text", "doc_id").withColumnRenamed("doc_id", "lang").limit(0)).count() == 0
+
+
+def test_other_languages_and_gibberish_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(3)
+    random = " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, int(n))) for n in rng.integers(2, 10, 200))
+    finnish = ("Suomen kieli on uralilaisten kielten ryhmään kuuluva kieli, jota puhutaan pääosin Suomessa ja Ruotsissa. "
+               "Se on yksi maan kahdesta virallisesta kielestä ja sen puhujia on noin viisi miljoonaa. ")
+    polish = ("Jezyk polski nalezy do grupy zachodniej jezykow slowianskich i jest jezykiem urzedowym w Polsce. "
+              "Wiekszosc ludzi mieszkajacych w tym kraju mowi po polsku od dziecka i uczy sie go w szkole.")
+    base64 = "".join(chr(c) for c in rng.choice(list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), 2000))
+    odd = spark.createDataFrame([(-1, random), (-2, finnish), (-3, finnish * 20), (-4, polish), (-5, base64)], "doc_id long, text string")
+    profiles = language.train(docs)
+    least = language.floors(docs, profiles)
+    assert set(least) == {"de", "en", "es", "fr"} and all(0.3 < x < 0.4 for x in least.values())
+    both = docs.select("doc_id", "text").unionByName(odd)
+    kept = {r["doc_id"] for r in language.known_language(both, profiles, least=least).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in docs.select("doc_id").collect()}

@@ -16,7 +16,9 @@ PROFILE = 300
 #: Distinct n-grams that a training task holds before it hands them on.
 HELD = 1_000_000
 UNKNOWN = "und"
-#: Score below which a document is in none of the known languages.
+#: A document scoring under ``MARGIN`` of the ``LOW`` quantile of a language's own documents is not in it.
+LOW, MARGIN = 0.05, 0.6
+#: The same for a language of which no own score is known.
 MIN_SCORE = 0.05
 
 
@@ -144,10 +146,37 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size:
         *kept, F.col(f"{found}.lang_pred").alias("lang_pred"), F.col(f"{found}.score").alias("score"))
 
 
+def floors(docs: DataFrame, profiles: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE,
+           low: float = LOW, margin: float = MARGIN) -> dict[str, float]:
+    """The least score of each language: ``margin`` of the ``low`` quantile of the
+    scores of all ``docs`` of the language that are found in it.
+
+    Scores are counted by thousandths (rounded down), which come to the driver.
+    """
+    judged = predict(docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), profiles, "text", size)
+    counts = judged.where("lang = lang_pred").groupBy("lang", F.floor(F.col("score") * 1000).alias("at")).count()
+    by_lang: dict[str, list] = {}
+    for r in counts.collect():
+        by_lang.setdefault(r["lang"], []).append((r["at"], r["count"]))
+    out = {}
+    for lang, steps in by_lang.items():
+        left = low * sum(n for _, n in steps)
+        for at, n in sorted(steps):
+            left -= n
+            if left <= 0:
+                out[lang] = margin * at / 1000
+                break
+    return out
+
+
 def known_language(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size: int = PROFILE,
-                   min_score: float = MIN_SCORE) -> DataFrame:
-    """Rows of ``docs`` whose text has a letter and scores ``min_score`` or more
-    in some language; the others are rejected."""
+                   min_score: float = MIN_SCORE, least: dict[str, float] | None = None) -> DataFrame:
+    """Rows of ``docs`` whose text has a letter and scores in its best language what
+    ``least`` (see ``floors``) asks for, or ``min_score`` if that lacks the language;
+    the others are rejected."""
     row, = fresh(docs, "row")
     judged = predict(docs.select(F.struct(*docs.columns).alias(row), F.col(text_col).alias("text")), profiles, "text", size)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(f"{row}.*")
+    needed = F.lit(min_score)
+    for lang, score in sorted((least or {}).items()):
+        needed = F.when(F.col("lang_pred") == lang, score).otherwise(needed)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= needed)).select(f"{row}.*")
