@@ -71,3 +71,20 @@ def test_cases(spark, model):
     assert got[4] == "Cut off in the middle of this sentence &am"
     assert got[5].count("\n") == 19999
     assert extraction.main_text(df.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("markup", [
+    "<svg><svg></svg></svg>", "<object><object>x</object></object>", "<template><template><p>x</p></template></template>",
+    "<svg><g><title>x</title><svg><path/></svg></g></svg>", "<select><option>x<option>y</select>",
+    "<datalist><option value=a><option value=b></datalist>", "<div><datalist><option>x<div>y</div>z</datalist></div>",
+    "<select><optgroup><option>x<optgroup><option>y</optgroup></select>"])
+def test_text_after_unseen_markup_is_read(markup):
+    nodes = extraction.tree(f"<html><body><p>Before.</p>{markup}<p>After.</p></body></html>")
+    assert [n.text for n in nodes if n.tag == "#text"] == ["Before.", "After."]
+
+
+@pytest.mark.parametrize("start", ["<p>", "<div class=x>", "", "<a href=x>", "<body><p>", "</head><body>"])
+def test_head_ends_without_its_end_tag(start):
+    head = "<head><meta charset=utf-8><title>T</title><style>p{}</style><noscript><p>x</p></noscript><script>y</script>\n"
+    nodes = extraction.tree(f"<html>{head}{start}Text.<p>More.")
+    assert [n.text for n in nodes if n.tag == "#text"] == ["Text.", "More."]

@@ -27,6 +27,8 @@ CUT = 0.5
 # HTML elements by their role in the tree.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head script style noscript template title textarea select option iframe object svg canvas".split())
+RAW = frozenset("noframes noembed xmp".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details dialog dd div dl dt fieldset figcaption figure footer "
@@ -61,6 +63,7 @@ class Tree(HTMLParser):
         self.open = [0]
         self.inline: list[str] = []
         self.unseen: list[str] = []
+        self.passed: list[str] = []  # open elements below those
         self.run: list[str] = []
         self.run_linked = 0
 
@@ -70,6 +73,10 @@ class Tree(HTMLParser):
             self.nodes.append(Node("#text", self.open[-1], text=text, linked=min(self.run_linked, len(text))))
         self.run, self.run_linked = [], 0
 
+    def see(self) -> None:
+        self.unseen.clear()
+        self.passed.clear()
+
     def pop_to(self, tag: str, within: Iterable[str] = ()) -> None:
         """Close the nearest open ``tag``, unless an element of ``within`` is nearer."""
         for depth in range(len(self.open) - 1, 0, -1):
@@ -84,11 +91,15 @@ class Tree(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if self.unseen:
-            if tag not in VOID and tag == self.unseen[-1]:
-                self.unseen.append(tag)
-            elif tag == "body":
-                self.unseen.clear()
+            if tag == "body" or (self.unseen == ["head"] and tag not in IN_HEAD):
+                self.see()  # the end tag of head is optional
             else:
+                if self.unseen[-1] == "option" and tag in ("option", "optgroup", "hr"):
+                    self.unseen.pop()  # as is that of option
+                if tag in UNSEEN | RAW and tag != "head":
+                    self.unseen.append(tag)
+                elif tag not in VOID:
+                    self.passed.append(tag)
                 return
         if tag in UNSEEN:
             self.unseen.append(tag)
@@ -119,15 +130,26 @@ class Tree(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.unseen:
-            if tag == self.unseen[-1]:
-                self.unseen.pop()
-        elif tag in INLINE:
+            if tag in self.unseen:
+                del self.unseen[len(self.unseen) - 1 - self.unseen[::-1].index(tag):]
+                if not self.unseen:
+                    self.see()
+                return
+            if tag in self.passed:
+                del self.passed[len(self.passed) - 1 - self.passed[::-1].index(tag):]
+                return
+            if self.unseen[0] != "option" or all(self.nodes[i].tag != tag for i in self.open):
+                return
+            self.see()  # an option ends with its parent
+        if tag in INLINE:
             if tag in self.inline:
                 del self.inline[len(self.inline) - 1 - self.inline[::-1].index(tag):]
         else:
             self.pop_to(tag)
 
     def handle_data(self, data):
+        if self.unseen == ["head"] and data.strip():
+            self.see()
         if not self.unseen:
             self.run.append(data)
             if "a" in self.inline:
