@@ -80,3 +80,39 @@ def test_empty_and_keep_one(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
     kept = embeddings.keep_one(df)
     assert kept.columns == df.columns and kept.count() == embeddings.near_vectors(df).where("kept").count()
+
+
+@pytest.mark.parametrize("shard", [8192, 40])
+def test_small_tables_are_exact(spark, shard):
+    rows = sample()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((-1 if r["vec_id"] is None else r["vec_id"], r["n_links"],
+                  -1 if r["component_id"] is None else r["component_id"], r["kept"])
+                 for r in embeddings.near_vectors(df, shard=shard).collect())
+    assert got == brute(rows)
+
+
+def test_audit_sees_missed_neighbours_outside_a_large_group():
+    rng = np.random.default_rng(7)
+    group = rng.standard_normal(16) + 0.02 * rng.standard_normal((1500, 16))
+    others = rng.standard_normal((300, 16))
+    graph = embeddings.Graph(embeddings.unit_rows(np.concatenate((group, others))))
+    for n in range(1800):
+        graph.add(n)
+    for node in range(1500, 1800, 3):  # a third of the others is cut off
+        for links in graph.links:
+            links[0] = [m for m in links[0] if m != node]
+    graph.entry = 0
+    queries = embeddings.unit_rows(np.concatenate((group, others + 0.01 * rng.standard_normal((300, 16)))))
+    width = graph.audited_beam(queries, 0.93)
+    truth = graph.unit @ queries.T >= 0.93
+    assert all(set(np.flatnonzero(truth[:, i])) <= set(graph.linked(queries[i], 0.93, width)) for i in range(1500, 1800))
+
+
+def test_audit_counts_neighbours_that_are_not_links():
+    rng = np.random.default_rng(8)
+    graph = embeddings.Graph(embeddings.unit_rows(rng.standard_normal((600, 16))))
+    for n in range(600):
+        graph.add(n)
+    graph.links = [[[] for _ in node] for node in graph.links]  # nothing can be found
+    assert graph.audited_beam(graph.unit, 0.999, own=True) == 600

@@ -15,8 +15,8 @@ from tidemark.llm.simhash import forest
 
 #: Vectors of a shard, links of a node (twice that in the lowest layer), beam while building.
 SHARD, LINKS, BUILD_BEAM = 8192, 12, 48
-#: First beam of a query, vectors audited of each shard, and share of their links to be found.
-BEAM, AUDITED, RECALL = 32, 256, 1.0
+#: First and widest beam of a query; vectors audited of each shard: so many evenly spread and so many not linked to each other.
+BEAM, WIDEST, AUDITED = 32, 128, 256
 #: Slack of the single-precision search before the exact check.
 SLACK = 1e-4
 
@@ -101,10 +101,15 @@ class Graph:
         if top > entry_top:
             self.entry = node
 
-    def linked(self, q: np.ndarray, least: float, width: int) -> list[int]:
-        """Nodes of similarity ``least`` or more: those in the beam, and from them
-        on over links as long as such nodes turn up."""
-        found = [n for s, n in self.beam(q, self.descend(q, 0), 0, width) if s >= least]
+    def linked(self, q: np.ndarray, least: float, width: int, near: list[tuple[float, int]] | None = None) -> list[int]:
+        """Nodes of similarity ``least`` or more: those in the beam (``near``, if it is
+        known), and from them on over links as long as such nodes turn up. A beam of
+        all nodes compares them all."""
+        if width >= len(self.unit):
+            return np.flatnonzero(self.unit @ q >= least).tolist()
+        if near is None:
+            near = self.beam(q, self.descend(q, 0), 0, width)
+        found = [n for s, n in near if s >= least]
         seen, edge = set(found), found
         while edge:
             new = list({m for n in edge for m in self.links[n][0]} - seen)
@@ -116,19 +121,47 @@ class Graph:
             found = found + edge
         return found
 
-    def audited_beam(self, queries: np.ndarray, least: float) -> int:
-        """The first beam, doubled until the links of the audited queries (by brute force) are found."""
-        take = np.unique(np.linspace(0, len(queries) - 1, AUDITED).astype(int))
+    def finds(self, q: np.ndarray, sims: np.ndarray, least: float, width: int) -> bool:
+        """Whether a walk finds all links and the nearest of ``sims`` (all nodes'; that of ``q`` itself is -inf)."""
+        near = self.beam(q, self.descend(q, 0), 0, width)
+        best = max((sims[n] for _, n in near), default=-np.inf)
+        links = np.flatnonzero(sims >= least)
+        return best >= sims.max() - 1e-6 and not set(links.tolist()) - set(self.linked(q, least, width, near))
+
+    def audited_beam(self, queries: np.ndarray, least: float, own: bool = False) -> int:
+        """The first beam, doubled until the links and the nearest node of every
+        audited query (by brute force) are found; all nodes if ``WIDEST`` is not enough.
+
+        ``own``: the queries are the nodes, and none counts as its own nearest.
+        """
+        even = np.linspace(0, len(queries) - 1, AUDITED).astype(int)
+        take = np.union1d(even, apart(queries, least, AUDITED))
         width = BEAM
-        truth = queries[take] @ self.unit.T >= least
+        sims = queries[take] @ self.unit.T
+        if own:
+            sims[np.arange(len(take)), take] = -np.inf
         while width < len(self.unit):
-            hit = sum(int(truth[k, self.linked(queries[i], least, width)].sum()) for k, i in enumerate(take))
-            if hit >= RECALL * truth.sum():
+            if width > WIDEST:
+                return len(self.unit)
+            if all(self.finds(queries[i], sims[k], least, width) for k, i in enumerate(take)):
                 break
             width *= 2
         return width
 
 
+def apart(unit: np.ndarray, least: float, most: int) -> np.ndarray:
+    """At most ``most`` rows in seeded order of which no two are linked: one of each large group, and rows outside."""
+    order = np.random.default_rng(len(unit)).permutation(len(unit))
+    free, taken = np.ones(len(unit), bool), []
+    for i in order:
+        if free[i]:
+            taken.append(i)
+            if len(taken) == most:
+                break
+            free &= unit @ unit[i] < least
+    return np.array(taken, int)
+
+
 def unit_rows(raw: np.ndarray) -> np.ndarray:
     return (raw / np.sqrt((raw * raw).sum(1))[:, None]).astype(np.float32)
 
@@ -152,7 +185,7 @@ def linked_pairs(left: pd.DataFrame, right: pd.DataFrame, least: float, same: bo
     the vectors of the other, and every pair found is checked in double precision."""
     a, b = restored(left), restored(right)
     found = np.zeros((len(left), len(right)), bool)
-    width = b.audited_beam(a.unit, least - SLACK)
+    width = b.audited_beam(a.unit, least - SLACK, same)
     for i, q in enumerate(a.unit):
         found[i, b.linked(q, least - SLACK, width)] = True
     if same:
