@@ -28,7 +28,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.drop_recurring_lines(docs)
+    return line_dedup.drop_recurring_lines(docs, as_sql=True)
 
 
 def crc_mod(n: int):
