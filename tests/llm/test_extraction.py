@@ -88,3 +88,13 @@ def test_head_ends_without_its_end_tag(start):
     head = "<head><meta charset=utf-8><title>T</title><style>p{}</style><noscript><p>x</p></noscript><script>y</script>\n"
     nodes = extraction.tree(f"<html>{head}{start}Text.<p>More.")
     assert [n.text for n in nodes if n.tag == "#text"] == ["Text.", "More."]
+
+
+def test_copies_of_a_page_are_one_training_page(spark, monkeypatch):
+    page = "<html><body><article><p>{}</p></article></body></html>"
+    df = spark.createDataFrame([(page.format("Copied."),)] * 300 + [(page.format(f"Page {i}."),) for i in range(30)], "html string")
+    seen = []
+    monkeypatch.setattr(extraction, "train", lambda pages: seen.extend(pages))
+    extraction.fit(df, sample=40)
+    own = seen[2 * len(PAGES):]
+    assert len(own) == len(set(own)) == 31

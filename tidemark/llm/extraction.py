@@ -307,12 +307,12 @@ def extract(html: str | None, model: Model) -> str:
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> Model:
     """A model from the hand-labelled pages and from at most ``sample`` pages of
-    the table (by hash of the page) that mark their article themselves."""
+    the table (by hash of the page, copies once) that mark their article themselves."""
     html = F.col(html_col)
     own = pages.where(html.rlike("(?i)<(article|main)[ >]") & (F.length(html) <= SAMPLE_CHARS))
     own = own.select(html.alias("h"), F.xxhash64(html).alias("k"))
-    keys = [r["k"] for r in own.select("k").orderBy("k").limit(sample).collect()]  # keys only from every task
-    rows = own.where(F.col("k") <= max(keys)).orderBy("k").limit(sample).collect() if keys else []
+    keys = [r["k"] for r in own.select("k").distinct().orderBy("k").limit(sample).collect()]  # keys only from every task
+    rows = own.where(F.col("k") <= max(keys)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect() if keys else []
     from tidemark.llm.labelled_pages import PAGES
     return train([*PAGES * 2, *(r["h"] for r in rows)])
 
