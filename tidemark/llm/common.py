@@ -13,8 +13,8 @@ from tidemark.session import shared_dir
 #: One word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows up to which a counted side is broadcast; larger sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Rows, and measured bytes, up to which a side is broadcast; larger sides are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,24 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def width(df: DataFrame) -> Column:
+    """About the bytes of a row: text and bytes as long as they are, lists and structs as their JSON."""
+    sizes = []
+    for f in df.schema.fields:
+        kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            sizes.append(F.octet_length(c) + 16)
+        elif kind in ("array", "struct", "map"):
+            sizes.append(F.octet_length(F.to_json(F.struct(c))) + 16)
+    return sum((F.coalesce(s, F.lit(8)) for s in sizes), F.lit(8 * (len(df.columns) - len(sizes)) + 16)).cast("long")
+
+
+def light(df: DataFrame) -> DataFrame:
+    """``small`` for rows of any width: their bytes are measured too."""
+    n, size = df.agg(F.count("*"), F.sum(width(df))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph by alternating large and small stars.
 

@@ -82,7 +82,60 @@ SELECT d.doc_id, CASE WHEN coalesce(r.n_dropped, 0) = 0 THEN d.text ELSE coalesc
 FROM documents d LEFT JOIN rest r USING (doc_id) LEFT JOIN sizes s USING (doc_id)
 """
 
+OP13 = r"""
+WITH RECURSIVE fields AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-')
+            || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+         coalesce(strlen(text) || ':' || text, '-') AS z,
+         -- CRC-32 of the decimal id: bytes, and -1 for each of eight bit steps after a byte
+         xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+             lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x)
+                                 WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384::BIGINT) ELSE acc // 2 END),
+             4294967295::BIGINT) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS grp, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS leaf,
+         CASE WHEN crc % 7 = 0 THEN
+           sha256(a || coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1), '-') || z) END AS changed
+  FROM fields),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n
+  FROM leaves),
+nodes AS (
+  SELECT 0 AS level, grp, pos, n, leaf AS digest FROM ordered
+  UNION ALL
+  SELECT level + 1, grp, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY level, grp, pos // 2),
+subroots AS (SELECT grp, level AS height, digest AS subroot FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n, subroot AS digest, grp FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)), NULL
+  FROM tops WHERE n > 1 GROUP BY level, pos // 2),
+-- each row climbs twice: its own siblings, and its tampered leaf folded with them
+climb AS (
+  SELECT o.doc_id, o.grp, o.pos AS leaf_pos, 0 AS stage, 0 AS level, o.pos, o.leaf, '' AS proof, coalesce(o.changed, o.leaf) AS fold
+  FROM ordered o
+  UNION ALL
+  SELECT c.doc_id, c.grp, c.leaf_pos, c.stage, c.level + 1, c.pos // 2, c.leaf, c.proof || coalesce(s.digest, ''),
+         CASE WHEN c.pos % 2 = 1 THEN sha256(s.digest || c.fold) ELSE sha256(c.fold || coalesce(s.digest, '')) END
+  FROM climb c JOIN nodes own ON own.level = c.level AND own.grp = c.grp AND own.pos = c.pos AND own.n > 1
+  LEFT JOIN nodes s ON s.level = c.level AND s.grp = c.grp AND s.pos = xor(c.pos, 1)),
+rise AS (
+  SELECT c.doc_id, c.leaf, r.subroot, 0 AS level, t.pos, c.proof, c.fold
+  FROM climb c JOIN subroots r ON r.grp = c.grp AND r.height = c.level JOIN tops t ON t.level = 0 AND t.grp = c.grp
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.level + 1, c.pos // 2, c.proof || coalesce(s.digest, ''),
+         CASE WHEN c.pos % 2 = 1 THEN sha256(s.digest || c.fold) ELSE sha256(c.fold || coalesce(s.digest, '')) END
+  FROM rise c JOIN tops own ON own.level = c.level AND own.pos = c.pos AND own.n > 1
+  LEFT JOIN tops s ON s.level = c.level AND s.pos = xor(c.pos, 1))
+SELECT c.doc_id, c.leaf, c.subroot, t.digest AS root, sha256(c.proof) AS proof_sha256, c.fold AS folded_root, c.fold = t.digest AS verified
+FROM rise c JOIN tops t ON t.n = 1 AND t.level = c.level
+"""
+
 ORACLES = {
     "op3_line_dedup": OP3,
     "op6_mixing": OP6,
+    "op13_merkle": OP13,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, extraction, language, line_dedup, mixing, packing, quality_model, quality_rules, simhash, url_rules
+from tidemark.llm import embeddings, extraction, language, line_dedup, merkle, mixing, packing, quality_model, quality_rules, simhash, url_rules
 from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 
@@ -97,6 +97,17 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    # the largest long has a successor too
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    tampered = [more if c == "n_chars" else F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = F.when(crc_mod(7) == 0, merkle.digest(tampered))
+    proofs = merkle.manifest(docs, "doc_id", "lang", fields, changed).proofs()
+    return proofs.withColumnRenamed("id", "doc_id").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_packing": op2_packing,
@@ -108,4 +119,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_extraction": op10_extraction,
+    "op13_merkle": op13_merkle,
 }
