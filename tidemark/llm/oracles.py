@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+import re
+
 OP6 = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -82,6 +84,46 @@ SELECT d.doc_id, CASE WHEN coalesce(r.n_dropped, 0) = 0 THEN d.text ELSE coalesc
 FROM documents d LEFT JOIN rest r USING (doc_id) LEFT JOIN sizes s USING (doc_id)
 """
 
+OP12 = r"""
+WITH rules(rank, kind, pattern, grp, least) AS (VALUES
+  (1, 'assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+  (2, 'access', 'AKIA[A-Z0-9]+', 0, 18),
+  (3, 'hex', '[0-9a-f]+', 0, 16),
+  (4, 'key', '-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END [A-Z ]*PRIVATE KEY-----', 0, 1),
+  (5, 'jwt', 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+', 0, 30),
+  (6, 'login', '://[^\x00-\x20/?#:@]+:[^\x00-\x20/?#@]+@', 0, 1),
+  (7, 'service', '(gh[pousr]_|xox[abprs]-)([A-Za-z0-9-]+)', 2, 20)),
+texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+cut AS (
+  {branches}),
+-- the text lies between the matches: their starts follow from the lengths of both
+spans AS (
+  SELECT text, rank, kind, least, unnest(list_zip(
+           list_transform(range(1, len(hits) + 1), lambda i:
+             list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)),
+           list_transform(hits, lambda x: length(x)), list_transform(parts, lambda x: length(x)))) AS s
+  FROM cut JOIN rules USING (rank)),
+good AS (SELECT text, rank, kind, s[1]::BIGINT AS start, (s[1] + s[2])::BIGINT AS stop FROM spans WHERE s[3] >= least),
+found AS (
+  SELECT text, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank <= 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM good GROUP BY text)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN found f ON coalesce(d.text, '') = f.text
+"""
+
+
+def _per_rule(sql: str) -> str:
+    """DuckDB wants constant patterns: one branch for each rule of the list."""
+    rules = re.findall(r"^  \((\d), '\w+', ('.*'), (\d), \d+\)", sql, re.M)
+    return sql.replace("{branches}", " UNION ALL ".join(
+        f"SELECT text, {rank} AS rank, regexp_split_to_array(text, {pattern}) AS gaps, regexp_extract_all(text, {pattern}) AS hits, "
+        f"regexp_extract_all(text, {pattern}, {group}) AS parts FROM texts" for rank, pattern, group in rules))
+
+
 OP13 = r"""
 WITH RECURSIVE fields AS (
   SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-')
@@ -137,5 +179,6 @@ FROM rise c JOIN tops t ON t.n = 1 AND t.level = c.level
 ORACLES = {
     "op3_line_dedup": OP3,
     "op6_mixing": OP6,
+    "op12_secrets": _per_rule(OP12),
     "op13_merkle": OP13,
 }

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, extraction, language, line_dedup, merkle, mixing, packing, quality_model, quality_rules, simhash, url_rules
+from tidemark.llm import embeddings, extraction, language, line_dedup, merkle, mixing, packing, quality_model, quality_rules, secret_scan, simhash, url_rules
 from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
+from tidemark.session import scratch_dir
 
 
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +98,20 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a ledger of its own for each run: what is returned does not depend on earlier ones
+    ledger = secret_scan.Ledger(spark, scratch_dir(spark, "ledger"))
+    out = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ledger)
+    kinds = [r.kind for r in secret_scan.BASE]
+
+    def of(*wanted: str):
+        return F.filter("findings", lambda s: s["kind"].isin(*wanted))
+
+    return out.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds],
+                      F.sha2(secret_scan.digest(of(*kinds)), 256).alias("base_sha256"),
+                      secret_scan.digest(F.col("findings")).alias("spans"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
@@ -119,5 +134,6 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_extraction": op10_extraction,
+    "op12_secrets": op12_secrets,
     "op13_merkle": op13_merkle,
 }
