@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, extraction, language, line_dedup, merkle, mixing, packing, quality_model, quality_rules, secret_scan, simhash, url_rules
+from tidemark.llm import (embeddings, extraction, language, line_dedup, merkle, mixing, negatives, packing, quality_model,
+                          quality_rules, secret_scan, simhash, url_rules)
 from tidemark.llm.common import settle, table, word_count
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.session import scratch_dir
@@ -98,6 +99,12 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a ledger of its own for each run: what is returned does not depend on earlier ones
     ledger = secret_scan.Ledger(spark, scratch_dir(spark, "ledger"))
@@ -134,6 +141,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_extraction": op10_extraction,
+    "op11_negatives": op11_negatives,
     "op12_secrets": op12_secrets,
     "op13_merkle": op13_merkle,
 }
