@@ -80,3 +80,45 @@ def test_other_languages_and_gibberish_are_rejected(spark):
     both = docs.select("doc_id", "text").unionByName(odd)
     kept = {r["doc_id"] for r in language.known_language(both, profiles, least=least).select("doc_id").collect()}
     assert kept == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_every_row_is_scored_once(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200).repartition(2)
+    trained = language.train(docs)
+    assert "WindowGroupLimit" in trained._jdf.queryExecution().executedPlan().toString()
+    profiles = spark.createDataFrame(trained.collect(), "lang string, code long, rank int")
+    plans = []
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython"))
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    monkeypatch.setattr(language, "stored", written)
+    kept = language.known_language(docs, profiles, lang_col="lang")
+    assert plans == [1] and "ArrowEvalPython" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.columns == docs.columns and kept.count() == 200
+
+
+def brute_predict(text, profiles):
+    own = [g for g, _ in sorted(brute_grams(text or "").items(), key=lambda x: (-x[1], code(x[0])))][:language.PROFILE]
+    if not own:
+        return "und", 0.0
+    far, lang = min((sum(abs(ranks[code(g)] - i) if code(g) in ranks else language.PROFILE for i, g in enumerate(own)), lang)
+                    for lang, ranks in profiles.items())
+    return lang, 1 - far / (language.PROFILE * len(own))
+
+
+def test_predictions_match_brute_force(spark):
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(250).collect()]
+    docs += [(-1, None, "en"), (-2, "", "fr"), (-3, "12 34", None), (-4, "Straße ÉTÉ ǅ", "zz"), (-5, "the quick", None)]
+    counts = {}
+    for _, text, lang in docs:
+        if lang is not None and text is not None:
+            counts.setdefault(lang, Counter()).update(brute_grams(text))
+    model = {lang: {code(g): i for i, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], code(x[0])))[:language.PROFILE])}
+             for lang, c in counts.items() if c}
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(df, language.train(df)).collect()}
+    for i, text, _ in docs:
+        lang, score = brute_predict(text, model)
+        assert got[i][0] == lang and abs(got[i][1] - score) < 1e-12, i

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
+from tidemark.llm.common import fresh, settle, stored
 
 #: Ranked n-grams of a document or language that are compared.
 PROFILE = 300
@@ -98,7 +98,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size:
         "lang is not null and text is not null")
     counts = seen.mapInPandas(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
-    return counts.withColumn("rank", place - 1).where(F.col("rank") < size).select("lang", "code", "rank")
+    # the filter on the place itself lets each task keep its own first ones before the shuffle
+    return counts.withColumn("place", place).where(F.col("place") <= size).select("lang", "code", (F.col("place") - 1).alias("rank"))
 
 
 def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size: int = PROFILE) -> DataFrame:
@@ -148,12 +149,19 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size:
 
 def floors(docs: DataFrame, profiles: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE,
            low: float = LOW, margin: float = MARGIN) -> dict[str, float]:
+    """``floors_of`` the ``docs``, which are scored for it (once: the scores are written down)."""
+    judged = predict(docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), profiles, "text", size)
+    return floors_of(settle(judged.drop("text")), low, margin)
+
+
+def floors_of(judged: DataFrame, low: float = LOW, margin: float = MARGIN) -> dict[str, float]:
     """The least score of each language: ``margin`` of the ``low`` quantile of the
-    scores of all ``docs`` of the language that are found in it.
+    scores of all ``judged`` rows (``lang``, ``lang_pred``, ``score``) of the language that are found in it.
 
-    Scores are counted by thousandths (rounded down), which come to the driver.
+    Scores are counted by thousandths (rounded down), which come to the driver. Defined cases: rows of a
+    null language, and languages none of whose rows are found in them, give no least score; repeated rows
+    count each; an empty table gives none.
     """
-    judged = predict(docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), profiles, "text", size)
     counts = judged.where("lang = lang_pred").groupBy("lang", F.floor(F.col("score") * 1000).alias("at")).count()
     by_lang: dict[str, list] = {}
     for r in counts.collect():
@@ -170,12 +178,22 @@ def floors(docs: DataFrame, profiles: DataFrame, text_col: str = "text", lang_co
 
 
 def known_language(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size: int = PROFILE,
-                   min_score: float = MIN_SCORE, least: dict[str, float] | None = None) -> DataFrame:
+                   min_score: float = MIN_SCORE, least: dict[str, float] | None = None, lang_col: str | None = None) -> DataFrame:
     """Rows of ``docs`` whose text has a letter and scores in its best language what
-    ``least`` (see ``floors``) asks for, or ``min_score`` if that lacks the language;
-    the others are rejected."""
+    ``least`` asks for, or ``min_score`` if that lacks the language; the others are rejected.
+    With ``lang_col``, ``least`` is ``floors_of`` the rows themselves.
+
+    Every row is scored once: the scored rows are written to the shared folder, where
+    the floors and the verdicts read them. Defined cases: null, empty and letterless texts are rejected; a null language
+    says nothing of the floors, the row is judged by its text; equal rows stay or go together; an empty
+    table stays empty; columns of any name are kept.
+    """
     row, = fresh(docs, "row")
-    judged = predict(docs.select(F.struct(*docs.columns).alias(row), F.col(text_col).alias("text")), profiles, "text", size)
+    own = F.col(lang_col) if lang_col else F.lit(None).cast("string")
+    held = docs.select(F.struct(*docs.columns).alias(row), F.col(text_col).alias("text"), own.alias("lang"))
+    judged = stored(predict(held, profiles, "text", size).drop("text"), "scored")
+    if least is None and lang_col:
+        least = floors_of(judged)
     needed = F.lit(min_score)
     for lang, score in sorted((least or {}).items()):
         needed = F.when(F.col("lang_pred") == lang, score).otherwise(needed)
