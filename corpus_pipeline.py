@@ -20,8 +20,7 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in none of the languages of the corpus go (no letter, or too far from every profile)."""
-    profiles = settle(language.train(docs))
-    return language.known_language(docs, profiles, least=language.floors(docs, profiles))
+    return language.known_language(docs, settle(language.train(docs)), lang_col="lang")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
