@@ -56,3 +56,10 @@ def test_text_time_bounds_reach_every_version_scan(spark, tmp_path):
     df = run_report(logical_tables(raw), "successful-edits-main", AS_OF)
     plan = _formatted(df)
     assert plan.count("GreaterThanOrEqual(timestamp,20140616000000)") >= 5
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+@pytest.mark.parametrize("name", ["rolling_ratio", "rolling_active_cohort", "report_no_cats", "report_edits_new_active"])
+def test_trailing_windows_copy_no_row(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    assert "Generate" not in plan and "Expand" not in plan

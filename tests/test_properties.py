@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators.cohorts import rolling_ratio
+from tidemark.operators.cohorts import rolling_active_cohort, rolling_ratio
 from tidemark.operators.timebox import incremental_refresh, time_boxed
 
 BASE = dt.datetime(2014, 1, 1)
@@ -68,3 +68,31 @@ def test_rolling_ratio_equals_brute_force(spark, rows, n):
         want = (sum(num) / den) if num and den else None
         assert (got[d] is None and want is None) or abs(got[d] - want) < 1e-9, (d, got[d], want)
         d += dt.timedelta(days=1)
+
+
+hours = st.integers(0, 24 * 14)
+user_rows = st.lists(st.tuples(st.integers(0, 3), hours), max_size=25)
+
+
+@SETTINGS
+@given(user_rows, user_rows, user_rows, st.lists(st.tuples(st.integers(0, 3), hours, st.sampled_from([0, 1, None])), max_size=20),
+       st.integers(1, 4), st.integers(1, 3))
+def test_rolling_cohort_equals_brute_force(spark, signed, first, second, acc, n, least):
+    def when(rows):
+        return [(r[0] or None, BASE + dt.timedelta(hours=r[1]), *r[2:]) for r in rows]
+
+    signed, first, second, acc = map(when, (signed, first, second, acc))
+    frames = [spark.createDataFrame(r, "user int, ts timestamp_ntz") for r in (signed, first, second)]
+    accounts = spark.createDataFrame(acc, "user int, ts timestamp_ntz, flag int")
+    start, end = dt.date(2014, 1, 4), dt.date(2014, 1, 11)
+    out = rolling_active_cohort(frames[0], frames[1:], accounts, start, end, n=n, min_edits=least)
+    got = {r["bucket"]: (r["mobile"], r["desktop"]) for r in out.collect()}
+    day = dt.timedelta(days=1)
+    for k in range((end - start).days + 1):
+        to = dt.datetime.combine(start, dt.time()) + (k + 1) * day
+        new = {u for u, t in signed if u and to - n * day <= t <= to}
+        edits = Counter(u for u, t in first + second if to - n * day <= t <= to)
+        flags = [f for u, t, f in acc if u in new and edits[u] >= least and to - (n + 1) * day <= t <= to + day]
+        want = (sum(f == 1 for f in flags), sum(f == 0 for f in flags)) if flags else (None, None)
+        assert got[start + k * day] == want
+    assert len(got) == (end - start).days + 1

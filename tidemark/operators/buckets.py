@@ -58,8 +58,8 @@ def date_spine(spark: SparkSession, as_of, n: int, grain: str = "day",
                order: str | None = None, name: str = BUCKET) -> DataFrame:
     """``n`` consecutive buckets ending with the bucket of ``as_of``.
 
-    Generated with ``sequence`` + ``explode`` on one row: no row source, no
-    cross join, and its size is exactly ``n`` (safe to broadcast).
+    Generated from a range of numbers: no row source, no cross join, and
+    its size is exactly ``n`` (safe to broadcast).
     """
     start, end = spine_bounds(as_of, n, grain)
     return spine_between(spark, start, end, grain, order=order, name=name)
@@ -71,9 +71,10 @@ def spine_between(spark: SparkSession, start, end, grain: str = "day",
     s, e = _bucket_value(start, grain), _bucket_value(end, grain)
     if s > e:  # an empty range is an empty calendar, not an error
         return spark.createDataFrame([], f"{name} date")
-    out = spark.range(1).select(
-        F.explode(F.sequence(F.lit(s), F.lit(e), _step(grain))).alias(name))
-    return _order(out, order, name)
+    steps = (e - s).days if grain == "day" else (e.year - s.year) * 12 + e.month - s.month
+    step = F.col("id").cast("int")
+    bucket = F.date_add(F.lit(s), step) if grain == "day" else F.add_months(F.lit(s), step)
+    return _order(spark.range(0, steps + 1, 1, 1).select(bucket.alias(name)), order, name)
 
 
 def data_spine(df: DataFrame, ts: str, grain: str = "day", order: str | None = None,

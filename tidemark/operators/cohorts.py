@@ -1,12 +1,12 @@
 """Rolling windows and cohorts without range joins.
 
 A trailing window ``[to - n days, to]`` evaluated for every bucket is a range
-(theta) join in SQL, which Spark can only plan as a nested-loop join. Instead,
-each input row is sent to the few buckets whose window contains it: for a row
-at ``ts`` those are the buckets ending between ``ts`` and ``ts + n days``, at
-most ``n + 1`` of them. Rows are first reduced to (key, day, on-midnight)
-counts, then fanned out with ``explode(sequence(...))`` and joined on equal
-keys, so every step is a hash-partitioned equi-join or aggregate.
+(theta) join in SQL, which Spark can only plan as a nested-loop join. Here a
+row's contribution is a step function of the bucket instead: it starts at the
+first bucket whose window holds the row and ends after the last, so it is two
+differences however long the window is. Rows are first reduced to (key, day,
+on-midnight) counts; running sums of the differences, per user and then over
+all, give every bucket. No row is copied into the buckets of its window.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from .buckets import BUCKET, _bucket_value, _shift, densify, spine_between
 
 DAY = "_day"
 MID = "_mid"
+# Of a user: signups, edits, account rows, and of these mobile and desktop ones.
+_MEASURES = ("_s", "_c", "_a", "_m", "_d")
+_COUNTED = _MEASURES[2:]
 
 
 def _day_counts(df: DataFrame, ts: str, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -34,20 +37,14 @@ def _day_counts(df: DataFrame, ts: str, keys: Sequence[str], aggs: Mapping[str,
             .agg(*[e.alias(k) for k, e in aggs.items()]))
 
 
-def _fan_out(day_counts: DataFrame, before: int, after: int, starts, ends) -> DataFrame:
-    """Attach every day bucket ``b`` (window end ``to = b + 1 day``) whose
-    closed window ``[to - before days, to + after days]`` holds the row.
+def _bucket_span(before: int, after: int, starts, ends) -> tuple[Column, Column]:
+    """First and last bucket of the range whose window holds a day's rows: those
+    (window end ``to = b + 1 day``) whose closed window ``[to - before days, to + after
+    days]`` holds them.
 
     For a row on day ``d``: ``to`` runs from ``ceil(ts) - after`` to
     ``d + before``; ``ceil(ts)`` is ``d`` for a midnight row, else ``d + 1``.
     """
-    lo, hi = _bucket_span(before, after, starts, ends)
-    rows = day_counts.where(lo <= hi)
-    return rows.withColumn(BUCKET, F.explode(F.sequence(lo, hi))).drop(DAY, MID)
-
-
-def _bucket_span(before: int, after: int, starts, ends) -> tuple[Column, Column]:
-    """First and last bucket of the range whose window holds a day's rows."""
     d = F.col(DAY)
     ceil_day = F.when(F.col(MID), d).otherwise(F.date_add(d, 1))
     s, e = _bucket_value(starts, "day"), _bucket_value(ends, "day")
@@ -77,15 +74,16 @@ def rolling_ratio(df: DataFrame, ts: str, measure: str, num_pred: Column, n: int
         df = df.where(where)
     s, e = _bucket_value(starts, "day"), _bucket_value(ends, "day")
     df = df.where(time_range(df, ts, _shift(s, "day", -n), e))
-    daily = df.groupBy(F.to_date(ts).alias(DAY)).agg(
+    daily = df.groupBy(F.to_date(ts).alias(BUCKET)).agg(
         F.sum(F.when(num_pred, F.col(measure))).alias("_num"),
         F.sum(F.col(measure)).alias("_den"))
-    lo = F.greatest(F.date_add(DAY, 1), F.lit(s))
-    hi = F.least(F.date_add(DAY, n), F.lit(e))
-    spread = daily.where(lo <= hi).withColumn(BUCKET, F.explode(F.sequence(lo, hi)))
-    sums = spread.groupBy(BUCKET).agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"))
-    out = densify(spine_between(df.sparkSession, s, e, "day"), sums, fill=None)
-    return out.select(BUCKET, safe_ratio("_num", "_den").alias(name))
+    # One row a day from here on: every day of the range and the n before it. Each
+    # window is summed by itself, not as a difference of running sums, so
+    # doubles stay as exact as they are.
+    days = spine_between(df.sparkSession, _shift(s, "day", -n), e, "day").join(daily, BUCKET, "left")
+    window = Window.orderBy(F.unix_date(BUCKET)).rangeBetween(-n, -1)
+    sums = days.select(BUCKET, F.sum("_num").over(window).alias("_num"), F.sum("_den").over(window).alias("_den"))
+    return sums.where(F.col(BUCKET) >= F.lit(s)).select(BUCKET, safe_ratio("_num", "_den").alias(name))
 
 
 # --------------------------------------------------------------- cohort ---
@@ -109,47 +107,44 @@ def rolling_active_cohort(signups: DataFrame, edits: Sequence[DataFrame], accoun
     ``edits`` and ``accounts`` carry columns ``user`` and ``ts``;
     ``accounts`` also ``flag``.
 
-    Rows are reduced to (user, day) counts map-side and exchanged once on the
-    user. Users without a signup in range go before anything is fanned out;
-    the sum per (user, bucket) and the join with the accounts (exchanged on
-    the user too) then move no row again.
+    Rows are reduced to (user, day) counts map-side. Signups, edits and accounts
+    are then step functions of the bucket, each day's rows two differences; their
+    running sums per user say in which buckets the user is active and how many account
+    rows count there. What changes from one such step to the next is
+    summed over the users, and a running sum over the days is the series.
     """
     before_acc = n + 1 if account_before is None else account_before
-
-    # Signups and edits share the window [to - n d, to], so one union reduced
-    # once to (user, day, on-midnight) gives, per (user, bucket), both "signed
-    # up in the window" and "edits in the window".
-    parts = [_window_filter(signups, ts, starts, ends, n, 0)
-             .select(F.col(user), F.col(ts), F.lit(1).alias("_s"), F.lit(0).alias("_c"))]
-    for t in edits:
-        parts.append(_window_filter(t, ts, starts, ends, n, 0)
-                     .select(F.col(user), F.col(ts), F.lit(0).alias("_s"), F.lit(1).alias("_c")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    per_day = _day_counts(rows, ts, [user], {"_s": F.sum("_s"), "_c": F.sum("_c")})
-    signed = F.max("_s").over(Window.partitionBy(user))
-    per_day = per_day.where(F.col(user).isNotNull()).repartition(user).withColumn("_signed", signed)
-    active = (_fan_out(per_day.where(F.col("_signed") > 0), n, 0, starts, ends)
-              .groupBy(user, BUCKET).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_edits"))
-              .where((F.col("_s") > 0) & (F.col("_edits") >= min_edits))
-              .select(user, BUCKET))
-
-    acc = accounts if account_where is None else accounts.where(account_where)
-    acc = _window_filter(acc, ts, starts, ends, before_acc, account_after)
     mobile, desktop = labels
-    # Reduce accounts to (user, day, on-midnight) counts map-side first, so
-    # a user holding a large share of account rows is a few rows per task
-    # before the shuffle on user.
-    acc_days = _day_counts(acc, ts, [user], {
-        mobile: count_when(F.col(flag) == 1), desktop: count_when(F.col(flag) != 1)})
-    lo, hi = _bucket_span(before_acc, account_after, starts, ends)
-    acc_days = acc_days.where(F.col(user).isNotNull() & (lo <= hi)).repartition(user).withColumns({"_lo": lo, "_hi": hi})
-    joined = acc_days.join(active, user).where(F.col(BUCKET).between(F.col("_lo"), F.col("_hi")))
-    sums = joined.groupBy(BUCKET).agg(F.sum(mobile).cast("bigint").alias(mobile),
-                                      F.sum(desktop).cast("bigint").alias(desktop))
-    spine = spine_between(signups.sparkSession, starts, ends, "day")
-    return densify(spine, sums, fill=None)
+    acc = accounts if account_where is None else accounts.where(account_where)
+    zero, one, is_mobile = F.lit(0), F.lit(1), F.col(flag)
+    kinds = [(_window_filter(signups, ts, starts, ends, n, 0), (one, zero, zero, zero, zero))]
+    kinds += [(_window_filter(t, ts, starts, ends, n, 0), (zero, one, zero, zero, zero)) for t in edits]
+    kinds.append((_window_filter(acc, ts, starts, ends, before_acc, account_after),
+                  (zero, zero, one, F.when(is_mobile == 1, 1).otherwise(0), F.when(is_mobile != 1, 1).otherwise(0))))
+    rows = None
+    for i, (t, values) in enumerate(kinds):
+        part = t.select(F.col(user), F.col(ts), F.lit(i == len(kinds) - 1).alias("_acc"),
+                        *[v.alias(c) for c, v in zip(_MEASURES, values)])
+        rows = part if rows is None else rows.unionByName(part)
+    per_day = _day_counts(rows.where(F.col(user).isNotNull()), ts, [user, "_acc"], {c: F.sum(c) for c in _MEASURES})
+    spans = [F.when(F.col("_acc"), a).otherwise(w) for a, w in zip(
+        _bucket_span(before_acc, account_after, starts, ends), _bucket_span(n, 0, starts, ends))]
+    per_day = per_day.withColumns({"_lo": spans[0], "_hi": spans[1]}).where(F.col("_lo") <= F.col("_hi"))
+    enter = per_day.select(user, F.col("_lo").alias(BUCKET), *_MEASURES)
+    leave = per_day.select(user, F.date_add("_hi", 1).alias(BUCKET), *[(-F.col(c)).alias(c) for c in _MEASURES])
+    steps = enter.unionAll(leave).repartition(user).groupBy(user, BUCKET).agg(*[F.sum(c).alias(c) for c in _MEASURES])
+    upto = Window.partitionBy(user).orderBy(BUCKET)
+    held = steps.select(user, BUCKET, *[F.sum(c).over(upto).alias(c) for c in _MEASURES])
+    active = (F.col("_s") > 0) & (F.col("_c") >= min_edits)
+    counted = held.select(user, BUCKET, *[F.when(active, F.col(c)).otherwise(0).alias(c) for c in _COUNTED])
+    change = [(F.col(c) - F.lag(c, 1, 0).over(upto)).alias(c) for c in _COUNTED]
+    moved = counted.select(BUCKET, *change).where(" or ".join(f"{c} != 0" for c in _COUNTED))
+    daily = moved.groupBy(BUCKET).agg(*[F.sum(c).alias(c) for c in _COUNTED])
+    # one row a day from here on; no account row of an active user: NULL
+    so_far = Window.orderBy(BUCKET)
+    dense = densify(spine_between(signups.sparkSession, starts, ends, "day"), daily, fill=0)
+    series = dense.select(BUCKET, *[F.sum(c).over(so_far).cast("bigint").alias(c) for c in _COUNTED])
+    return series.select(BUCKET, *[F.when(F.col("_a") > 0, F.col(c)).alias(label) for c, label in (("_m", mobile), ("_d", desktop))])
 
 
 # ----------------------------------------------------------- thresholds ---
