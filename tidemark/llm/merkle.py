@@ -202,8 +202,9 @@ def manifest(docs: DataFrame, id_col: str, group_col: str, fields: list[Column],
 
 
 def joined_paths(below: DataFrame, tops: list[DataFrame], above: DataFrame) -> DataFrame:
-    root = tops[-1].select(F.lower(F.hex("digest")).alias("root"))
+    top = tops[-1].first()  # one row; none if there are no rows at all
+    root = F.lit(top["digest"].hex() if top else None).cast("string").alias("root")
     groups = (tops[0].select("pos", F.col("name").alias("grp"), F.lower(F.hex("digest")).alias("subroot"))
-              .join(above, "pos").crossJoin(F.broadcast(root)).drop("pos"))
+              .join(above, "pos").select("grp", "subroot", "top_path", root))
     both = F.concat_ws(",", F.nullif("path", F.lit("")), F.nullif("top_path", F.lit("")))
     return stored(below.join(light(stored(groups, "groups")), "grp").select("grp", "block", both.alias("path"), "subroot", "root"), "paths")
