@@ -15,6 +15,8 @@ from tidemark.llm.common import light, settle, stored
 SEGMENTS = (4, 16)
 #: Rows and anchors of a block; numbers multiplied at once.
 ROWS, ANCHORS, AT_ONCE = 4096, 256, 1 << 22
+#: Share of the pairs (one in so many) from which all of them are multiplied at once.
+MANY = 16
 #: Share of the vectors' lengths by which single-precision summaries may be off.
 SLACK = 1e-4
 LOWEST, HIGHEST = -2**63, 2**63 - 1
@@ -77,45 +79,56 @@ def products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.n
 
 
 class Scores:
-    """Bounds, then exact scores, of the pairs of an anchor block and a row block."""
+    """Bounds, then exact scores, of the pairs of an anchor block and a row block.
+
+    While many pairs are open they are computed for all, once, else for the open ones.
+    """
 
     def __init__(self, a: Block, b: Block):
         self.a, self.b = a, b
         self.exact = all(x.c.dtype != object for x in (a, b)) and math.prod(
             float(np.abs(x.c).max(initial=1)) for x in (a, b)) * a.dim < 2.0**53
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.product: np.ndarray | None = None
+
+    def many(self, open_: np.ndarray) -> bool:
+        return MANY * np.count_nonzero(open_) > open_.size
 
-    def bounds(self, level: int, i=None, j=None) -> tuple[np.ndarray, np.ndarray]:
-        """Least and largest score by means' products and deviations' products; of all pairs, or of ``i``, ``j``."""
+    def bounds(self, level: int, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and largest score of the open pairs by means' products and deviations' products."""
+        if level in self.known:
+            return self.known[level]
         if not self.a.dim:
-            zero = np.zeros((self.a.n, self.b.n)) if i is None else np.zeros(len(i))
-            return zero, zero
+            return np.zeros(open_.shape), np.zeros(open_.shape)
         (am, ad), (bm, bd) = self.a.levels[level], self.b.levels[level]
         with np.errstate(over="ignore", invalid="ignore"):
-            if i is None:
-                mid, dev, size = am @ bm.T, ad @ bd.T, np.outer(self.a.length, self.b.length)
+            if self.many(open_):
+                mid, dev = am @ bm.T, ad @ bd.T + SLACK * np.outer(self.a.length, self.b.length) + 1e-6
+                at = None
             else:
-                mid, dev, size = products(am, bm, i, j), products(ad, bd, i, j), self.a.length[i] * self.b.length[j]
-            dev = dev + SLACK * size + 1e-6
+                at = i, j = np.nonzero(open_)
+                mid, dev = products(am, bm, i, j), products(ad, bd, i, j) + SLACK * self.a.length[i] * self.b.length[j] + 1e-6
             low, high = mid - dev, mid + dev
         # beyond single precision: no bound
-        return np.where(np.isfinite(low), low, -np.inf), np.where(np.isfinite(high), high, np.inf)
+        low[~np.isfinite(low)] = -np.inf
+        high[~np.isfinite(high)] = np.inf
+        if at is None:
+            self.known[level] = low, high
+            return low, high
+        out = np.full(open_.shape, -np.inf), np.full(open_.shape, -np.inf)
+        out[0][at], out[1][at] = low, high
+        return out
 
     def score(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Exact scores of the pairs: long, or Python numbers held at the limits of a long."""
-        if self.exact:
+        if not self.exact:
+            out = [sum(int(x) * int(y) for x, y in zip(self.a.c[p], self.b.c[q])) for p, q in zip(i, j)]
+            return np.array([min(max(s, LOWEST), HIGHEST) for s in out], object)
+        if self.product is None and MANY * len(i) <= self.a.n * self.b.n:
             return products(self.a.c, self.b.c, i, j).astype(np.int64)
-        out = [sum(int(x) * int(y) for x, y in zip(self.a.c[p], self.b.c[q])) for p, q in zip(i, j)]
-        return np.array([min(max(s, LOWEST), HIGHEST) for s in out], object)
-
-
-def kth(groups: np.ndarray, values: np.ndarray, n: int, k: int) -> np.ndarray:
-    """The ``k``-th largest of the values of each of ``n`` groups (-inf where there are fewer)."""
-    order = np.lexsort((-values, groups))
-    at = np.searchsorted(groups[order], np.arange(n)) + k - 1
-    full = (at < len(order)) & (np.bincount(groups, minlength=n) >= k)
-    out = np.full(n, -np.inf)
-    out[full] = values[order][at[full]]
-    return out
+        if self.product is None:  # whole numbers under 2**53: exact in any order
+            self.product = self.a.c @ self.b.c.T
+        return self.product[i, j].astype(np.int64)
 
 
 def best(scores: Scores, allowed: np.ndarray, k: int, floor: np.ndarray | float = -np.inf,
@@ -127,19 +140,16 @@ def best(scores: Scores, allowed: np.ndarray, k: int, floor: np.ndarray | float
     scores of pairs that are surely not over the ceiling, or if its bounds lie outside.
     """
     n = scores.a.n
-    i, j = np.nonzero(allowed)
-    if not scores.exact:  # too long for double precision: all of them
-        return i, j, scores.score(i, j)
-    floor, ceiling = np.broadcast_to(floor, n), np.broadcast_to(ceiling, n)
-    low, high = (x[i, j] for x in scores.bounds(0))
-    for level in range(len(SEGMENTS)):
-        if level:
-            low, high = scores.bounds(level, i, j)
-        # the floor and ceiling may be off by rounding, the bounds' slack is more than that
-        sure = high <= ceiling[i] - 0.5
-        least = kth(i[sure], low[sure], n, k)
-        open_ = (high >= np.maximum(least, floor - 0.5)[i]) & (low <= ceiling[i] + 0.5)
-        i, j = i[open_], j[open_]
+    open_ = allowed.copy()
+    # the floor and ceiling may be off by rounding, the bounds' slack is more than that
+    floor, ceiling = (np.broadcast_to(x, n)[:, None] for x in (floor - 0.5, ceiling + 0.5))
+    for level in range(len(SEGMENTS) if scores.exact else 0):  # components too long for double precision: all pairs
+        low, high = scores.bounds(level, open_)
+        open_ &= (high >= floor) & (low <= ceiling)
+        if scores.b.n > k:
+            sure = np.where(open_ & (high <= ceiling - 1), low, -np.inf)
+            open_ &= high >= np.partition(sure, -k, axis=1)[:, -k:][:, :1]
+    i, j = np.nonzero(open_)
     return i, j, scores.score(i, j)
 
 
@@ -248,9 +258,9 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, id_col: str = "ve
             p = [ws[k] if len(ws) > k else 0 for ws in asked]
             floor, ceiling = (np.array([w * share / 100 for w in p]) for share in (least, most))
             i, j, s = best(scores, other & has[:, None], negatives, floor, ceiling)
-            low, high = (np.array([w * share for w in p], object) for share in (least, most))
-            t = 100 * s.astype(object)
-            inside = np.array((low[i] <= t) & (t <= high[i]), bool)
+            # whole numbers: under 2**60 if scores are exact in double precision
+            low, high = (np.array([w * share for w in p], np.int64 if scores.exact else object) for share in (least, most))
+            inside = np.array((low[i] <= 100 * s) & (100 * s <= high[i]), bool)
             i, j, s = i[inside], j[inside], s[inside]
             take = first(i, j, s, theirs.ids, negatives)
             i, j, s = i[take], j[take], s[take]
