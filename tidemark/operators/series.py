@@ -59,6 +59,7 @@ def write_series(df: DataFrame, path: str, fmt: str = "csv", key: str = BUCKET,
     if _reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path!r}: the series is computed from it")
     out = df
+    key = key if key in df.columns else df.columns[0]  # a summary without buckets
     if labels:
         out = out.select(*[F.col(c).alias(labels.get(c, c)) for c in out.columns])
     if fmt == "csv":

@@ -16,13 +16,12 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arith import count_rows, row_total
+from ..functions.arith import row_total
 from ..functions.text import contains_any, lacks_or_null, normalise_title, normalise_user, prefix_match
 from ..functions.time import to_date_value
 from ..operators.buckets import (
     BUCKET,
     bucket_distinct,
-    bucket_pivot,
     densify,
     in_range,
     spine_between,
@@ -36,7 +35,8 @@ from ..operators.matching import (
     retention_summary,
     source_reconciliation,
 )
-from ..operators.timebox import first_open_bucket, has_drift, incremental_refresh, time_boxed
+from ..operators.timebox import first_open_bucket, has_drift, incremental_refresh
+from .counts import CountPlan, Part, run_counts, shared_series
 
 Tables = Mapping[str, DataFrame]
 
@@ -72,6 +72,8 @@ class Report:
     source: str = "el"
     registered: bool = True
     closed: str = "left"
+    #: What a count report counts; others have none.
+    counts: Callable[[Params], CountPlan] | None = None
 
     @property
     def grain(self) -> str:
@@ -88,6 +90,14 @@ def report(name: str, title: str, frequency: str = "hourly", labels: dict | None
     return deco
 
 
+def count_report(name: str, title: str, frequency: str = "hourly", **kw):
+    """A report made of counts alone: the function gives their :class:`CountPlan`."""
+    def deco(fn):
+        report(name, title, frequency, counts=fn, **kw)(lambda t, p: run_counts(t, fn(p)))
+        return fn
+    return deco
+
+
 # ------------------------------------------------------------------ rules ---
 
 def android(col: str = "event_platform") -> Column:
@@ -131,6 +141,29 @@ def _range(p: Params, grain: str, n: int):
     return spine_bounds(p.as_of, n, grain)
 
 
+def _calendar(p: Params, grain: str, n: int, *parts: Part, total: str | None = None) -> CountPlan:
+    """The ``n`` last buckets, zeros filled in; ``total`` of all metrics before them."""
+    start, end = _range(p, grain, n)
+    parts = tuple(replace(part, grain=grain, start=start, end=end) for part in parts)
+
+    def finish(spark, series):
+        dense = _dense(spark, p, grain, n, *series)
+        names = dense.columns[1:]
+        return dense.select(BUCKET, row_total(names).alias(total), *names) if total else dense
+
+    return CountPlan(parts, finish)
+
+
+def _box(p: Params, part: Part, fill: int | None) -> CountPlan:
+    """Every day of a time box; one without rows is ``fill``."""
+    return CountPlan((replace(part, start=p.starts, end=p.ends),), lambda spark, series: densify(
+        spine_between(spark, p.starts, p.ends, "day"), *series, fill=fill))
+
+
+def _sparse(part: Part) -> CountPlan:
+    return CountPlan((part,), lambda spark, series: series[0])
+
+
 # ----------------------------------------------------- uploads (R-01..R-05) ---
 
 @report("unique-uploaders", "Unique uploaders (per month)",
@@ -157,118 +190,101 @@ def unique_uploaders_day(t: Tables, p: Params) -> DataFrame:
     return dense.select(BUCKET, row_total(["android", "ios", "web"]).alias("total"), "android", "ios", "web")
 
 
-@report("month-uploads", "Uploads (per month)", frequency="daily",
-        labels={BUCKET: "Month", "android": "Android", "ios": "iOS", "web": "Web"})
-def month_uploads(t: Tables, p: Params) -> DataFrame:
-    s, e = _range(p, "month", MONTHS)
-    apps = bucket_pivot(t["upload_attempts"], "ts", "month", {"android": android(), "ios": ios()},
-                        total=None, where=app_uploads_ok(), start=s, end=e)
-    web = bucket_pivot(t["upload_web"], "ts", "month", {}, total="web", where=web_uploads_ok(), start=s, end=e)
-    return _dense(apps.sparkSession, p, "month", MONTHS, apps, web)
+def _app_uploads(where: Column) -> Part:
+    return Part("upload_attempts", {"android": android(), "ios": ios()}, where)
 
 
-@report("cancelled-uploads", "Uploads cancelled by user (per day)",
-        labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS"})
-def cancelled_uploads(t: Tables, p: Params) -> DataFrame:
-    where = (F.col("event_result") == "cancelled") & on_commons()
-    return bucket_pivot(t["upload_attempts"], "ts", "day", {"android": android(), "ios": ios()},
-                        total="total", where=where)
+def _web_uploads(where: Column) -> Part:
+    return Part("upload_web", {}, where, total="web")
 
 
-def _daily_uploads(t: Tables, p: Params, app_where: Column, web_where: Column) -> DataFrame:
-    s, e = _range(p, "day", p.n)
-    apps = bucket_pivot(t["upload_attempts"], "ts", "day", {"android": android(), "ios": ios()},
-                        total=None, where=app_where, start=s, end=e)
-    web = bucket_pivot(t["upload_web"], "ts", "day", {}, total="web", where=web_where, start=s, end=e)
-    dense = _dense(apps.sparkSession, p, "day", p.n, apps, web)
-    return dense.select(BUCKET, row_total(["android", "ios", "web"]).alias("total"), "android", "ios", "web")
+@count_report("month-uploads", "Uploads (per month)", frequency="daily",
+              labels={BUCKET: "Month", "android": "Android", "ios": "iOS", "web": "Web"})
+def month_uploads(p: Params) -> CountPlan:
+    return _calendar(p, "month", MONTHS, _app_uploads(app_uploads_ok()), _web_uploads(web_uploads_ok()))
+
+
+@count_report("cancelled-uploads", "Uploads cancelled by user (per day)",
+              labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS"})
+def cancelled_uploads(p: Params) -> CountPlan:
+    return _sparse(replace(_app_uploads((F.col("event_result") == "cancelled") & on_commons()), total="total"))
 
 
-@report("error-uploads", "Uploads failed because of an upload error (per day)",
-        labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS", "web": "Web"})
-def error_uploads(t: Tables, p: Params) -> DataFrame:
+_UPLOAD_LABELS = {BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS", "web": "Web"}
+
+
+@count_report("error-uploads", "Uploads failed because of an upload error (per day)", labels=_UPLOAD_LABELS)
+def error_uploads(p: Params) -> CountPlan:
     r = F.col("event_result")
     app_where = (r != "cancelled") & (r != "success") & on_commons()
     web_where = (F.col("event_action") == "error") & not_test()
-    return _daily_uploads(t, p, app_where, web_where)
+    return _calendar(p, "day", p.n, _app_uploads(app_where), _web_uploads(web_where), total="total")
 
 
-@report("successful-uploads", "Successful Uploads (per day)",
-        labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS", "web": "Web"})
-def successful_uploads(t: Tables, p: Params) -> DataFrame:
-    return _daily_uploads(t, p, app_uploads_ok(), web_uploads_ok())
+@count_report("successful-uploads", "Successful Uploads (per day)", labels=_UPLOAD_LABELS)
+def successful_uploads(p: Params) -> CountPlan:
+    return _calendar(p, "day", p.n, _app_uploads(app_uploads_ok()), _web_uploads(web_uploads_ok()), total="total")
 
 
 # ------------------------------------------------------- web edits (R-06..) ---
 
-def _web_edits(t: Tables, p: Params, where: Column, distinct: bool = False) -> DataFrame:
-    s, e = _range(p, "day", p.n)
-    base = (F.col("event_action") == "success") & not_test()
-    rows = t["edits_web"]
-    if distinct:
-        agg = bucket_distinct(rows, "ts", "day", "event_username", {"web": F.lit(True)},
-                              where=base & where, start=s, end=e)
-    else:
-        agg = bucket_pivot(rows, "ts", "day", {}, total="web", where=base & where, start=s, end=e)
-    return _dense(rows.sparkSession, p, "day", p.n, agg)
+def web_edits_ok() -> Column:
+    return (F.col("event_action") == "success") & not_test()
 
 
-@report("successful-edits-newbie", "Successful edits by first time users (per day)",
-        labels={BUCKET: "Date", "web": "Web"})
-def successful_edits_newbie(t: Tables, p: Params) -> DataFrame:
-    return _web_edits(t, p, F.col("event_userEditCount") == 0)
+def _web_edits(p: Params, where: Column) -> CountPlan:
+    return _calendar(p, "day", p.n, Part("edits_web", {}, where, total="web"))
 
 
-@report("successful-edits-main", "Successful Main namespace edits (per day)",
-        labels={BUCKET: "Date", "web": "Web"})
-def successful_edits_main(t: Tables, p: Params) -> DataFrame:
-    return _web_edits(t, p, F.col("event_namespace") == 0)
+@count_report("successful-edits-newbie", "Successful edits by first time users (per day)",
+              labels={BUCKET: "Date", "web": "Web"})
+def successful_edits_newbie(p: Params) -> CountPlan:
+    return _web_edits(p, web_edits_ok() & (F.col("event_userEditCount") == 0))
 
 
-@report("successful-edits-other", "Successful other namespace edits (per day)",
-        labels={BUCKET: "Date", "web": "Web"})
-def successful_edits_other(t: Tables, p: Params) -> DataFrame:
-    return _web_edits(t, p, F.col("event_namespace") != 0)
+@count_report("successful-edits-main", "Successful Main namespace edits (per day)",
+              labels={BUCKET: "Date", "web": "Web"})
+def successful_edits_main(p: Params) -> CountPlan:
+    return _web_edits(p, web_edits_ok() & (F.col("event_namespace") == 0))
+
+
+@count_report("successful-edits-other", "Successful other namespace edits (per day)",
+              labels={BUCKET: "Date", "web": "Web"})
+def successful_edits_other(p: Params) -> CountPlan:
+    return _web_edits(p, web_edits_ok() & (F.col("event_namespace") != 0))
 
 
 @report("successful-edits-unique", "Successful unique user edits (per day)",
         labels={BUCKET: "Date", "web": "Web"})
 def successful_edits_unique(t: Tables, p: Params) -> DataFrame:
-    return _web_edits(t, p, F.col("event_namespace") == 0, distinct=True)
+    s, e = _range(p, "day", p.n)
+    agg = bucket_distinct(t["edits_web"], "ts", "day", "event_username", {"web": F.lit(True)},
+                          where=web_edits_ok() & (F.col("event_namespace") == 0), start=s, end=e)
+    return _dense(agg.sparkSession, p, "day", p.n, agg)
 
 
-@report("error-edits", "Edits failed because of an error (per day)", labels={BUCKET: "Date", "web": "Web"})
-def error_edits(t: Tables, p: Params) -> DataFrame:
-    s, e = _range(p, "day", p.n)
-    rows = t["edits_web"]
-    agg = bucket_pivot(rows, "ts", "day", {}, total="web",
-                       where=(F.col("event_action") == "error") & not_test(), start=s, end=e)
-    return _dense(rows.sparkSession, p, "day", p.n, agg)
+@count_report("error-edits", "Edits failed because of an error (per day)", labels={BUCKET: "Date", "web": "Web"})
+def error_edits(p: Params) -> CountPlan:
+    return _web_edits(p, (F.col("event_action") == "error") & not_test())
 
 
-def _monthly_edits(t: Tables, p: Params, distinct: bool) -> DataFrame:
-    s, e = _range(p, "month", MONTHS)
+def by_namespace() -> dict[str, Column]:
     ns = F.col("event_namespace")
-    metrics = {"main": ns == 0, "other": ns != 0}
-    where = (F.col("event_action") == "success") & not_test()
-    rows = t["edits_web"]
-    if distinct:
-        agg = bucket_distinct(rows, "ts", "month", "event_username", metrics, where=where, start=s, end=e)
-    else:
-        agg = bucket_pivot(rows, "ts", "month", metrics, total=None, where=where, start=s, end=e)
-    return _dense(rows.sparkSession, p, "month", MONTHS, agg)
+    return {"main": ns == 0, "other": ns != 0}
 
 
 @report("edits-monthly-unique-editors", "Unique editors (per month)", frequency="daily",
         labels={BUCKET: "Month", "main": "Main", "other": "Other"})
 def edits_monthly_unique_editors(t: Tables, p: Params) -> DataFrame:
-    return _monthly_edits(t, p, distinct=True)
+    s, e = _range(p, "month", MONTHS)
+    agg = bucket_distinct(t["edits_web"], "ts", "month", "event_username", by_namespace(), where=web_edits_ok(), start=s, end=e)
+    return _dense(agg.sparkSession, p, "month", MONTHS, agg)
 
 
-@report("edits-monthly-successful", "Successful edits (per month)", frequency="daily",
-        labels={BUCKET: "Month", "main": "Main", "other": "Other"})
-def edits_monthly_successful(t: Tables, p: Params) -> DataFrame:
-    return _monthly_edits(t, p, distinct=False)
+@count_report("edits-monthly-successful", "Successful edits (per month)", frequency="daily",
+              labels={BUCKET: "Month", "main": "Main", "other": "Other"})
+def edits_monthly_successful(p: Params) -> CountPlan:
+    return _calendar(p, "month", MONTHS, Part("edits_web", by_namespace(), web_edits_ok()))
 
 
 # ------------------------------------------------ app edits (R-11..R-17) ---
@@ -276,68 +292,64 @@ def edits_monthly_successful(t: Tables, p: Params) -> DataFrame:
 FUNNEL_STEPS = ("start", "preview", "saveAttempt", "saved")
 
 
-def _funnel(t: Tables, p: Params, rule: Column | None) -> DataFrame:
+def _funnel(p: Params, rule: Column | None) -> CountPlan:
     where = not_test() if rule is None else (rule & not_test())
-    metrics = {s.lower(): F.col("event_action") == s for s in FUNNEL_STEPS}
-    return time_boxed(t["edits_app"], "ts", p.starts, p.ends, "day", metrics=metrics,
-                      where=where, empty="zero")
+    return _box(p, Part("edits_app", {s.lower(): F.col("event_action") == s for s in FUNNEL_STEPS}, where), fill=0)
 
 
 _FUNNEL_LABELS = {BUCKET: "Day", "start": "start", "preview": "preview", "saveattempt": "saveAttempt",
                   "saved": "saved"}
 
 
-@report("app-edit-funnel-total", "App Edits - all apps (per day)", labels=_FUNNEL_LABELS,
-        timeboxed=True, starts="2014-06-25")
-def app_edit_funnel_total(t: Tables, p: Params) -> DataFrame:
-    return _funnel(t, p, None)
+@count_report("app-edit-funnel-total", "App Edits - all apps (per day)", labels=_FUNNEL_LABELS,
+              timeboxed=True, starts="2014-06-25")
+def app_edit_funnel_total(p: Params) -> CountPlan:
+    return _funnel(p, None)
 
 
-@report("app-edit-funnel-android", "App Edits - Android (per day)", labels=_FUNNEL_LABELS,
-        timeboxed=True, starts="2014-06-25")
-def app_edit_funnel_android(t: Tables, p: Params) -> DataFrame:
-    return _funnel(t, p, ua_android())
+@count_report("app-edit-funnel-android", "App Edits - Android (per day)", labels=_FUNNEL_LABELS,
+              timeboxed=True, starts="2014-06-25")
+def app_edit_funnel_android(p: Params) -> CountPlan:
+    return _funnel(p, ua_android())
 
 
-@report("app-edit-funnel-ios", "App Edits - iOS (per day)", labels=_FUNNEL_LABELS,
-        timeboxed=True, starts="2014-08-01")
-def app_edit_funnel_ios(t: Tables, p: Params) -> DataFrame:
-    return _funnel(t, p, ua_ios())
+@count_report("app-edit-funnel-ios", "App Edits - iOS (per day)", labels=_FUNNEL_LABELS,
+              timeboxed=True, starts="2014-08-01")
+def app_edit_funnel_ios(p: Params) -> CountPlan:
+    return _funnel(p, ua_ios())
 
 
-def _app_action(t: Tables, p: Params, action: str) -> DataFrame:
+def _app_action(p: Params, action: str) -> CountPlan:
     where = (F.col("event_action") == action) & not_test()
-    return time_boxed(t["edits_app"], "ts", p.starts, p.ends, "day",
-                      metrics={"android": ua_android(), "ios": ua_ios()},
-                      aggs={"total": count_rows()}, where=where, empty="omit").select(
-        BUCKET, "total", "android", "ios")
+    return _sparse(Part("edits_app", {"android": ua_android(), "ios": ua_ios()}, where, total="total",
+                        start=p.starts, end=p.ends))
 
 
 _APP_LABELS = {BUCKET: "Day", "total": "Total", "android": "Android", "ios": "iOS"}
 
 
-@report("app-edits-starts", "Apps - Impressions on edit pencil (per day)", labels=_APP_LABELS,
-        timeboxed=True, starts="2014-06-25")
-def app_edits_starts(t: Tables, p: Params) -> DataFrame:
-    return _app_action(t, p, "start")
+@count_report("app-edits-starts", "Apps - Impressions on edit pencil (per day)", labels=_APP_LABELS,
+              timeboxed=True, starts="2014-06-25")
+def app_edits_starts(p: Params) -> CountPlan:
+    return _app_action(p, "start")
 
 
-@report("app-edits-preview", "Apps - Impressions on edit summary and preview page (per day)",
-        labels=_APP_LABELS, timeboxed=True, starts="2014-06-25")
-def app_edits_preview(t: Tables, p: Params) -> DataFrame:
-    return _app_action(t, p, "preview")
+@count_report("app-edits-preview", "Apps - Impressions on edit summary and preview page (per day)",
+              labels=_APP_LABELS, timeboxed=True, starts="2014-06-25")
+def app_edits_preview(p: Params) -> CountPlan:
+    return _app_action(p, "preview")
 
 
-@report("app-edits-save-attempt", "Apps - Impressions on Save button (number of save attempts per day)",
-        labels=_APP_LABELS, timeboxed=True, starts="2014-06-25")
-def app_edits_save_attempt(t: Tables, p: Params) -> DataFrame:
-    return _app_action(t, p, "saveAttempt")
+@count_report("app-edits-save-attempt", "Apps - Impressions on Save button (number of save attempts per day)",
+              labels=_APP_LABELS, timeboxed=True, starts="2014-06-25")
+def app_edits_save_attempt(p: Params) -> CountPlan:
+    return _app_action(p, "saveAttempt")
 
 
-@report("app-edits-success", "Apps - Number of successfully saved edits (per day)", labels=_APP_LABELS,
-        timeboxed=True, starts="2014-06-25")
-def app_edits_success(t: Tables, p: Params) -> DataFrame:
-    return _app_action(t, p, "saved")
+@count_report("app-edits-success", "Apps - Number of successfully saved edits (per day)", labels=_APP_LABELS,
+              timeboxed=True, starts="2014-06-25")
+def app_edits_success(p: Params) -> CountPlan:
+    return _app_action(p, "saved")
 
 
 @report("app-user-blocks-en", "Number of blocked 'app users' on enwiki (per day)",
@@ -354,19 +366,17 @@ def app_user_blocks_en(t: Tables, p: Params) -> DataFrame:
 
 # ---------------------------------------------------- logins, shares ---
 
-@report("successful-logins", "Successful logins (per day)",
-        labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS"})
-def successful_logins(t: Tables, p: Params) -> DataFrame:
+@count_report("successful-logins", "Successful logins (per day)",
+              labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS"})
+def successful_logins(p: Params) -> CountPlan:
     where = (F.col("event_result") == "success") & on_commons()
-    return bucket_pivot(t["login_attempts"], "ts", "day", {"android": android(), "ios": ios()},
-                        total="total", where=where)
+    return _sparse(Part("login_attempts", {"android": android(), "ios": ios()}, where, total="total"))
 
 
-@report("share-attempts", "Share Attempts (per day)",
-        labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS"})
-def share_attempts(t: Tables, p: Params) -> DataFrame:
-    return bucket_pivot(t["share_attempts"], "ts", "day", {"android": android(), "ios": ios()},
-                        total="total", where=on_commons())
+@count_report("share-attempts", "Share Attempts (per day)",
+              labels={BUCKET: "Date", "total": "Total", "android": "Android", "ios": "iOS"})
+def share_attempts(p: Params) -> CountPlan:
+    return _sparse(Part("share_attempts", {"android": android(), "ios": ios()}, on_commons(), total="total"))
 
 
 # ------------------------------------------------- cross-source reports ---
@@ -486,15 +496,14 @@ def edits_monthly_active_2014(t: Tables, p: Params) -> DataFrame:
 THANKS = {"desktophistory": "history", "desktopdiffthanks": "diff", "mobilediffthanks": "mobilediff"}
 
 
-@report("thanks-daily", "Thanks", labels={BUCKET: "Day", "desktophistory": "desktopHistory",
-                                           "desktopdiffthanks": "desktopDiffThanks",
-                                           "mobilediffthanks": "mobileDiffThanks"},
-        timeboxed=True, starts="2013-11-01", closed="both")
-def thanks_daily(t: Tables, p: Params) -> DataFrame:
+@count_report("thanks-daily", "Thanks", labels={BUCKET: "Day", "desktophistory": "desktopHistory",
+                                                 "desktopdiffthanks": "desktopDiffThanks",
+                                                 "mobilediffthanks": "mobileDiffThanks"},
+              timeboxed=True, starts="2013-11-01", closed="both")
+def thanks_daily(p: Params) -> CountPlan:
     src = F.col("event_eventSource")
-    return time_boxed(t["thanks"], "ts", p.starts, p.ends, "day",
-                      metrics={k: src == v for k, v in THANKS.items()},
-                      where=F.col("event_notificationType") == "edit-thank", closed="both", empty="zero")
+    return _box(p, Part("thanks", {k: src == v for k, v in THANKS.items()}, F.col("event_notificationType") == "edit-thank",
+                        closed="both"), fill=0)
 
 
 # Fixed values: (label, event name) of the click-tracking reports.
@@ -529,40 +538,38 @@ def _key(label: str) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in label.lower()).strip("_")
 
 
-def _click_report(t: Tables, p: Params, events) -> DataFrame:
+def _clicks(p: Params, events) -> CountPlan:
     metrics = {_key(label): F.col("event_name") == name for label, name in events}
-    return time_boxed(t["click_tracking"], "ts", p.starts, p.ends, "day", metrics=metrics,
-                      closed="both", empty="null")
+    return _box(p, Part("click_tracking", metrics, closed="both"), fill=None)
 
 
 def _labels(pairs) -> dict:
     return {BUCKET: "Day", **{_key(p[0]): p[0] for p in pairs}}
 
 
-@report("ui-daily", "UI activity", labels=_labels(UI_EVENTS), timeboxed=True, starts="2014-01-01",
-        closed="both")
-def ui_daily(t: Tables, p: Params) -> DataFrame:
-    return _click_report(t, p, UI_EVENTS)
+@count_report("ui-daily", "UI activity", labels=_labels(UI_EVENTS), timeboxed=True, starts="2014-01-01",
+              closed="both")
+def ui_daily(p: Params) -> CountPlan:
+    return _clicks(p, UI_EVENTS)
 
 
-@report("watchlist-activity", "Watchlist activity", labels=_labels(WATCHLIST_EVENTS), timeboxed=True,
-        starts="2014-01-01", closed="both")
-def watchlist_activity(t: Tables, p: Params) -> DataFrame:
-    return _click_report(t, p, WATCHLIST_EVENTS)
+@count_report("watchlist-activity", "Watchlist activity", labels=_labels(WATCHLIST_EVENTS), timeboxed=True,
+              starts="2014-01-01", closed="both")
+def watchlist_activity(p: Params) -> CountPlan:
+    return _clicks(p, WATCHLIST_EVENTS)
 
 
-@report("diff-activity", "Special:MobileDiff page activity", labels=_labels(DIFF_EVENTS), timeboxed=True,
-        starts="2014-01-01", closed="both")
-def diff_activity(t: Tables, p: Params) -> DataFrame:
-    return _click_report(t, p, DIFF_EVENTS)
+@count_report("diff-activity", "Special:MobileDiff page activity", labels=_labels(DIFF_EVENTS), timeboxed=True,
+              starts="2014-01-01", closed="both")
+def diff_activity(p: Params) -> CountPlan:
+    return _clicks(p, DIFF_EVENTS)
 
 
-@report("mobile-options", "Special:MobileOptions page activity", labels=_labels(OPTIONS), timeboxed=True,
-        starts="2014-04-16", closed="both")
-def mobile_options(t: Tables, p: Params) -> DataFrame:
+@count_report("mobile-options", "Special:MobileOptions page activity", labels=_labels(OPTIONS), timeboxed=True,
+              starts="2014-04-16", closed="both")
+def mobile_options(p: Params) -> CountPlan:
     metrics = {_key(label): F.col(col) == value for label, col, value in OPTIONS}
-    return time_boxed(t["option_tracking"], "ts", p.starts, p.ends, "day", metrics=metrics,
-                      closed="both", empty="null")
+    return _box(p, Part("option_tracking", metrics, closed="both"), fill=None)
 
 
 # -------------------------------------------------------------- running ---
@@ -610,16 +617,35 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
         else:  # the shape changed: the whole range anew
             out = rep.build(tables, p)
     if labelled:
-        out = out.select(*[F.col(c).alias(rep.labels.get(c, c)) for c in out.columns])
+        out = with_labels(out, rep)
     if explain:
         out.explain("formatted")
     return out
 
 
-def run_all(tables: Tables, as_of, registered_only: bool = True, **kw) -> dict[str, DataFrame]:
-    """Every report (lazily): ``{name: DataFrame}``."""
-    return {name: run_report(tables, name, as_of, **kw) for name, rep in REPORTS.items()
-            if rep.registered or not registered_only}
+def run_all(tables: Tables, as_of, registered_only: bool = True, names=None, starts=None, ends=None,
+            n: int = RUNNING_AVERAGE, labelled: bool = False) -> dict[str, DataFrame]:
+    """Every report (or those called ``names``): ``{name: DataFrame}``.
+
+    The count reports (:data:`Report.counts`) scan each logical table once, now and for all of
+    them together (see :func:`~tidemark.plans.counts.shared_series`); the others
+    are built lazily, each by itself. ``starts`` and ``ends`` bound the time-boxed ones.
+    """
+    chosen = [REPORTS[k] for k in names] if names is not None else [
+        r for r in REPORTS.values() if r.registered or not registered_only]
+    plans = {r.name: r.counts(params_for(r, as_of, starts, ends, n)) for r in chosen if r.counts}
+    events = tables.for_source("el") if hasattr(tables, "for_source") else tables
+    shared = shared_series(events, plans) if plans else {}
+    out = {}
+    for r in chosen:
+        df = shared[r.name] if r.counts else run_report(tables, r.name, as_of, starts=starts, ends=ends, n=n)
+        out[r.name] = with_labels(df, r) if labelled else df
+    return out
+
+
+def with_labels(df: DataFrame, rep: Report) -> DataFrame:
+    """``df`` with the report's original headers."""
+    return df.select(*[F.col(c).alias(rep.labels.get(c, c)) for c in df.columns])
 
 
 def run_sql_report(spark, tables: Tables, sql: str, args: Mapping | None = None,

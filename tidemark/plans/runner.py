@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import to_date_value
 from ..operators.series import append_history, read_history, read_series, write_series
-from ..operators.timebox import due_reports
+from ..operators.timebox import due_reports, first_open_bucket, incremental_refresh
+from .counts import shared_series
 from .reports import REPORTS, params_for, run_report
 
 # Complete versions that stay beside the newest one.
@@ -51,6 +54,42 @@ def stored_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
+def _stored(spark: SparkSession, tables, name: str, series_root: str, as_of, force: bool, starts, ends) -> DataFrame | None:
+    """The newest complete version of a time-boxed report, if its header is the report's own (or ``force``)."""
+    rep = REPORTS[name]
+    versions = _versions(spark, series_root)
+    if not rep.timeboxed or not versions:
+        return None
+    path = f"{series_root}/v={versions[-1]}"
+    # The schema of one bucket's plan; only a plan, nothing runs.
+    last = params_for(rep, as_of, starts, ends).ends
+    schema = run_report(tables, name, as_of, starts=last, ends=ends).schema
+    if force or stored_columns(spark, path) == [rep.labels.get(c, c) for c in schema.names]:
+        return read_series(spark, path, schema)
+    return None
+
+
+def _write_next(spark: SparkSession, out: DataFrame, name: str, series_root: str) -> str:
+    """Write the next version and remove those that are done with: complete ones older
+    than the last two, and ones that a lost run left incomplete before the newest complete one."""
+    every, complete = _versions(spark, series_root, complete=False), _versions(spark, series_root)
+    target = f"{series_root}/v={(every[-1] if every else 0) + 1}"
+    write_series(out, target, fmt="csv", labels=REPORTS[name].labels, replace=False)
+    lost = [v for v in every if complete and v < complete[-1] and v not in complete]
+    for v in complete[:-KEPT_VERSIONS] + lost:
+        _remove_version(spark, f"{series_root}/v={v}")
+    return target
+
+
+def _record(spark: SparkSession, names: list[str], history: str | None, now: _dt.datetime | None) -> None:
+    if not history:
+        return
+    when = (now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S")
+    # The same literal as in the due test, so neither depends on the process's zone.
+    runs = spark.createDataFrame([(name, when) for name in names], "report string, last_run string")
+    append_history(runs.withColumn("last_run", F.col("last_run").cast("timestamp")), history)
+
+
 def refresh_report(spark: SparkSession, tables, name: str, root: str, as_of,
                    cutoff=None, force: bool = False, now: _dt.datetime | None = None,
                    history: str | None = None, starts=None, ends=None) -> str:
@@ -61,33 +100,64 @@ def refresh_report(spark: SparkSession, tables, name: str, root: str, as_of,
     is not the report's own the series is rebuilt (unless ``force``). Other
     reports are recomputed whole. The run is appended to ``history`` when
     given. A version that exists already, even an incomplete one, is never
-    written again; older complete versions than the last two are removed.
+    written again; older complete versions than the last two, and incomplete ones
+    before the newest complete one, are removed.
     """
-    rep = REPORTS[name]
     series_root = f"{root.rstrip('/')}/{name}"
-    versions = _versions(spark, series_root)
-    every = _versions(spark, series_root, complete=False)
-    stored = None
-    if rep.timeboxed and versions:
-        path = f"{series_root}/v={versions[-1]}"
-        # The schema of one bucket's plan; only a plan, nothing runs.
-        last = params_for(rep, as_of, starts, ends).ends
-        schema = run_report(tables, name, as_of, starts=last, ends=ends).schema
-        if force or stored_columns(spark, path) == [rep.labels.get(c, c) for c in schema.names]:
-            stored = read_series(spark, path, schema)
+    stored = _stored(spark, tables, name, series_root, as_of, force, starts, ends)
     out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=stored, cutoff=cutoff, force=force)
-    target = f"{series_root}/v={(every[-1] if every else 0) + 1}"
-    write_series(out, target, fmt="csv", labels=rep.labels, replace=False)
-    for v in versions[:-KEPT_VERSIONS]:
-        _remove_version(spark, f"{series_root}/v={v}")
-    if history:
-        when = (now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S")
-        # The same literal as in the due test, so neither depends on the process's zone.
-        run = spark.createDataFrame([(name, when)], "report string, last_run string")
-        append_history(run.withColumn("last_run", F.col("last_run").cast("timestamp")), history)
+    target = _write_next(spark, out, name, series_root)
+    _record(spark, [name], history, now)
     return target
 
 
+def refresh_all(spark: SparkSession, tables, root: str, as_of, names: list[str] | None = None, cutoff=None,
+                force: bool = False, now: _dt.datetime | None = None, history: str | None = None,
+                starts=None, ends=None) -> dict[str, str]:
+    """Refresh many reports (``names``; default: the registered ones that ``history`` says
+    are due, all without one): ``{name: path written}``.
+
+    The same series as one :func:`refresh_report` after another, but the count reports read each
+    logical table once for all of them, from the earliest bucket that any of them
+    has to recompute on. Each series is a version of its own: a run that is lost in between
+    leaves the others complete, and the history names only what was written.
+    """
+    if names is None:
+        if history:
+            names = [r["report"] for r in due_now(spark, history, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), force)
+                     .where("due").select("report").collect()]  # names of the catalogue, no data
+        else:
+            names = [r.name for r in REPORTS.values() if r.registered]
+    root = root.rstrip("/")
+    held = {name: _stored(spark, tables, name, f"{root}/{name}", as_of, force, starts, ends) for name in names}
+    plans, params = {}, {}
+    for name in names:
+        rep = REPORTS[name]
+        if rep.counts:
+            params[name] = p = params_for(rep, as_of, starts, ends)
+            if held[name] is not None:
+                p = replace(p, starts=first_open_bucket(held[name], p.starts, p.ends, _cutoff(p, cutoff), rep.grain))
+            plans[name] = rep.counts(p)
+    events = tables.for_source("el") if hasattr(tables, "for_source") else tables
+    shared = shared_series(events, plans) if plans else {}
+    written = {}
+    for name in names:
+        if name not in shared:
+            out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=held[name], cutoff=cutoff, force=force)
+        elif held[name] is None:
+            out = shared[name]
+        else:
+            p = params[name]
+            out = incremental_refresh(held[name], shared[name], _cutoff(p, cutoff), p.starts, p.ends, REPORTS[name].grain)
+        written[name] = _write_next(spark, out, name, f"{root}/{name}")
+        _record(spark, [name], history, now)
+    return written
+
+
+def _cutoff(p, cutoff) -> _dt.date:
+    return to_date_value(cutoff) if cutoff else p.as_of.replace(day=1)
+
+
 def due_now(spark: SparkSession, history: str, now: _dt.datetime, force: bool = False) -> DataFrame:
     """Registered reports that are due at ``now`` (see :func:`due_reports`)."""
     registry = spark.createDataFrame([(r.name, r.frequency) for r in REPORTS.values() if r.registered],
