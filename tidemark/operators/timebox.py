@@ -25,6 +25,7 @@ from ..functions.time import (
     time_type,
 )
 from .buckets import BUCKET, _bucket_value, _shift, densify, spine_between
+from .changes import days_of_buckets, in_days
 
 EMPTY_POLICIES = ("zero", "null", "omit")
 
@@ -173,12 +174,14 @@ def refresh_series(stored: DataFrame, df: DataFrame, ts: str, starts, ends, cuto
                    grain: str = "day", metrics: Mapping[str, Column] | None = None,
                    aggs: Mapping[str, Column] | None = None, closed: str = "left",
                    empty: str = "omit", where: Column | None = None) -> DataFrame:
-    """Incremental refresh that aggregates only missing or open buckets, and
-    reads only from the first of them on (a literal bound of the scan)."""
+    """Incremental refresh that aggregates only missing or open buckets, and reads only
+    their days: a list of day partitions, or ranges of the time column
+    (literals of the scan). One value for each of these buckets comes to the driver."""
     todo = buckets_to_refresh(stored, starts, ends, cutoff, grain)
-    first = first_open_bucket(stored, starts, ends, cutoff, grain)
-    fresh = time_boxed(df, ts, first, ends, grain, metrics, aggs, closed, empty, where,
-                       only_buckets=todo)
+    buckets = sorted(r[0] for r in todo.collect())
+    near = in_days(df, ts, days_of_buckets(buckets, grain, closed))
+    first = buckets[0] if buckets else ends
+    fresh = time_boxed(near, ts, first, ends, grain, metrics, aggs, closed, empty, where, only_buckets=todo)
     return incremental_refresh(stored, fresh, cutoff, starts, ends, grain)
 
 

@@ -27,6 +27,7 @@ from ..operators.buckets import (
     spine_between,
     spine_bounds,
 )
+from ..operators.changes import days_of_buckets, in_days
 from ..operators.cohorts import cohort_event_count, rolling_active_cohort, rolling_ratio, threshold_groups
 from ..operators.matching import (
     category_counts,
@@ -35,7 +36,7 @@ from ..operators.matching import (
     retention_summary,
     source_reconciliation,
 )
-from ..operators.timebox import first_open_bucket, has_drift, incremental_refresh
+from ..operators.timebox import buckets_to_refresh, first_open_bucket, has_drift, incremental_refresh
 from .counts import CountPlan, Part, run_counts, shared_series
 
 Tables = Mapping[str, DataFrame]
@@ -592,8 +593,8 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
 
     For a time-boxed report with a ``stored`` series, buckets stored and
     closed before ``cutoff`` (default: the first of ``as_of``'s month) are
-    kept and the rest recomputed, reading from the first of those on (rolling
-    reports widen that by their window); if the stored series has another
+    kept and the rest recomputed: count reports read the days of those buckets alone,
+    others from the first of them on (rolling reports widen that by their window); if the stored series has another
     shape it is rebuilt whole unless ``force``. ``labelled`` renames columns to the
     original headers. ``tables`` may be a plain mapping or a
     :class:`~tidemark.sources.logical.LogicalCatalog`, in which case the
@@ -610,8 +611,12 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
         out = rep.build(tables, p)
     else:
         cut = to_date_value(cutoff) if cutoff else p.as_of.replace(day=1)
-        first = first_open_bucket(stored, p.starts, p.ends, cut, rep.grain)
-        fresh = rep.build(tables, replace(p, starts=first))
+        if rep.counts:  # a bucket's rows are those of its days: only these are read
+            todo = buckets_to_refresh(stored, p.starts, p.ends, cut, rep.grain)
+            days = days_of_buckets([r[0] for r in todo.collect()], rep.grain, rep.closed)
+            fresh = rep.build({part.table: in_days(tables[part.table], "ts", days) for part in rep.counts(p).parts}, p)
+        else:
+            fresh = rep.build(tables, replace(p, starts=first_open_bucket(stored, p.starts, p.ends, cut, rep.grain)))
         if not has_drift(stored, fresh) or force:
             out = incremental_refresh(stored, fresh, cut, p.starts, p.ends, rep.grain)
         else:  # the shape changed: the whole range anew

@@ -11,14 +11,18 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import to_date_value
+from ..operators.buckets import BUCKET
+from ..operators.changes import MANIFEST_SCHEMA, days_of_buckets, in_days, look, touched_buckets
 from ..operators.series import append_history, read_history, read_series, write_series
-from ..operators.timebox import due_reports, first_open_bucket, incremental_refresh
+from ..operators.timebox import buckets_to_refresh, due_reports, first_open_bucket, incremental_refresh
 from .counts import shared_series
 from .reports import REPORTS, params_for, run_report
 
@@ -69,15 +73,16 @@ def _stored(spark: SparkSession, tables, name: str, series_root: str, as_of, for
     return None
 
 
-def _write_next(spark: SparkSession, out: DataFrame, name: str, series_root: str) -> str:
-    """Write the next version and remove those that are done with: complete ones older
-    than the last two, and ones that a lost run left incomplete before the newest complete one."""
+def _write_next(spark: SparkSession, out: DataFrame, name: str, series_root: str, version: int | None = None) -> str:
+    """Write the next version and remove those that are done with, with their manifests: complete
+    ones older than the last two, and ones that a lost run left incomplete before the newest complete one."""
     every, complete = _versions(spark, series_root, complete=False), _versions(spark, series_root)
-    target = f"{series_root}/v={(every[-1] if every else 0) + 1}"
+    target = f"{series_root}/v={version or _next_version(spark, series_root)}"
     write_series(out, target, fmt="csv", labels=REPORTS[name].labels, replace=False)
     lost = [v for v in every if complete and v < complete[-1] and v not in complete]
     for v in complete[:-KEPT_VERSIONS] + lost:
         _remove_version(spark, f"{series_root}/v={v}")
+        _remove_version(spark, f"{series_root}/m={v}")
     return target
 
 
@@ -154,6 +159,64 @@ def refresh_all(spark: SparkSession, tables, root: str, as_of, names: list[str]
     return written
 
 
+def refresh_changed(spark: SparkSession, tables, sources: Mapping[str, Sequence[str]], name: str, root: str, as_of,
+                    cutoff=None, force: bool = False, now: _dt.datetime | None = None, history: str | None = None,
+                    starts=None, ends=None) -> str:
+    """Refresh a time-boxed count report from the days that changed alone.
+
+    ``sources``: logical table -> the folders of its versions, partitioned by day.
+    Beside each version of the series lies the manifest (see
+    :mod:`~tidemark.operators.changes`) of the tables it was computed from. Aggregated again
+    are the buckets that are missing or open (as in :func:`refresh_report`) and those
+    that a changed day counts in, however early; the tables are read by the
+    list of these buckets' day partitions. Without a stored series, or one of another shape, all is read.
+    The manifest is taken before the rows are: what changes meanwhile differs from it next time.
+    """
+    rep = REPORTS[name]
+    if not (rep.counts and rep.timeboxed):
+        raise ValueError(f"{name!r} is not a time-boxed count report")
+    series_root = f"{root.rstrip('/')}/{name}"
+    p = params_for(rep, as_of, starts, ends)
+    used = sorted({part.table for part in rep.counts(p).parts})
+    versions = _versions(spark, series_root)
+    held = _stored(spark, tables, name, series_root, as_of, force, starts, ends)
+    old = None
+    if held is not None and _exists(spark, f"{series_root}/m={versions[-1]}/_SUCCESS"):
+        old = spark.read.schema(f"source string, {MANIFEST_SCHEMA}").parquet(f"{series_root}/m={versions[-1]}")
+    manifests, changed = [], set()
+    for table in used:
+        mine = None if old is None else old.where(F.col("source") == table).drop("source")
+        found, days = look(tables[table], sources[table], mine)
+        manifests.append(found.select(F.lit(table).alias("source"), "*"))
+        changed.update(days)
+    target = _next_version(spark, series_root)
+    reduce(DataFrame.unionByName, manifests).coalesce(1).write.mode("overwrite").parquet(f"{series_root}/m={target}")
+    if old is None:
+        out = run_report(tables, name, as_of, starts=starts, ends=ends)
+    else:
+        todo = buckets_to_refresh(held, p.starts, p.ends, _cutoff(p, cutoff), rep.grain).select(BUCKET).unionAll(
+            touched_buckets(spark, changed, rep.grain, rep.closed)).distinct()
+        # as many values as the range has buckets, at most
+        todo = sorted(r[0] for r in todo.where(F.col(BUCKET).between(F.lit(p.starts), F.lit(p.ends))).collect())
+        days = days_of_buckets(todo, rep.grain, rep.closed)
+        fresh = rep.build({t: in_days(tables[t], "ts", days) for t in used}, p).where(F.col(BUCKET).isin(todo))
+        kept = held.where(~F.col(BUCKET).isin(todo)) if todo else held
+        out = kept.unionByName(fresh.select(*held.columns))
+    written = _write_next(spark, out, name, series_root, target)
+    _record(spark, [name], history, now)
+    return written
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def _next_version(spark: SparkSession, series_root: str) -> int:
+    every = _versions(spark, series_root, complete=False)
+    return (every[-1] if every else 0) + 1
+
+
 def _cutoff(p, cutoff) -> _dt.date:
     return to_date_value(cutoff) if cutoff else p.as_of.replace(day=1)
 
