@@ -110,15 +110,19 @@ class LogicalCatalog(Mapping):
     versions come from ``event_source`` (default ``el``) and wiki tables from
     ``wiki_source``. A table that cannot be read raises, unless its name is in
     ``may_be_absent`` (versions that this deployment does not have), so no rows
-    go missing unnoticed. With ``materialize=True`` each distinct union over
+    go missing unnoticed. With ``conf['discover']`` the versions are not the fixed
+    list but all that the source has under the same names with other revisions, and columns
+    whose types differ take a wider one (see :mod:`~tidemark.sources.discovery`). ``days``
+    (first, last) makes partitioned reads of JDBC event tables: one range of the time text for
+    each ``conf['jdbc_days']`` days (default 1). With ``materialize=True`` each distinct union over
     versions is written once to the shared folder, partitioned by day where the
     versions are, and read back, so reports sharing it do not repeat its shuffle
     (and the lineage is cut at a durable table).
     """
 
     def __init__(self, spark, conf: Mapping, event_source: str = "el", wiki_source: str = "commons",
-                 materialize: bool = False, may_be_absent: Collection[str] = ()):
-        self.spark, self.conf = spark, conf
+                 materialize: bool = False, may_be_absent: Collection[str] = (), days: tuple | None = None):
+        self.spark, self.conf, self.days = spark, conf, days
         self.may_be_absent = frozenset(may_be_absent)
         # ``conf['day_partition']``: day-partition column of partitioned tables.
         self.day_partition = conf.get("day_partition")
@@ -129,15 +133,18 @@ class LogicalCatalog(Mapping):
     def for_source(self, wiki_source: str) -> "LogicalCatalog":
         if wiki_source in ("el", self.wiki_source):
             return self
-        other = LogicalCatalog(self.spark, self.conf, self.event_source, wiki_source, self.materialize, self.may_be_absent)
+        other = LogicalCatalog(self.spark, self.conf, self.event_source, wiki_source, self.materialize, self.may_be_absent, self.days)
         other._cache = {k: v for k, v in self._cache.items() if k in VERSIONS}
         return other
 
     def _read(self, source: str, table: str) -> DataFrame | None:
         from pyspark.errors import AnalysisException
-        from .tables import load_source
+        from .tables import load_source, time_predicates
+        ranges = None
+        if self.days and self.conf["sources"].get(source, {}).get("format") == "jdbc" and table not in WIKI_TIMES:
+            ranges = time_predicates("timestamp", *self.days, days=self.conf.get("jdbc_days", 1))
         try:
-            return load_source(self.spark, self.conf, source, table)
+            return load_source(self.spark, self.conf, source, table, predicates=ranges)
         except AnalysisException:
             if table not in self.may_be_absent:
                 raise
@@ -147,7 +154,9 @@ class LogicalCatalog(Mapping):
         if name in self._cache:
             return self._cache[name]
         if name in VERSIONS:
-            raw = {v: df for v in VERSIONS[name] if (df := self._read(self.event_source, v)) is not None}
+            raw = {v: df for v in self.versions(name) if (df := self._read(self.event_source, v)) is not None}
+            if self.conf.get("discover") and len(raw) > 1:
+                raw = {VERSIONS[name][0]: self._unified(name, raw)}
         elif name in WIKI_TIMES:
             df = self._read(self.wiki_source, name)
             raw = {name: df} if df is not None else {}
@@ -164,6 +173,21 @@ class LogicalCatalog(Mapping):
         self._cache[name] = logical_tables(raw, day_partition=self.day_partition)[name]
         return self._cache[name]
 
+    def versions(self, name: str) -> list[str]:
+        """Raw tables of a logical event table, oldest first."""
+        if not self.conf.get("discover"):
+            return VERSIONS[name]
+        from .discovery import find_versions, tables_in
+        base = VERSIONS[name][0].rsplit("_", 1)[0]
+        return find_versions(tables_in(self.spark, self.conf, self.event_source), base)
+
+    def _unified(self, name: str, raw: Mapping[str, DataFrame]) -> DataFrame:
+        from .discovery import unify_wider
+        cols = PROJECTIONS.get(name)
+        if cols is not None and self.day_partition and all(self.day_partition in df.columns for df in raw.values()):
+            cols = [*cols, self.day_partition]
+        return unify_wider(raw, columns=cols, fill=FILLS.get(name), dedup=DISTINCT.get(name, False))
+
     def _durable(self, name: str, df: DataFrame) -> DataFrame:
         from ..session import scratch_dir
         path = scratch_dir(self.spark, f"table-{name}")
