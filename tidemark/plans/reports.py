@@ -588,7 +588,8 @@ def params_for(rep: Report, as_of, starts=None, ends=None, n: int = RUNNING_AVER
 
 def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
                stored: DataFrame | None = None, cutoff=None, force: bool = False,
-               labelled: bool = False, n: int = RUNNING_AVERAGE, explain: bool = False) -> DataFrame:
+               labelled: bool = False, n: int = RUNNING_AVERAGE, explain: bool = False,
+               registry: Mapping[str, Report] | None = None) -> DataFrame:
     """Build one report.
 
     For a time-boxed report with a ``stored`` series, buckets stored and
@@ -599,11 +600,13 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
     original headers. ``tables`` may be a plain mapping or a
     :class:`~tidemark.sources.logical.LogicalCatalog`, in which case the
     report's own source supplies the wiki tables. ``explain`` prints the
-    formatted physical plan.
+    formatted physical plan. ``registry``: the reports to choose from (default: the catalogue;
+    see :mod:`tidemark.plans.files`).
     """
-    if name not in REPORTS:
+    registry = REPORTS if registry is None else registry
+    if name not in registry:
         raise ValueError(f"Can not find report {name!r}")
-    rep = REPORTS[name]
+    rep = registry[name]
     if hasattr(tables, "for_source"):
         tables = tables.for_source(rep.source)
     p = params_for(rep, as_of, starts, ends, n)
@@ -629,21 +632,23 @@ def run_report(tables: Tables, name: str, as_of, starts=None, ends=None,
 
 
 def run_all(tables: Tables, as_of, registered_only: bool = True, names=None, starts=None, ends=None,
-            n: int = RUNNING_AVERAGE, labelled: bool = False) -> dict[str, DataFrame]:
+            n: int = RUNNING_AVERAGE, labelled: bool = False,
+            registry: Mapping[str, Report] | None = None) -> dict[str, DataFrame]:
     """Every report (or those called ``names``): ``{name: DataFrame}``.
 
     The count reports (:data:`Report.counts`) scan each logical table once, now and for all of
     them together (see :func:`~tidemark.plans.counts.shared_series`); the others
     are built lazily, each by itself. ``starts`` and ``ends`` bound the time-boxed ones.
     """
-    chosen = [REPORTS[k] for k in names] if names is not None else [
-        r for r in REPORTS.values() if r.registered or not registered_only]
+    registry = REPORTS if registry is None else registry
+    chosen = [registry[k] for k in names] if names is not None else [
+        r for r in registry.values() if r.registered or not registered_only]
     plans = {r.name: r.counts(params_for(r, as_of, starts, ends, n)) for r in chosen if r.counts}
     events = tables.for_source("el") if hasattr(tables, "for_source") else tables
     shared = shared_series(events, plans) if plans else {}
     out = {}
     for r in chosen:
-        df = shared[r.name] if r.counts else run_report(tables, r.name, as_of, starts=starts, ends=ends, n=n)
+        df = shared[r.name] if r.counts else run_report(tables, r.name, as_of, starts=starts, ends=ends, n=n, registry=registry)
         out[r.name] = with_labels(df, r) if labelled else df
     return out
 

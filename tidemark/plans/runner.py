@@ -24,7 +24,7 @@ from ..operators.changes import MANIFEST_SCHEMA, days_of_buckets, in_days, look,
 from ..operators.series import append_history, read_history, read_series, write_series
 from ..operators.timebox import buckets_to_refresh, due_reports, first_open_bucket, incremental_refresh
 from .counts import shared_series
-from .reports import REPORTS, params_for, run_report
+from .reports import REPORTS, Report, params_for, run_report
 
 # Complete versions that stay beside the newest one.
 KEPT_VERSIONS = 1
@@ -58,27 +58,28 @@ def stored_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
-def _stored(spark: SparkSession, tables, name: str, series_root: str, as_of, force: bool, starts, ends) -> DataFrame | None:
+def _stored(spark: SparkSession, tables, name: str, series_root: str, as_of, force: bool, starts, ends,
+            registry: Mapping[str, Report]) -> DataFrame | None:
     """The newest complete version of a time-boxed report, if its header is the report's own (or ``force``)."""
-    rep = REPORTS[name]
+    rep = registry[name]
     versions = _versions(spark, series_root)
     if not rep.timeboxed or not versions:
         return None
     path = f"{series_root}/v={versions[-1]}"
     # The schema of one bucket's plan; only a plan, nothing runs.
     last = params_for(rep, as_of, starts, ends).ends
-    schema = run_report(tables, name, as_of, starts=last, ends=ends).schema
+    schema = run_report(tables, name, as_of, starts=last, ends=ends, registry=registry).schema
     if force or stored_columns(spark, path) == [rep.labels.get(c, c) for c in schema.names]:
         return read_series(spark, path, schema)
     return None
 
 
-def _write_next(spark: SparkSession, out: DataFrame, name: str, series_root: str, version: int | None = None) -> str:
+def _write_next(spark: SparkSession, out: DataFrame, rep: Report, series_root: str, version: int | None = None) -> str:
     """Write the next version and remove those that are done with, with their manifests: complete
     ones older than the last two, and ones that a lost run left incomplete before the newest complete one."""
     every, complete = _versions(spark, series_root, complete=False), _versions(spark, series_root)
     target = f"{series_root}/v={version or _next_version(spark, series_root)}"
-    write_series(out, target, fmt="csv", labels=REPORTS[name].labels, replace=False)
+    write_series(out, target, fmt="csv", labels=rep.labels, replace=False)
     lost = [v for v in every if complete and v < complete[-1] and v not in complete]
     for v in complete[:-KEPT_VERSIONS] + lost:
         _remove_version(spark, f"{series_root}/v={v}")
@@ -97,7 +98,8 @@ def _record(spark: SparkSession, names: list[str], history: str | None, now: _dt
 
 def refresh_report(spark: SparkSession, tables, name: str, root: str, as_of,
                    cutoff=None, force: bool = False, now: _dt.datetime | None = None,
-                   history: str | None = None, starts=None, ends=None) -> str:
+                   history: str | None = None, starts=None, ends=None,
+                   registry: Mapping[str, Report] = REPORTS) -> str:
     """Refresh one report's stored series and return the path written.
 
     A time-boxed report keeps its closed stored buckets and recomputes the
@@ -109,16 +111,16 @@ def refresh_report(spark: SparkSession, tables, name: str, root: str, as_of,
     before the newest complete one, are removed.
     """
     series_root = f"{root.rstrip('/')}/{name}"
-    stored = _stored(spark, tables, name, series_root, as_of, force, starts, ends)
-    out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=stored, cutoff=cutoff, force=force)
-    target = _write_next(spark, out, name, series_root)
+    stored = _stored(spark, tables, name, series_root, as_of, force, starts, ends, registry)
+    out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=stored, cutoff=cutoff, force=force, registry=registry)
+    target = _write_next(spark, out, registry[name], series_root)
     _record(spark, [name], history, now)
     return target
 
 
 def refresh_all(spark: SparkSession, tables, root: str, as_of, names: list[str] | None = None, cutoff=None,
                 force: bool = False, now: _dt.datetime | None = None, history: str | None = None,
-                starts=None, ends=None) -> dict[str, str]:
+                starts=None, ends=None, registry: Mapping[str, Report] = REPORTS) -> dict[str, str]:
     """Refresh many reports (``names``; default: the registered ones that ``history`` says
     are due, all without one): ``{name: path written}``.
 
@@ -129,15 +131,15 @@ def refresh_all(spark: SparkSession, tables, root: str, as_of, names: list[str]
     """
     if names is None:
         if history:
-            names = [r["report"] for r in due_now(spark, history, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), force)
+            names = [r["report"] for r in due_now(spark, history, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), force, registry)
                      .where("due").select("report").collect()]  # names of the catalogue, no data
         else:
-            names = [r.name for r in REPORTS.values() if r.registered]
+            names = [r.name for r in registry.values() if r.registered]
     root = root.rstrip("/")
-    held = {name: _stored(spark, tables, name, f"{root}/{name}", as_of, force, starts, ends) for name in names}
+    held = {name: _stored(spark, tables, name, f"{root}/{name}", as_of, force, starts, ends, registry) for name in names}
     plans, params = {}, {}
     for name in names:
-        rep = REPORTS[name]
+        rep = registry[name]
         if rep.counts:
             params[name] = p = params_for(rep, as_of, starts, ends)
             if held[name] is not None:
@@ -148,13 +150,13 @@ def refresh_all(spark: SparkSession, tables, root: str, as_of, names: list[str]
     written = {}
     for name in names:
         if name not in shared:
-            out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=held[name], cutoff=cutoff, force=force)
+            out = run_report(tables, name, as_of, starts=starts, ends=ends, stored=held[name], cutoff=cutoff, force=force, registry=registry)
         elif held[name] is None:
             out = shared[name]
         else:
             p = params[name]
-            out = incremental_refresh(held[name], shared[name], _cutoff(p, cutoff), p.starts, p.ends, REPORTS[name].grain)
-        written[name] = _write_next(spark, out, name, f"{root}/{name}")
+            out = incremental_refresh(held[name], shared[name], _cutoff(p, cutoff), p.starts, p.ends, registry[name].grain)
+        written[name] = _write_next(spark, out, registry[name], f"{root}/{name}")
         _record(spark, [name], history, now)
     return written
 
@@ -179,7 +181,7 @@ def refresh_changed(spark: SparkSession, tables, sources: Mapping[str, Sequence[
     p = params_for(rep, as_of, starts, ends)
     used = sorted({part.table for part in rep.counts(p).parts})
     versions = _versions(spark, series_root)
-    held = _stored(spark, tables, name, series_root, as_of, force, starts, ends)
+    held = _stored(spark, tables, name, series_root, as_of, force, starts, ends, REPORTS)
     old = None
     if held is not None and _exists(spark, f"{series_root}/m={versions[-1]}/_SUCCESS"):
         old = spark.read.schema(f"source string, {MANIFEST_SCHEMA}").parquet(f"{series_root}/m={versions[-1]}")
@@ -202,7 +204,7 @@ def refresh_changed(spark: SparkSession, tables, sources: Mapping[str, Sequence[
         fresh = rep.build({t: in_days(tables[t], "ts", days) for t in used}, p).where(F.col(BUCKET).isin(todo))
         kept = held.where(~F.col(BUCKET).isin(todo)) if todo else held
         out = kept.unionByName(fresh.select(*held.columns))
-    written = _write_next(spark, out, name, series_root, target)
+    written = _write_next(spark, out, rep, series_root, target)
     _record(spark, [name], history, now)
     return written
 
@@ -221,8 +223,9 @@ def _cutoff(p, cutoff) -> _dt.date:
     return to_date_value(cutoff) if cutoff else p.as_of.replace(day=1)
 
 
-def due_now(spark: SparkSession, history: str, now: _dt.datetime, force: bool = False) -> DataFrame:
+def due_now(spark: SparkSession, history: str, now: _dt.datetime, force: bool = False,
+            registry: Mapping[str, Report] = REPORTS) -> DataFrame:
     """Registered reports that are due at ``now`` (see :func:`due_reports`)."""
-    registry = spark.createDataFrame([(r.name, r.frequency) for r in REPORTS.values() if r.registered],
-                                     "report string, frequency string")
-    return due_reports(registry, read_history(spark, history), now, force)
+    known = spark.createDataFrame([(r.name, r.frequency) for r in registry.values() if r.registered],
+                                  "report string, frequency string")
+    return due_reports(known, read_history(spark, history), now, force)
