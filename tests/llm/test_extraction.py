@@ -33,7 +33,7 @@ def test_left_out_layouts():
     sample = pd.read_parquet(f"{SF}/pages.parquet").html.head(30).tolist()
     for k, page in enumerate(PAGES):
         model = extraction.train([*(PAGES[:k] + PAGES[k + 1:]) * 2, *sample], rounds=40)
-        nodes = extraction.tree(page)
+        nodes = extraction.tree(page, marks=True)
         for n, y, p in zip(nodes, extraction.labelled(nodes), extraction.marginals(nodes, model)):
             if n.tag == "#text":
                 right += (p > 0.5) == y
@@ -98,3 +98,57 @@ def test_copies_of_a_page_are_one_training_page(spark, monkeypatch):
     extraction.fit(df, sample=40)
     own = seen[2 * len(PAGES):]
     assert len(own) == len(set(own)) == 31
+
+
+@pytest.mark.parametrize("value", ["chart", "1", "", "0.5", None])
+def test_crawled_pages_do_not_label_themselves(spark, value):
+    mark = "data-y" if value is None else f'data-y="{value}"'
+    html = f"<html><body><nav {mark}><a href=/>Home</a></nav><article><p>A sentence that is read.</p></article></body></html>"
+    assert {n.mark for n in extraction.tree(html)} == {None}
+    assert extraction.labelled(extraction.tree(html)) == extraction.labelled(extraction.tree(html.replace(mark, "")))
+    model = extraction.fit(spark.createDataFrame([(html,)], "html string"))
+    assert extraction.extract(html, model) == "A sentence that is read."
+
+
+@pytest.mark.parametrize("element", ["script", "style", "title", "textarea", "iframe", "noscript"])
+def test_a_slash_does_not_close_elements_of_text(element):
+    nodes = extraction.tree(f"<body><p>Before.</p><{element} src='x' />alert(1) is <b>not</b> read</{element}><p>After.</p></body>")
+    assert [n.text for n in nodes if n.tag == "#text"] == ["Before.", "After."]
+
+
+@pytest.mark.parametrize("markup", ["<svg/>", "<svg><path d='x'/><style/><title/></svg>", "<canvas/>", "<br/>", "<img src=x />", "<object/>", "<div/>"])
+def test_text_after_a_slash_is_read(markup):
+    nodes = extraction.tree(f"<body><p>Before.</p>{markup}<p>After.</p></body>")
+    assert [n.text for n in nodes if n.tag == "#text"] == ["Before.", "After."]
+
+
+@pytest.mark.parametrize("opening", ["<div class=x>", "<b>", "<div><p>text", "<li>", "<section><ul><li>", "<table><tr><td>", "<a href=x>word "])
+def test_deep_pages_take_linear_time(model, opening):
+    import time
+    begun = time.process_time()
+    page = "<body>" + opening * 100_000 + "The end of it.</x></y>" * 3
+    assert "The end of it." in " ".join(n.text for n in extraction.tree(page))
+    extraction.extract(page, model)
+    assert time.process_time() - begun < 60
+
+
+def test_nearest_names_and_landmark_match_a_walk():
+    import random
+    rnd = random.Random(1)
+    for _ in range(60):
+        page = "".join(rnd.choice(["<div>", "<div class=menu>", "<nav>", "<article id=a>", "<main>", "</div>", "</nav>", "</article>", "text ", "<p>"])
+                       for _ in range(60))
+        nodes = extraction.tree(page)
+        for n in nodes:
+            if n.tag != "#text":
+                continue
+            want, up, named = [], nodes[n.parent], False
+            while up.parent >= 0:
+                if up.hints and not named:
+                    named = True
+                    want += [f"below name {h}" for h in up.hints]
+                if up.tag in extraction.CONTENT_MARKS or up.tag in extraction.OTHER_MARKS:
+                    want.append(f"below {up.tag}")
+                    break
+                up = nodes[up.parent]
+            assert [f for f in extraction.features(n, nodes) if f.startswith("below")] == want

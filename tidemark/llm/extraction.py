@@ -28,6 +28,7 @@ CUT = 0.5
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head script style noscript template title textarea select option iframe object svg canvas".split())
 RAW = frozenset("noframes noembed xmp".split())
+TEXT_ONLY = frozenset("script style title textarea iframe noscript".split())
 IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
@@ -40,6 +41,35 @@ CONTENT_MARKS = frozenset("article main".split())
 OTHER_MARKS = frozenset("nav aside footer form header".split())
 
 
+class Stack:
+    """Names of open elements; whether one is open takes no search."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.times: Counter = Counter()
+
+    def push(self, name: str) -> None:
+        self.names.append(name)
+        self.times[name] += 1
+
+    def cut(self, name: str) -> bool:
+        """Close the last ``name`` and what is open in it; False if none is open."""
+        if not self.times[name]:
+            return False
+        while self.pop() != name:
+            pass
+        return True
+
+    def pop(self) -> str:
+        name = self.names.pop()
+        self.times[name] -= 1
+        return name
+
+    def clear(self) -> None:
+        self.names.clear()
+        self.times.clear()
+
+
 @dataclass
 class Node:
     """An element, or (``tag`` = ``#text``) one block of running text."""
@@ -52,18 +82,24 @@ class Node:
     chars: int = 0
     link_chars: int = 0
     content_chars: int = 0
+    named: int = -1  # the nearest element with names, itself included, up to the landmark
+    landmark: int = -1  # the nearest landmark, itself included
 
 
 class Tree(HTMLParser):
-    """The elements and text blocks of a page in page order; parents come first."""
+    """The elements and text blocks of a page in page order; parents come first.
 
-    def __init__(self) -> None:
+    ``marks``: whether ``data-y`` is read, for hand-labelled pages only.
+    """
+
+    def __init__(self, marks: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.marks = marks
         self.nodes = [Node("#root", -1)]
         self.open = [0]
-        self.inline: list[str] = []
-        self.unseen: list[str] = []
-        self.passed: list[str] = []  # open elements below those
+        self.tags: Counter = Counter()  # of the open elements
+        self.inline, self.unseen = Stack(), Stack()
+        self.passed = Stack()  # open elements below unseen ones
         self.run: list[str] = []
         self.run_linked = 0
 
@@ -79,10 +115,13 @@ class Tree(HTMLParser):
 
     def pop_to(self, tag: str, within: Iterable[str] = ()) -> None:
         """Close the nearest open ``tag``, unless an element of ``within`` is nearer."""
+        if not self.tags[tag]:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             name = self.nodes[self.open[depth]].tag
             if name == tag:
                 self.end_run()
+                self.tags.subtract(self.nodes[i].tag for i in self.open[depth:])
                 del self.open[depth:]
                 self.inline.clear()
                 return
@@ -90,25 +129,25 @@ class Tree(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
-        if self.unseen:
-            if tag == "body" or (self.unseen == ["head"] and tag not in IN_HEAD):
+        if self.unseen.names:
+            if tag == "body" or (self.unseen.names == ["head"] and tag not in IN_HEAD):
                 self.see()  # the end tag of head is optional
             else:
-                if self.unseen[-1] == "option" and tag in ("option", "optgroup", "hr"):
+                if self.unseen.names[-1] == "option" and tag in ("option", "optgroup", "hr"):
                     self.unseen.pop()  # as is that of option
                 if tag in UNSEEN | RAW and tag != "head":
-                    self.unseen.append(tag)
+                    self.unseen.push(tag)
                 elif tag not in VOID:
-                    self.passed.append(tag)
+                    self.passed.push(tag)
                 return
         if tag in UNSEEN:
-            self.unseen.append(tag)
+            self.unseen.push(tag)
             return
         if tag in INLINE:
             if tag == "br":
                 self.run.append(" ")
             elif tag not in VOID:
-                self.inline.append(tag)
+                self.inline.push(tag)
             return
         if tag in CLOSES_P:
             self.pop_to("p", ("article", "section", "div", "td", "li", "body", "blockquote"))
@@ -121,47 +160,57 @@ class Tree(HTMLParser):
         known = dict(attrs)
         names = " ".join(known.get(k) or "" for k in ("class", "id", "role", "aria-label", "itemprop"))
         hints = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", names)]
-        self.nodes.append(Node(tag, self.open[-1], sorted(set(hints)), known.get("data-y")))
+        self.nodes.append(Node(tag, self.open[-1], sorted(set(hints)), known.get("data-y") if self.marks else None))
         self.open.append(len(self.nodes) - 1)
+        self.tags[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        if tag not in UNSEEN:
+        if tag == "svg" or self.unseen.times["svg"]:
+            return  # only there a slash closes an element
+        if tag in TEXT_ONLY:  # all up to the end tag is its text
+            self.handle_starttag(tag, attrs)
+            if tag in self.CDATA_CONTENT_ELEMENTS:
+                self.set_cdata_mode(tag)
+        elif tag not in UNSEEN:
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if self.unseen:
-            if tag in self.unseen:
-                del self.unseen[len(self.unseen) - 1 - self.unseen[::-1].index(tag):]
-                if not self.unseen:
+        if self.unseen.names:
+            if self.unseen.cut(tag):
+                if not self.unseen.names:
                     self.see()
                 return
-            if tag in self.passed:
-                del self.passed[len(self.passed) - 1 - self.passed[::-1].index(tag):]
+            if self.passed.cut(tag):
                 return
-            if self.unseen[0] != "option" or all(self.nodes[i].tag != tag for i in self.open):
+            if self.unseen.names[0] != "option" or not self.tags[tag]:
                 return
             self.see()  # an option ends with its parent
         if tag in INLINE:
-            if tag in self.inline:
-                del self.inline[len(self.inline) - 1 - self.inline[::-1].index(tag):]
+            self.inline.cut(tag)
         else:
             self.pop_to(tag)
 
     def handle_data(self, data):
-        if self.unseen == ["head"] and data.strip():
+        if self.unseen.names == ["head"] and data.strip():
             self.see()
-        if not self.unseen:
+        if not self.unseen.names:
             self.run.append(data)
-            if "a" in self.inline:
+            if self.inline.times["a"]:
                 self.run_linked += len(data.strip())
 
 
-def tree(html: str | None) -> list[Node]:
-    """Nodes of a page with the text and link lengths below each."""
-    parser = Tree()
+def tree(html: str | None, marks: bool = False) -> list[Node]:
+    """Nodes of a page with the text and link lengths below each, and the nearest names and
+    landmark above; in one pass down and one up, however deep the page is."""
+    parser = Tree(marks)
     parser.feed(html or "")
     parser.close()
     parser.end_run()
+    for i, n in enumerate(parser.nodes[1:], 1):
+        up = parser.nodes[n.parent]
+        is_mark = n.tag in CONTENT_MARKS or n.tag in OTHER_MARKS
+        n.landmark = i if is_mark else up.landmark
+        n.named = i if n.hints else -1 if is_mark else up.named
     for n in reversed(parser.nodes):
         if n.tag == "#text":
             n.chars, n.link_chars = len(n.text), n.linked
@@ -182,23 +231,18 @@ def features(n: Node, nodes: list[Node]) -> list[str]:
         out.append(f"size {sum(size >= s for s in (15, 40, 100, 250))}")
         out.append(f"sentence {n.text[-1] in '.!?…'}")
         out.append(f"in {nodes[n.parent].tag}")
-        up, named = nodes[n.parent], False
-        while up.parent >= 0:
-            if up.hints and not named:
-                named = True
-                out += [f"below name {h}" for h in up.hints]
-            if up.tag in CONTENT_MARKS or up.tag in OTHER_MARKS:
-                out.append(f"below {up.tag}")
-                break
-            up = nodes[up.parent]
+        if n.named >= 0:
+            out += [f"below name {h}" for h in nodes[n.named].hints]
+        if n.landmark >= 0:
+            out.append(f"below {nodes[n.landmark].tag}")
     else:
         out.append(f"chars {sum(n.chars >= s for s in (1, 60, 300, 1500))}")
     return out
 
 
 def labelled(nodes: list[Node]) -> list[int]:
-    """1 for content. A text block takes the nearest ``data-y`` above it; on pages
-    without, that of the nearest landmark (article or main: content; nav, aside,
+    """1 for content. A text block takes the nearest ``data-y`` above it (read on hand-labelled
+    pages only); on pages without, that of the nearest landmark (article or main: content; nav, aside,
     header, footer, form and what lies outside: not). An element is content if
     half of its text is."""
     marked = any(n.mark is not None for n in nodes)
@@ -271,9 +315,10 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
 def train(pages: Iterable[str], rounds: int = ROUNDS, decay: float = 0.02) -> Model:
     """Potentials of the greatest likelihood of the pages' labels: in each round
     they move by the observed less the expected counts of what they weigh."""
-    read = []
+    from tidemark.llm.labelled_pages import PAGES
+    ours, read = frozenset(PAGES), []
     for html in pages:
-        nodes = tree(html)
+        nodes = tree(html, marks=html in ours)
         read.append((nodes, [features(n, nodes) for n in nodes], labelled(nodes)))
     model = Model({}, {k: [[0.5, -0.5], [-0.5, 0.5]] for k in ("text", "leaf", "element")})
     moved: Counter = Counter()
