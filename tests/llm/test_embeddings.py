@@ -116,3 +116,14 @@ def test_audit_counts_neighbours_that_are_not_links():
         graph.add(n)
     graph.links = [[[] for _ in node] for node in graph.links]  # nothing can be found
     assert graph.audited_beam(graph.unit, 0.999, own=True) == 600
+
+
+def test_vectors_of_extreme_length(spark):
+    base = np.array([3.0, -1.0, 0.5, 0.0])
+    other = np.array([-1.0, 2.0, 2.0, 1e-9])
+    rows = [(i, (k * base).tolist(), 1) for i, k in enumerate([1e-200, 2e-200, 1e200, 2e200, 1.0, 5e-324, 5.9e307])]
+    rows += [(10 + i, (k * other).tolist(), 1) for i, k in enumerate([1e-160, 1e160, 1.0])] + [(20, (-base).tolist(), 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    # the smallest numbers have few bits: 5e-324 times the base is (3, -1, 0 or 1, 0) of them
+    assert all(got[i] == (6, 0) for i in range(7)) and all(got[i] == (2, 10) for i in (10, 11, 12)) and got[20] == (0, 20)

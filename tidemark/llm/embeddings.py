@@ -167,7 +167,10 @@ def unit_rows(raw: np.ndarray) -> np.ndarray:
 
 
 def stack(vectors) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in vectors])
+    """The vectors as rows, each divided by the power of two over its largest component: the
+    cosines stay the same to the last bit, and no square over- or underflows."""
+    raw = np.stack([np.asarray(v, np.float64) for v in vectors])
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(1))[1][:, None])
 
 
 def restored(part: pd.DataFrame) -> Graph:
