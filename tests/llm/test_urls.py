@@ -59,6 +59,30 @@ def test_a_hosts_verdict_does_not_depend_on_other_rows(spark):
         assert [r["verdict"] for r in url_rules.judge(new, {}, rules).collect()] == ["block", "allow"], others
 
 
+def test_alike_urls_take_seconds_and_any_token_fits(spark):
+    import time
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    rows = [("http://one.example.org/" + "/".join(words) + f"/{i}", "block") for i in range(25)]
+    rows += [(f"http://two.example.org/{'/'.join(words[:2])}x/{i}", "allow") for i in range(60)]
+    begun = time.time()
+    rules = url_rules.mine(spark.createDataFrame(rows, "url string, verdict string"))
+    new = [f"http://z.net/{w}" for w in words] + ["http://z.net/none", "http://one.example.org/none", "http://two.example.org/wab"]
+    got = [r["verdict"] for r in url_rules.judge(spark.createDataFrame([(u,) for u in new], "url string"), {}, rules).collect()]
+    assert time.time() - begun < 90 and rules.count() < 20
+    # what FP-growth over single tokens would say: every token of the alike urls alone blocks, but the one that others have
+    assert got == ["allow" if w == words[0] else "block" for w in words] + ["allow", "block", "allow"]
+
+
+def test_a_late_token_counts_whatever_the_other_rows(spark):
+    late = "/".join(f"c{chr(97 + i)}" for i in range(20)) + "/bad"
+    for others in (9_000, 90_000):
+        rows = [(f"http://{chr(97 + i % 5)}.example.org/{late if i % 5 == 0 else late[:-4]}/{i}", "block" if i % 5 == 0 else "allow") for i in range(150)]
+        rows += [(f"http://h{chr(97 + i % 20)}.example.com/p/{i}", "block" if i % 10 == 0 else "allow") for i in range(others)]
+        rules = url_rules.mine(spark.createDataFrame(rows, "url string, verdict string"))
+        new = spark.createDataFrame([(f"http://x.example.net/{late}/7",), ("http://hb.example.com/q/7",)], "url string")
+        assert [r["verdict"] for r in url_rules.judge(new, {}, rules).collect()] == ["block", "allow"], others
+
+
 def test_registered_query(spark):
     out = op7_url_rules(spark, "/root/testdata/sf0.001")
     assert out.columns == ["page_id", "host", "path", "rule", "verdict"] and out.count() == 50

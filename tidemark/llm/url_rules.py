@@ -6,17 +6,12 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, settle, small
+from tidemark.llm.common import fresh, light, settle
 
 #: Labelled urls that a rule needs, whatever their share.
 LEAST = 20
-#: Share of the labelled urls that a rule with any tokens needs; a rarer rule has
-#: only the first ``FIRST`` tokens of a url (host labels come first).
-SUPPORT, FIRST = 0.002, 12
 #: Share that a rule needs of the labelled urls with its tokens.
 CONFIDENCE = 0.6
-#: Tokens in nearly all urls tell nothing.
-COMMON = 0.95
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -55,64 +50,72 @@ def tokens(url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.concat(labels, words, keys), lambda t: ~t.rlike(r" [0-9-]*$"))))
 
 
-def mine(labelled: DataFrame, url_col: str = "url", verdict_col: str = "verdict", support: float = SUPPORT,
+def merged(rows: DataFrame) -> DataFrame:
+    """``token``, ``item``: tokens that occur in exactly the same ``rows`` (``key``, ``tokens``) are one
+    item, named by the first of them; those that occur in all rows are none.
+
+    Any set of such tokens has the same rows, so one item says what all their subsets
+    would. Rows are compared by two hashes of their keys: the exclusive-or and the sum.
+    """
+    n = rows.count()
+    key = F.col("key")
+    seen = rows.select("key", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64(key)).alias("a"),
+        F.sum(F.xxhash64(key, F.lit(1)).cast("decimal(38,0)")).alias("b")).where(F.col("n") < n)
+    firsts = seen.groupBy("n", "a", "b").agg(F.min("token").alias("item"))
+    return settle(seen.join(firsts, ["n", "a", "b"]).select("token", "item"))
+
+
+def mine(labelled: DataFrame, url_col: str = "url", verdict_col: str = "verdict", support: float = 0.0,
          confidence: float = CONFIDENCE, least: int = LEAST) -> DataFrame:
-    """Rules ``id``, ``items``, ``verdict``, ``confidence``, ``support`` mined by
+    """Rules ``items``, ``tokens``, ``verdict``, ``confidence``, ``support`` mined by
     FP-growth from labelled urls (verdict ``allow`` or ``block``).
 
-    A rule needs ``least`` of the labelled urls, however many there are; those with
-    less than ``support`` of them are sought among the first ``FIRST`` tokens of a
-    url, as the itemsets of rows that are alike double with each token. Only rules that raise their verdict above its share in all labels are kept.
+    A rule needs ``least`` of the labelled urls, however many there are (and the share ``support`` of
+    them). All tokens of a url count; tokens of exactly the same labelled urls are one
+    item (see ``merged``): ``items`` has its name and ``tokens``, in the same order, all that stand for it.
+    Only rules that raise their verdict above its share in all labels are kept.
     No labelled rows: no rules.
     """
     spark = labelled.sparkSession
     rows = settle(labelled.where(F.col(verdict_col).isin(ALLOW, BLOCK)).select(
-        tokens(F.col(url_col)).alias("tokens"), F.col(verdict_col).alias("verdict")))
+        F.monotonically_increasing_id().alias("key"), tokens(F.col(url_col)).alias("tokens"), F.col(verdict_col).alias("verdict")))
     n = rows.count()
     if not n:
-        return spark.createDataFrame([], "id long, items array<string>, verdict string, confidence double, support double")
-    shares = rows.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") > COMMON * n)
-    # at most a handful: every url has that many of them
-    common = [r["t"] for r in shares.collect()]
-    bare = F.array_except("tokens", F.array(*[F.lit(t) for t in common]).cast("array<string>"))
+        return spark.createDataFrame([], "items array<string>, tokens array<array<string>>, verdict string, confidence double, support double")
+    item_of = merged(rows)
+    items = rows.select("key", F.explode("tokens").alias("token")).join(light(item_of), "token").groupBy("key").agg(
+        F.collect_set("item").alias("items"))
     verdict = F.array(F.concat(F.lit("verdict "), F.col("verdict")))
-    share = min(1.0, least / n)
-    if support <= share:
-        ways = [(bare, share)]
-    else:
-        ways = [(bare, min(1.0, support)), (F.slice(bare, 1, FIRST), share)]
-    parts = []
-    for items, floor in ways:
-        model = FPGrowth(itemsCol="items", minSupport=floor, minConfidence=confidence).fit(
-            rows.select(F.concat(items, verdict).alias("items")))
-        found = model.associationRules.where(F.col("consequent")[0].startswith("verdict ") & (F.col("lift") > 1))
-        found = found.where(~F.exists("antecedent", lambda t: t.startswith("verdict ")))
-        parts.append(found.select(F.xxhash64(F.array_sort("antecedent"), "consequent").alias("id"),
-                                  F.array_sort("antecedent").alias("items"),
-                                  F.substring_index(F.col("consequent")[0], " ", -1).alias("verdict"),
-                                  "confidence", "support"))
-    if len(parts) == 1:
-        return settle(parts[0])
-    # of a rule found both ways the figures over all tokens hold
-    often = settle(parts[0])
-    return settle(often.unionByName(parts[1].join(often.select("id"), "id", "left_anti")))
+    # urls whose tokens all others have too count with their verdict alone
+    carts = settle(rows.join(items, "key", "left").select(
+        F.concat(F.coalesce("items", F.array().cast("array<string>")), verdict).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(least / n, support)), minConfidence=confidence).fit(carts)
+    found = model.associationRules.where(F.col("consequent")[0].startswith("verdict ") & (F.col("lift") > 1))
+    found = found.where(~F.exists("antecedent", lambda t: t.startswith("verdict ")))
+    found = settle(found.select(F.array_sort("antecedent").alias("items"), F.substring_index(F.col("consequent")[0], " ", -1).alias("verdict"),
+                                "confidence", "support"))
+    named = item_of.groupBy("item").agg(F.array_sort(F.collect_list("token")).alias("names"))
+    place = found.select("items", "verdict", F.posexplode("items").alias("place", "item")).join(named, "item")
+    wide = place.groupBy("items", "verdict").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "names"))), lambda x: x["names"]).alias("tokens"))
+    return settle(found.join(wide, ["items", "verdict"]).select("items", "tokens", "verdict", "confidence", "support"))
 
 
 def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """``tokens``, ``verdict`` of the distinct token sets in which a rule's items all occur.
+    """``tokens``, ``verdict`` of the distinct token sets in which all items of a rule occur, each
+    by any one of its tokens.
 
-    Inverted index: a rule stands under its rarest item only, and a set looks up
-    its own tokens. The most confident rule wins, then the best supported, then
-    blocking, then the smallest id.
+    Inverted index: a rule stands under all tokens of its rarest item only, and a set looks up
+    its own tokens. The most confident rule wins, then the best supported, then blocking.
     """
-    seen = rules.select("id", F.explode("items").alias("item"))
-    often = seen.groupBy("item").count()
-    rarest = seen.join(often, "item").groupBy("id").agg(F.min(F.struct("count", "item"))["item"].alias("item"))
-    index = settle(rules.join(rarest, "id").select("item", "items", "verdict", "confidence", "support", "id"))
-    rank = F.struct(F.col("confidence"), F.col("support"), F.col("verdict") == BLOCK, -F.col("id").cast("decimal(20,0)"),
-                    "verdict")
-    hits = sets.select("tokens", F.explode("tokens").alias("item")).join(small(index), "item").where(
-        F.size(F.array_except("items", "tokens")) == 0)
+    often = rules.select(F.explode("items").alias("item")).groupBy("item").count()
+    seen = rules.select("items", "verdict", F.posexplode("items").alias("place", "item")).join(often, "item")
+    rarest = seen.groupBy("items", "verdict").agg(F.min(F.struct("count", "item", "place"))["place"].alias("place"))
+    index = rules.join(rarest, ["items", "verdict"]).select(
+        F.explode(F.col("tokens")[F.col("place")]).alias("token"), F.col("tokens").alias("wanted"), "verdict", "confidence", "support")
+    rank = F.struct("confidence", "support", F.col("verdict") == BLOCK, "verdict")
+    hits = sets.select("tokens", F.explode("tokens").alias("token")).join(light(settle(index)), "token").where(
+        F.forall("wanted", lambda names: F.arrays_overlap(names, F.col("tokens"))))
     return hits.groupBy("tokens").agg(F.max(rank)["verdict"].alias("verdict"))
 
 
@@ -131,7 +134,7 @@ def judge(pages: DataFrame, given: dict[str, str], rules: DataFrame, url_col: st
     read = pages.withColumn(said, given_rule(host_of(url), path_of(url), given)).withColumn(own, tokens(url))
     sets = read.where(F.col(said).isNull()).select(F.col(own).alias("tokens")).distinct()
     found = settle(match(sets, rules).select(F.col("tokens").alias(key), F.col("verdict").alias(mined)))
-    joined = read.join(small(found), F.col(own) == F.col(key), "left")
+    joined = read.join(light(found), F.col(own) == F.col(key), "left")
     kept = [F.col(c) for c in pages.columns if c.lower() not in out]
     return joined.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"), F.col(f"{said}.rule").alias("rule"),
                          F.coalesce(F.col(f"{said}.verdict"), F.col(mined), F.lit(ALLOW)).alias("verdict"))
