@@ -9,16 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
+from tidemark.llm.common import fresh, settle
 
 #: Words of a passage.
 PASSAGE = 64
 #: Hash buckets of the words of a passage.
 BUCKETS = 32
-#: Labelled documents that the model is fitted on, and passages taken of each of
-#: them, evenly spread; scoring reads every passage.
+#: Labelled documents that the model is fitted on, with all their passages, and the length up to
+#: which a document is taken for that; scoring reads every document.
 SAMPLE = 4000
-SAMPLE_PASSAGES = 64
+SAMPLE_CHARS = 50_000
 HIDDEN, GATE, EPOCHS, BATCH = 24, 16, 25, 128
 CACHE = 500_000
 SYMBOLS = b"#*$%&|<>"
@@ -147,26 +147,28 @@ class Attention:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sample: int = SAMPLE) -> Attention | None:
-    """A model fitted on at most ``sample`` labelled documents, by hash of the id.
+    """A model fitted on every passage of at most ``sample`` labelled documents, by
+    hash of the id, among those of at most ``SAMPLE_CHARS`` characters.
 
     ``labels`` has ``doc_id`` and ``quality`` (0 or 1; other rows say nothing).
+    Of labels or documents that share an id the larger label and the smallest text count.
     Without labelled documents of either kind there is no model.
     """
-    chosen = (labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("y"))
-              .select(F.col("doc_id").alias("l"), "y").orderBy(F.xxhash64("l"), "l").limit(sample))
-    rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(
-        F.broadcast(chosen), F.col("d") == F.col("l")).select("l", "y", "text")
+    marks = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("y"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    short = docs.where(F.col(id_col).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
+    # ids only, until the sample is known
+    ids = marks.join(short.select(F.col(id_col).alias("l")).distinct(), marks["doc_id"] == F.col("l")).select("l", "y")
+    chosen = settle(ids.orderBy(F.xxhash64("l"), "l").limit(sample))
+    rows = short.select(F.col(id_col).alias("d"), text.alias("text")).join(F.broadcast(chosen), F.col("d") == F.col("l"))
+    rows = rows.groupBy("l", "y").agg(F.min("text").alias("text"))
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kinds, cache = classes(), {}
         for batch in batches:
-            out = []
-            for text in batch["text"]:
-                bag = encode(text, kinds, cache)
-                out.append(bag[np.unique(np.linspace(0, len(bag) - 1, SAMPLE_PASSAGES).astype(int))].tobytes())
-            yield pd.DataFrame({"l": batch["l"], "y": batch["y"], "bag": out})
+            yield pd.DataFrame({"l": batch["l"], "y": batch["y"], "bag": [encode(t, kinds, cache).tobytes() for t in batch["text"]]})
 
-    found = rows.mapInPandas(bags, "l long, y int, bag binary").orderBy("l", "bag").limit(2 * sample).collect()
+    found = sorted(rows.mapInPandas(bags, "l long, y int, bag binary").collect(), key=lambda r: r["l"])
     label = np.array([r["y"] for r in found], np.float64)
     if not len(label) or label.min() == label.max():
         return None
