@@ -13,8 +13,6 @@ DEPTH = 3
 SIMILAR = 0.7
 #: Share of a line's tokens that digits may mask; a line of more fields is compared as it is.
 FIELDS = 0.5
-#: Bands of each line (the fullest ones) in which further templates of a leaf are sought.
-BANDS = 4
 #: A template of at least so many tokens recurs from two documents on, ...
 LONG, LONG_DOCS = 10, 2
 #: ... a shorter one of at least so many only from ten.
@@ -82,20 +80,18 @@ def group_matches(lines: DataFrame) -> DataFrame:
         "leaf", "h", "group", "times", F.xxhash64("leaf", F.col("template.token")).alias("template"))
 
 
-def leaf_matches(lines: DataFrame, one: bool = False) -> DataFrame:
+def leaf_matches(lines: DataFrame) -> DataFrame:
     """``h``, ``template`` of the distinct ``lines`` (``leaf``, ``h``, ``n``, ``line``,
     ``times``) that are an instance of a template of their leaf.
 
     First the template of all its lines. The others are cut in bands, one more than
     an instance may have variable fields: lines of one template share a band,
     whatever else is in the leaf. Those of an equal band are
-    a group with a template; of its templates a line takes that of most instances.
-    ``one``: the first template only.
+    a group with a template (bands with the same lines are one group); of the templates of all its
+    groups a line takes that of most instances. Defined cases: no lines give no rows; a line that is its leaf's only
+    one, or shares no band, is no instance of others; ties go to the larger template hash.
     """
-    leaf = group_matches(lines.withColumn("group", F.col("leaf"))).select("h", F.col("leaf").alias("template"))
-    if one:
-        return leaf
-    leaf = settle(leaf)
+    leaf = settle(group_matches(lines.withColumn("group", F.col("leaf"))).select("h", F.col("leaf").alias("template")))
     rest = stored(lines.join(small(leaf), "h", "left_anti"), "leaf-rest")
     m, size = F.col("n") - DEPTH, F.col("bands")
     bands = F.least(F.floor((1 - SIMILAR) * F.col("n") + 1e-9) + 1, m).cast("int")
@@ -108,42 +104,35 @@ def leaf_matches(lines: DataFrame, one: bool = False) -> DataFrame:
     cut = cut.select("leaf", "h", F.posexplode(F.transform(F.sequence(F.lit(0), size - 1), band)).alias("band", "k"))
     cut = stored(cut.select("h", F.xxhash64("leaf", "band", "k").alias("band")), "bands")
     shared = cut.groupBy("band").agg(F.count("*").alias("lines"), F.bit_xor(F.xxhash64("h")).alias("group")).where("lines > 1")
-    full = cut.join(small(settle(shared)), "band").select("h", "group", "lines").distinct()
-    full = full.groupBy("h").agg(F.slice(F.sort_array(F.collect_list(F.struct("lines", "group")), False), 1, BANDS).alias("best"))
-    grouped = rest.join(full.select("h", F.explode("best.group").alias("group")), "h")
-    found = settle(group_matches(stored(grouped, "leaf-groups")))
+    full = cut.join(small(settle(shared.select("band", "group"))), "band").select("h", "group").distinct()
+    found = settle(group_matches(stored(rest.join(full, "h"), "leaf-groups")))
     sizes = found.groupBy("group").agg(F.sum("times").alias("lines"))
     ranked = found.join(small(settle(sizes)), "group").groupBy("h").agg(
         F.max(F.struct("lines", "template"))["template"].alias("template"))
     return leaf.unionByName(ranked)
 
 
-def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              as_sql: bool = False) -> DataFrame:
+def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``key``, ``dropped``: positions of the lines that go from each document.
 
     Equal masked lines are one template; in leaves of lines that differ, the leaf's
     templates join their instances. A template in
     enough documents recurs: all its lines go but the first, which is that of the
     smallest (id, document key, position). Lines of fewer than ``SHORT`` tokens recur
-    from ``TINY_DOCS`` documents on. ``as_sql``: only what the SQL of op3_line_dedup
-    has, one template of each leaf of ``LONG`` tokens or more and no shorter lines
-    than ``SHORT``.
+    from ``TINY_DOCS`` documents on.
     """
     lines = stored(lines_of(docs, id_col, text_col).drop("line"), "lines")
-    least = LONG if as_sql else SHORT
-    leaves = (lines.where((F.col("n") >= least) & F.col("leaf").isNotNull()).groupBy("leaf").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+    leaves = (lines.where((F.col("n") >= SHORT) & F.col("leaf").isNotNull()).groupBy("leaf").agg(F.min("h").alias("a"), F.max("h").alias("b"))
               .where("a != b").select("leaf"))
-    differing = lines_of(docs, id_col, text_col).where(F.col("n") >= least).join(small(settle(leaves)), "leaf", "left_semi")
+    differing = lines_of(docs, id_col, text_col).where(F.col("n") >= SHORT).join(small(settle(leaves)), "leaf", "left_semi")
     distinct = stored(differing.groupBy("leaf", "h", "n").agg(F.first("line").alias("line"), F.count("*").alias("times")),
                       "leaf-lines")
-    joined = settle(leaf_matches(distinct, as_sql))
+    joined = settle(leaf_matches(distinct))
     own = lines.join(small(joined), "h", "left").select("id", "key", "pos", "n", F.coalesce("template", "h").alias("t"))
     in_doc = own.groupBy("t", "key").agg(F.min(F.struct("id", "key", "pos")).alias("first"), F.first("n").alias("n"))
     found = in_doc.groupBy("t").agg(F.count("*").alias("docs"), F.min("first").alias("first"), F.first("n").alias("n"))
-    often = ((F.col("n") >= LONG) & (F.col("docs") >= LONG_DOCS)) | ((F.col("n") >= SHORT) & (F.col("docs") >= SHORT_DOCS))
-    if not as_sql:
-        often = often | (F.col("docs") >= TINY_DOCS)
+    often = ((F.col("n") >= LONG) & (F.col("docs") >= LONG_DOCS)) | ((F.col("n") >= SHORT) & (F.col("docs") >= SHORT_DOCS)) | (
+        F.col("docs") >= TINY_DOCS)
     found = found.where(often)
     found = settle(found.select("t", F.col("first.key").alias("first_key"), F.col("first.pos").alias("first_pos")))
     gone = own.join(small(found), "t").where((F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
@@ -151,7 +140,7 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         counts: bool = True, as_sql: bool = False) -> DataFrame:
+                         counts: bool = True) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text_col``, and with ``counts``
     ``n_lines`` and ``n_dropped`` (int; lines with a token before, and of these dropped).
 
@@ -162,7 +151,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ``counts`` one called ``n_lines`` or ``n_dropped`` is replaced.
     """
     key, dropped, lines, gone = fresh(docs, "key", "dropped", "lines", "gone")
-    cut = recurring(docs, id_col, text_col, as_sql).select(F.col("key").alias(key), F.col("dropped").alias(dropped))
+    cut = recurring(docs, id_col, text_col).select(F.col("key").alias(key), F.col("dropped").alias(dropped))
     text = F.col(text_col)
     out = docs.withColumn(key, F.xxhash64(F.col(id_col), text)).join(cut, key, "left")
     out = out.withColumn(lines, F.split(text, "\n", -1)).withColumn(gone, F.coalesce(dropped, F.array().cast("array<int>")))

@@ -38,52 +38,6 @@ SELECT d.doc_id, d.size, d.source_size, d.target, (d.size * d.copies)::BIGINT AS
 FROM drawn d JOIN picked p ON d.source IS NOT DISTINCT FROM p.source AND d.seed = p.seed AND p.place = 1
 """
 
-OP3 = r"""
-WITH raw AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
-  FROM documents WHERE text IS NOT NULL),
-lines AS (
-  SELECT *, len(tokens) AS n, tokens[1:3] AS lead
-  FROM (SELECT doc_id, pos, line, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
-               lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens FROM raw)
-  WHERE len(tokens) > 0),
-leaves AS (SELECT n, lead FROM lines WHERE n >= 10 GROUP BY n, lead HAVING count(DISTINCT tokens) > 1),
-instances AS (SELECT n, lead, tokens, count(*) AS times FROM lines JOIN leaves USING (n, lead) GROUP BY n, lead, tokens),
-places AS (
-  SELECT n, lead, times, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM instances),
-counts AS (SELECT n, lead, place, token, sum(times) AS c FROM places GROUP BY n, lead, place, token),
-constants AS (
-  SELECT n, lead, place, CASE WHEN 2 * max(c) > sum(c) THEN arg_max(token, c) END AS token
-  FROM counts GROUP BY n, lead, place),
-templates AS (
-  SELECT n, lead, list(CASE WHEN token <> '<*>' THEN token END ORDER BY place) AS template
-  FROM constants GROUP BY n, lead),
-matched AS (
-  SELECT i.n, i.lead, i.tokens
-  FROM instances i JOIN templates t USING (n, lead)
-  WHERE len(list_filter(list_zip(i.tokens, t.template), lambda z: z[1] = z[2])) >= 0.7 * i.n),
-own AS (
-  SELECT l.doc_id, l.pos, l.n,
-         CASE WHEN m.n IS NULL THEN {'leaf': NULL, 'tokens': l.tokens} ELSE {'leaf': l.lead, 'tokens': [l.n::VARCHAR]} END AS t
-  FROM lines l LEFT JOIN matched m ON l.n = m.n AND l.tokens = m.tokens),
-recurring AS (
-  SELECT t, min({'doc_id': doc_id, 'pos': pos}) AS first
-  FROM own GROUP BY t
-  HAVING (any_value(n) >= 10 AND count(DISTINCT doc_id) >= 2) OR (any_value(n) >= 3 AND count(DISTINCT doc_id) >= 10)),
-gone AS (
-  SELECT o.doc_id, o.pos FROM own o JOIN recurring r ON o.t = r.t
-  WHERE {'doc_id': o.doc_id, 'pos': o.pos} <> r.first),
-rest AS (
-  SELECT r.doc_id, string_agg(CASE WHEN g.pos IS NULL THEN r.line END, chr(10) ORDER BY r.pos) AS text,
-         count(g.pos) AS n_dropped
-  FROM raw r LEFT JOIN gone g USING (doc_id, pos) GROUP BY r.doc_id),
-sizes AS (SELECT doc_id, count(*) AS n_lines FROM lines GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN coalesce(r.n_dropped, 0) = 0 THEN d.text ELSE coalesce(r.text, '') END AS text,
-       coalesce(s.n_lines, 0)::INT AS n_lines, coalesce(r.n_dropped, 0)::INT AS n_dropped
-FROM documents d LEFT JOIN rest r USING (doc_id) LEFT JOIN sizes s USING (doc_id)
-"""
-
 OP11 = r"""
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
@@ -197,7 +151,6 @@ FROM rise c JOIN tops t ON t.n = 1 AND t.level = c.level
 """
 
 ORACLES = {
-    "op3_line_dedup": OP3,
     "op6_mixing": OP6,
     "op11_negatives": OP11,
     "op12_secrets": _per_rule(OP12),
