@@ -84,3 +84,24 @@ def test_day_partitions_are_pruned(spark, tables, tmp_path):
         with contextlib.redirect_stdout(buf):
             got.explain("formatted")
         assert "PartitionFilters: [isnotnull(dt#" in buf.getvalue() and "(dt#" in buf.getvalue()
+
+
+def test_history_is_compacted_without_loss(spark, tmp_path):
+    import datetime as dt
+
+    from tidemark.operators.series import append_history, compact_history, read_history
+    root = str(tmp_path / "a history")
+
+    def run(name, hour):
+        row = spark.createDataFrame([(name, dt.datetime(2014, 7, 1, hour))], "report string, last_run timestamp")
+        append_history(row.coalesce(1), root)
+
+    assert compact_history(spark, str(tmp_path / "none")) is False
+    for hour in range(6):
+        run("ab"[hour % 2], hour)
+    before = sorted(read_history(spark, root).collect())
+    assert compact_history(spark, root, files=50) is False and compact_history(spark, root, files=6) is True
+    assert sorted(read_history(spark, root).collect()) == before
+    assert len(list((tmp_path / "a history").glob("part-*.parquet"))) == 1
+    run("b", 9)
+    assert {r["report"]: r["last_run"].hour for r in read_history(spark, root).collect()} == {"a": 4, "b": 9}

@@ -161,3 +161,34 @@ def append_history(runs: DataFrame, root: str) -> None:
     """Append ``runs(report, last_run)``. Appends never rewrite what a
     concurrent reader is reading; readers take the latest row per report."""
     runs.select("report", F.col("last_run").cast("timestamp")).write.mode("append").parquet(root)
+
+
+#: Files of a run history from which it is compacted.
+HISTORY_FILES = 200
+
+
+def compact_history(spark: SparkSession, root: str, files: int = HISTORY_FILES) -> bool:
+    """Put the latest run per report in one file if the history has ``files`` or more.
+
+    What is there is listed first; the new file is written beside it, and only the listed files
+    go then. A run that is appended meanwhile stays, and one that is lost in between leaves
+    rows twice, which readers do not mind.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        listed = spark.read.schema(HISTORY_SCHEMA).parquet(root).inputFiles()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    if len(listed) < files:
+        return False
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    uri = spark.sparkContext._jvm.java.net.URI  # the names are encoded
+    paths = [hadoop(uri(name)) for name in listed]
+    rows = spark.read.schema(HISTORY_SCHEMA).parquet(*[p.toString() for p in paths])
+    # one row a report
+    append_history(rows.groupBy("report").agg(F.max("last_run").alias("last_run")).coalesce(1), root)
+    for path in paths:
+        path.getFileSystem(conf).delete(path, False)
+    return True

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.time import to_date_value
 from ..operators.buckets import BUCKET
 from ..operators.changes import MANIFEST_SCHEMA, days_of_buckets, in_days, look, touched_buckets
-from ..operators.series import append_history, read_history, read_series, write_series
+from ..operators.series import append_history, compact_history, read_history, read_series, write_series
 from ..operators.timebox import buckets_to_refresh, due_reports, first_open_bucket, incremental_refresh
 from .counts import shared_series
 from .reports import REPORTS, Report, params_for, run_report
@@ -93,7 +93,8 @@ def _record(spark: SparkSession, names: list[str], history: str | None, now: _dt
     when = (now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%d %H:%M:%S")
     # The same literal as in the due test, so neither depends on the process's zone.
     runs = spark.createDataFrame([(name, when) for name in names], "report string, last_run string")
-    append_history(runs.withColumn("last_run", F.col("last_run").cast("timestamp")), history)
+    append_history(runs.withColumn("last_run", F.col("last_run").cast("timestamp")).coalesce(1), history)
+    compact_history(spark, history)
 
 
 def refresh_report(spark: SparkSession, tables, name: str, root: str, as_of,
