@@ -8,6 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import with_parsed_ts
+from tidemark.operators.changes import near_days
 from tidemark.operators.users import DistinctSeries, dense_numbers, trailing_counts
 
 D = dt.date
@@ -107,3 +109,41 @@ def test_numbers_are_dense_over_tasks(spark):
     got = sorted(r["number"] for r in out.collect())
     assert got == list(range(11, 11 + len(got)))
     assert dense_numbers(spark.range(0), 1).count() == 0
+
+
+def test_a_refresh_reads_the_events_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    rows = events(5, 200)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(seen), "ts timestamp_ntz, user string, k string")
+    s = series(spark, tmp_path, where=F.col("k").isNotNull())
+    s.refresh(df, ALL)
+    assert read.value == len(rows)
+    assert {r["bucket"]: (r["a"], r["b"]) for r in s.counts().collect()} == {d: brute(rows, d, d) for d in ALL}
+
+
+def test_text_times_are_not_parsed_for_the_bounds(spark, tmp_path):
+    rows = events(6)
+    # texts within the range that are no time, and times just outside of it; only `in` and its days count
+    odd = [("2014012x000000", "bad"), ("20140132000000", "bad"), ("20140121000060", "bad"), ("201401210000001", "bad"), ("", "bad"), (None, "bad"),
+           ("20140119235959", "out"), ("20140219000000", "out"), ("20140120000000", "in"), ("20140218235959", "in")]
+    texts = [(t.strftime("%Y%m%d%H%M%S"), u, k) for t, u, k in rows] + [(t, u, "a") for t, u in odd]
+    df = with_parsed_ts(spark.createDataFrame(texts, "timestamp string, user string, k string"), "timestamp")
+    near, parsed = near_days(df, "ts", ALL)
+    plan = near.select("user")._jdf.queryExecution().optimizedPlan().toString()
+    assert not parsed and "20140120000000" in plan and "make_timestamp" not in plan
+    s = series(spark, tmp_path)
+    s.refresh(df, ALL)
+    now = rows + [(dt.datetime(2014, 1, 20), "in", "a"), (dt.datetime(2014, 2, 18, 23, 59, 59), "in", "a")]
+    assert {r["bucket"]: (r["a"], r["b"]) for r in s.counts().collect()} == {d: brute(now, d, d) for d in ALL}
+    assert {r["user"] for r in s.numbers().collect()} == {u for _, u, _ in now if u}
+    # runs of days that do not touch, and a table by day: its partitions are read
+    near, _ = near_days(df, "ts", [ALL[0], ALL[29]])
+    assert {r["timestamp"][:8] for r in near.where("ts IS NOT NULL").collect()} == {"20140120", "20140218"}
+    by_day = with_parsed_ts(df.drop("ts").withColumn("day", F.lit("2014-01-20")), "timestamp", day_partition="day")
+    near, parsed = near_days(by_day, "ts", ALL[:1])
+    assert parsed and near.count() == len(texts) and near_days(df, "ts", [])[0].count() == 0

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ..functions.time import DAY_PARTITION, bucket_of, next_bucket, time_range
+from ..functions.time import DAY_PARTITION, TEXT_SOURCE, _text14, bucket_of, next_bucket, time_range
 from .buckets import BUCKET, _shift
 
 DAY = "day"
@@ -114,6 +114,20 @@ def in_days(df: DataFrame, ts: str, days: Collection[_dt.date]) -> DataFrame:
     return df.where(reduce(or_, [time_range(df, ts, a, b) for a, b in runs_of(days)]))
 
 
+def near_days(df: DataFrame, ts: str, days: Collection[_dt.date]) -> tuple[DataFrame, bool]:
+    """:func:`in_days` for rows that are reduced by day next, and whether all of them have been parsed.
+
+    Of a ``ts`` parsed from text only the text is compared (not parsed: rows of the range whose
+    text is no time are left for the caller, with NULL days). A bound on ``ts`` would be
+    pushed below the parsing and repeat it, and all that the text is made of, at each of its uses.
+    """
+    text, part = (df.schema[ts].metadata.get(k) for k in (TEXT_SOURCE, DAY_PARTITION))
+    if not days or not text or text not in df.columns or part and part in df.columns:
+        return in_days(df, ts, days), True
+    bounds = [(F.col(text) >= F.lit(_text14(a))) & (F.col(text) < F.lit(_text14(b))) for a, b in runs_of(days)]
+    return df.where(reduce(or_, bounds)), False
+
+
 def touched_buckets(spark: SparkSession, days: Collection[_dt.date], grain: str, closed: str = "left") -> DataFrame:
     """``bucket``s that rows of the given days count in."""
     days = spark.createDataFrame([(d,) for d in sorted(set(days))], f"{DAY} date")

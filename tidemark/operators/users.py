@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.time import bucket_of
 from ..session import scratch_dir
 from .buckets import BUCKET, _bucket_value, _shift, densify, in_range, spine_between
-from .changes import in_days
+from .changes import near_days
 
 USER, NUMBER, PART = "user", "number", "part"
 USERS_SCHEMA = f"{USER} string, {NUMBER} long"
@@ -44,18 +44,22 @@ def dense_numbers(rows: DataFrame, first: int, name: str = NUMBER) -> DataFrame:
     return out.withColumn(name, F.col("_at") - F.col("_first") + F.col("_before") + first).drop("_task", "_at", "_first", "_before")
 
 
-def day_bitmaps(df: DataFrame, ts: str, key: str, metrics: Mapping[str, Column], numbers: DataFrame,
-                where: Column | None = None) -> DataFrame:
-    """``bucket`` (day), ``part`` and a bitmap for each metric (NULL: no user of the part).
+def user_days(df: DataFrame, ts: str, key: str, metrics: Mapping[str, Column]) -> DataFrame:
+    """``bucket`` (day, NULL where ``ts`` is), ``user`` and a flag for each metric (``_m0``, ...).
 
-    Rows are reduced to (day, user) flags map-side before they meet the numbers.
+    Rows are reduced to (day, user) map-side; those without a user do not count.
     """
-    if where is not None:
-        df = df.where(where)
     flags = [F.max(F.when(pred, 1).otherwise(0)).alias(f"_m{i}") for i, pred in enumerate(metrics.values())]
-    per_user = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(
+    return df.where(F.col(key).isNotNull()).groupBy(
         bucket_of(ts, "day").alias(BUCKET), F.col(key).cast("string").alias(USER)).agg(*flags)
-    known = per_user.join(numbers, USER)
+
+
+def day_bitmaps(per_user: DataFrame, metrics: Collection[str], numbers: DataFrame) -> DataFrame:
+    """``bucket`` (day), ``part`` and a bitmap for each metric (NULL: no user of the part).
+
+    ``per_user``: see :func:`user_days`.
+    """
+    known = per_user.where(F.col(BUCKET).isNotNull()).join(numbers, USER)
     bits = [F.bitmap_construct_agg(F.when(F.col(f"_m{i}") == 1, F.bitmap_bit_position(NUMBER))).alias(name)
             for i, name in enumerate(metrics)]
     made = known.groupBy(BUCKET, F.bitmap_bucket_number(NUMBER).alias(PART)).agg(*bits)
@@ -146,14 +150,22 @@ class DistinctSeries:
         return self.numbers()
 
     def refresh(self, df: DataFrame, days: Collection[_dt.date]) -> None:
-        """Replace the bitmaps of ``days`` by those of ``df``'s rows; only these days are read."""
+        """Replace the bitmaps of ``days`` by those of ``df``'s rows; only these days are read, and once.
+
+        The rows are reduced to (day, user) and written down; the new numbers and the
+        bitmaps are made from that.
+        """
         days = sorted(set(days))
         if not days:
             return
-        rows = in_days(df, self.ts, days)
-        wanted = rows if self.where is None else rows.where(self.where)
-        numbers = self.enter(wanted.select(F.col(self.key).cast("string").alias(USER)))
-        made = day_bitmaps(rows, self.ts, self.key, self.metrics, numbers, self.where)
+        rows, parsed = near_days(df if self.where is None else df.where(self.where), self.ts, days)
+        path = scratch_dir(self.spark, "user-days")
+        user_days(rows, self.ts, self.key, self.metrics).write.parquet(path)
+        per_user = self.spark.read.parquet(path)
+        if not parsed:  # texts of these days that are no time
+            per_user = per_user.where(F.col(BUCKET).isin(days))
+        numbers = self.enter(per_user.select(USER))
+        made = day_bitmaps(per_user, self.metrics, numbers)
         # part 0 marks a day as computed: one without users is replaced too
         marks = self.spark.createDataFrame([(d,) for d in days], f"{BUCKET} date").withColumn(PART, F.lit(0).cast("long"))
         (made.unionByName(marks, allowMissingColumns=True).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
