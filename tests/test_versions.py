@@ -92,6 +92,16 @@ def test_catalogue_database_as_a_source(spark):
         spark.sql("DROP DATABASE versions_db CASCADE")
 
 
+def test_temporary_views_are_no_tables_of_a_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS views_db")
+    spark.range(1).createOrReplaceTempView("Log_8")
+    try:
+        assert tables_in(spark, {"sources": {"db": {"format": "catalog", "database": "views_db"}}}, "db") == []
+    finally:
+        spark.catalog.dropTempView("Log_8")
+        spark.sql("DROP DATABASE views_db CASCADE")
+
+
 def test_time_predicates_cut_a_range_once(spark):
     stamps = ["20140630235959", "20140701000000", "20140702120000", "20140703235959", "20140704000000", "20140705000000", None, "bad"]
     df = spark.createDataFrame([(s,) for s in stamps], "timestamp string")

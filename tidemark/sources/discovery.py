@@ -44,7 +44,8 @@ def tables_in(spark: SparkSession, conf: Mapping, source: str) -> list[str]:
     except KeyError:
         raise ValueError(f'No such source: "{source}"') from None
     if src.get("format") == "catalog":
-        return sorted(t.name for t in spark.catalog.listTables(src["database"]))
+        # the session's temporary views are listed with every database's tables
+        return sorted(t.name for t in spark.catalog.listTables(src["database"]) if not t.isTemporary)
     if src.get("format") == "jdbc":
         raise ValueError("the tables of a JDBC source are not listed: name them")
     path = src["path"] if "{table}" in src["path"] else src["path"].rstrip("/") + "/{table}"
